@@ -1,0 +1,42 @@
+"""List cells that stay bounded.
+
+Text outputs of annotation summaries put all genes of a term into one cell. A popular term may
+hold a large share of all genes, so a cell is split: groups of up to ``MAX_ITEMS`` members fill
+one cell (part 0), larger groups are spread by hash over as many cells as they need. No member
+is ever dropped, and no task holds more than one cell of a group.
+"""
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ITEMS = 100_000
+
+
+def list_cells(
+    pairs: DataFrame,
+    keys: Sequence[str],
+    item: str,
+    out: str,
+    sep: str = ";",
+    max_items: int = MAX_ITEMS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Sorted distinct ``item`` values per group as text: keys, ``<out>_part``, ``out``.
+
+    ``pairs`` must be distinct over keys and item; ``sizes`` (keys, n) may be given when known.
+    """
+    keys = list(keys)
+    if sizes is None:
+        sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > max_items).select(
+        *keys, F.ceil(F.col("n") / max_items).cast("bigint").alias("_parts")
+    )
+    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(item), F.col("_parts")))
+    return (
+        pairs.join(large, keys, "left").withColumn(f"{out}_part", part.cast("int"))
+        .groupBy(*keys, f"{out}_part")
+        .agg(F.array_join(F.array_sort(F.collect_list(F.col(item))), sep).alias(out))
+    )
