@@ -66,7 +66,7 @@ def split_terms(
     strip: str | None = None,
 ) -> Column:
     """A list cell as a sorted array of distinct terms; a missing cell gives an empty array."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), pattern), F.trim)
+    parts = F.transform(F.split(F.coalesce(col, F.lit("")), pattern), lambda x: F.trim(x))
     kept = F.filter(parts, lambda x: (x != "") & ~x.isin(*drop) if drop else x != "")
     if strip:
         kept = F.transform(kept, lambda x: F.replace(x, F.lit(strip), F.lit("")))
@@ -75,7 +75,7 @@ def split_terms(
 
 def split_members(col: Column) -> Column:
     """Gene names of a membership cell, in the order written, repeats kept."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), r"[,;]\s*"), F.trim)
+    parts = F.transform(F.split(F.coalesce(col, F.lit("")), r"[,;]\s*"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: ~x.isin("", "NA"))
 
 

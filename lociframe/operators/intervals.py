@@ -227,7 +227,8 @@ def windowed_sum(
     newest = _bin(F.col("_cell"), step)
     oldest = F.greatest(F.lit(0).cast("bigint"), _bin(F.col("_cell") - width, step) + 1)
     return (
-        cells.select("seqid", (F.explode(F.sequence(oldest, newest)) * step).alias("start0"), *values)
+        cells.select("seqid", F.explode(F.sequence(oldest, newest)).alias("_w"), *values)
+        .select("seqid", (F.col("_w") * step).alias("start0"), *values)
         .groupBy("seqid", "start0").agg(*[F.sum(v).alias(v) for v in values])
     )
 
