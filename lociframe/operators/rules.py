@@ -53,7 +53,8 @@ def _matches(values: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``values`` must not carry the names of rule columns except ``field``.
     """
-    modes = [r[0] for r in rules.select("mode").distinct().collect()]
+    listed = list(rules.toLocalIterator())
+    modes = {r["mode"] for r in listed}
     parts = []
     whole = F.lower(F.coalesce("value", F.lit("")))
     if "exact" in modes:
@@ -64,8 +65,7 @@ def _matches(values: DataFrame, rules: DataFrame) -> DataFrame:
         terms = values.withColumn("_k", F.explode(split_terms(F.lower(F.col("value")), drop=("na",))))
         parts.append(terms.join(token, ["field", "_k"]).drop("_k"))
     if "contains" in modes or "regex" in modes:
-        patterns = rules.filter("mode in ('contains', 'regex')")
-        ordered = sorted(patterns.toLocalIterator(), key=lambda r: (r["rule_id"], r["family_id"]))
+        ordered = [r for r in listed if r["mode"] in ("contains", "regex")]
         for start in range(0, len(ordered), RULE_BLOCK):
             block = ordered[start:start + RULE_BLOCK]
             tests = []
@@ -92,20 +92,14 @@ def annotation_evidence(annotation: DataFrame, rules: DataFrame, id_column: str
     """Annotation rows matched by rules. The field ``description`` means the whole row, ``ko`` all KO columns."""
     used = rules.filter(F.col("evidence_type").isin(*ANNOTATION_TYPES) & (F.col("pattern") != "")).withColumn("mode", _effective_mode())
     gene = first_present(annotation, [id_column, "transcript_id", "gene_id", "query", "#query"])
-    fields = [r[0] for r in used.select("field").distinct().collect()]
     text = {c: F.coalesce(annotation[f"`{c}`"].cast("string"), F.lit("")) for c in annotation.columns if not c.startswith("_")}
-    values = []
-    for name in fields:
-        if name == "description":
-            value = F.concat_ws("\t", *text.values())
-        elif name == "ko":
-            value = F.concat_ws(";", *[text[c] for c in ("KEGG_ko", "Kofam_ko", "KO_ids") if c in text])
-        else:
-            value = text.get(name)
-        if value is not None:
-            values.append(F.struct(F.lit(name).alias("field"), value.alias("value")))
-    if not values:
-        values = [F.struct(F.lit("").alias("field"), F.lit("").alias("value"))]
+    named = {
+        **text, "description": F.concat_ws("\t", *text.values()),
+        "ko": F.concat_ws(";", *[text[c] for c in ("KEGG_ko", "Kofam_ko", "KO_ids") if c in text]),
+    }
+    fields = {r["field"] for r in used.toLocalIterator()} & named.keys()
+    values = [F.struct(F.lit(f).alias("field"), named[f].alias("value")) for f in sorted(fields)] or [
+        F.struct(F.lit("").alias("field"), F.lit("").alias("value"))]
     rows = annotation.select(gene.alias("gene_id"), F.inline(F.array(*values))).filter("gene_id is not null and gene_id <> 'NA'")
     return _evidence(_matches(rows, used), F.col("field"), F.col("pattern"), F.col("score"), F.lit("matched"))
 
@@ -119,7 +113,7 @@ def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1
         kept = kept.filter(F.col("evalue") <= max_evalue)
     if min_bitscore is not None:
         kept = kept.filter(F.col("bitscore") >= min_bitscore)
-    fields = [r[0] for r in used.select("field").distinct().collect()] or [""]
+    fields = sorted({r["field"] for r in used.toLocalIterator()}) or [""]
     subject = F.col("subject_id").cast("string")
     line = F.col("line") if "line" in hits.columns else F.concat_ws("\t", *[F.col(c).cast("string") for c in hits.columns])
     values = [F.struct(F.lit(f).alias("field"), (subject if f in ("subject", "subject_id", "description") else line).alias("value")) for f in fields]

@@ -16,14 +16,14 @@ CHUNK = 1 << 16
 def chunk_sequences(sequences: DataFrame, size: int = CHUNK, overlap: int = 0) -> DataFrame:
     """Sequences cut into chunks (seqid, chunk_no, start0, seq); each chunk also carries the next ``overlap`` characters."""
     extra = [c for c in sequences.columns if c not in ("seqid", "seq", "header", "length")]
-    parts = sequences.select("seqid", *extra, pieces(F.col("seq"), size).alias("_p"))
     if overlap > size:
         raise ValueError("overlap cannot exceed the chunk size")
+    cut = pieces(F.col("seq"), size)
     if overlap:
-        joined = F.transform("_p", lambda x, i: F.concat(x, F.substring(F.coalesce(F.get("_p", i + 1), F.lit("")), 1, overlap)))
-    else:
-        joined = F.col("_p")
-    rows = parts.select("seqid", *extra, F.posexplode(joined).alias("chunk_no", "seq"))
+        # The outer transform cuts the sequence once; the inner one reads neighbours from the result.
+        cut = F.flatten(F.transform(F.array(cut), lambda p: F.transform(
+            p, lambda x, i: F.concat(x, F.substring(F.coalesce(F.get(p, i + 1), F.lit("")), 1, overlap)))))
+    rows = sequences.select("seqid", *extra, F.posexplode(cut).alias("chunk_no", "seq"))
     return rows.withColumn("start0", F.col("chunk_no").cast("bigint") * size)
 
 
@@ -109,7 +109,7 @@ def soft_mask(sequences: DataFrame, repeats: DataFrame, size: int = CHUNK) -> Da
     chunks = chunk_sequences(sequences.select("seqid", "seq"), size)
     merged = merge_intervals(repeats.select("seqid", F.greatest("start0", F.lit(0)).alias("start0"), "end0"))
     cut = merged.select("seqid", "start0", "end0", F.explode(F.sequence(
-        F.floor(F.col("start0") / size), F.floor((F.col("end0") - 1) / size))).cast("int").alias("chunk_no"))
+        F.floor(F.col("start0") / size).cast("int"), F.floor((F.col("end0") - 1) / size).cast("int"))).alias("chunk_no"))
     low = F.col("chunk_no").cast("bigint") * size
     inside = cut.select("seqid", "chunk_no", (F.greatest("start0", low) - low).cast("int").alias("_s"), (F.least("end0", low + size) - low).cast("int").alias("_e"))
     stretches = inside.groupBy("seqid", "chunk_no").agg(F.array_sort(F.collect_list(F.struct("_s", "_e"))).alias("_m"))
