@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.lists import list_cells
@@ -48,12 +48,17 @@ def _effective_mode() -> Column:
     return F.when(termlike, "token").otherwise(known)
 
 
-def _matches(values: DataFrame, rules: DataFrame) -> DataFrame:
+def _listed(rules: DataFrame) -> list[Row]:
+    """The hand-written rules, read in one streaming job."""
+    return list(rules.coalesce(1).toLocalIterator())
+
+
+def _matches(values: DataFrame, rules: DataFrame, listed: list[Row]) -> DataFrame:
     """Rows of ``values`` (field, value, ...) with the rules that match them on the same field.
 
-    ``values`` must not carry the names of rule columns except ``field``.
+    ``values`` must not carry the names of rule columns except ``field``; ``listed`` holds the
+    rows of ``rules``.
     """
-    listed = list(rules.toLocalIterator())
     modes = {r["mode"] for r in listed}
     parts = []
     whole = F.lower(F.coalesce("value", F.lit("")))
@@ -97,11 +102,12 @@ def annotation_evidence(annotation: DataFrame, rules: DataFrame, id_column: str
         **text, "description": F.concat_ws("\t", *text.values()),
         "ko": F.concat_ws(";", *[text[c] for c in ("KEGG_ko", "Kofam_ko", "KO_ids") if c in text]),
     }
-    fields = {r["field"] for r in used.toLocalIterator()} & named.keys()
+    listed = _listed(used)
+    fields = {r["field"] for r in listed} & named.keys()
     values = [F.struct(F.lit(f).alias("field"), named[f].alias("value")) for f in sorted(fields)] or [
         F.struct(F.lit("").alias("field"), F.lit("").alias("value"))]
     rows = annotation.select(gene.alias("gene_id"), F.inline(F.array(*values))).filter("gene_id is not null and gene_id <> 'NA'")
-    return _evidence(_matches(rows, used), F.col("field"), F.col("pattern"), F.col("score"), F.lit("matched"))
+    return _evidence(_matches(rows, used, listed), F.col("field"), F.col("pattern"), F.col("score"), F.lit("matched"))
 
 
 def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1e-5, min_bitscore: float | None = None) -> DataFrame:
@@ -113,12 +119,13 @@ def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1
         kept = kept.filter(F.col("evalue") <= max_evalue)
     if min_bitscore is not None:
         kept = kept.filter(F.col("bitscore") >= min_bitscore)
-    fields = sorted({r["field"] for r in used.toLocalIterator()}) or [""]
+    listed = _listed(used)
+    fields = sorted({r["field"] for r in listed}) or [""]
     subject = F.col("subject_id").cast("string")
     line = F.col("line") if "line" in hits.columns else F.concat_ws("\t", *[F.col(c).cast("string") for c in hits.columns])
     values = [F.struct(F.lit(f).alias("field"), (subject if f in ("subject", "subject_id", "description") else line).alias("value")) for f in fields]
     rows = kept.select(F.col("query_id").cast("string").alias("gene_id"), subject.alias("_subject"), "evalue", "bitscore", F.inline(F.array(*values)))
-    return _evidence(_matches(rows, used), F.col("field"), F.col("_subject"), F.format_string("%.6f", "bitscore"),
+    return _evidence(_matches(rows, used, listed), F.col("field"), F.col("_subject"), F.format_string("%.6f", "bitscore"),
                      F.concat(F.lit("evalue="), F.col("evalue").cast("string")))
 
 
@@ -127,7 +134,7 @@ def seed_evidence(seeds: DataFrame, rules: DataFrame) -> DataFrame:
     used = rules.filter(F.col("evidence_type").isin(*SEED_TYPES)).withColumn("mode", F.when(
         F.col("match_mode").isin("regex", "exact", "token"), F.col("match_mode")).otherwise("contains")).withColumn("field", F.lit("seed_ids"))
     ids = seeds.select(F.col("gene_id").cast("string")).distinct().select("gene_id", F.col("gene_id").alias("value"), F.lit("seed_ids").alias("field"))
-    return _evidence(_matches(ids, used), F.col("field"), F.col("gene_id"), F.col("score"), F.lit("seed_list"))
+    return _evidence(_matches(ids, used, _listed(used)), F.col("field"), F.col("gene_id"), F.col("score"), F.lit("seed_list"))
 
 
 def family_evidence(

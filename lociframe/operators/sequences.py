@@ -70,20 +70,22 @@ def gc_windows(sequences: DataFrame, size: int = 5_000, compat: bool = False) ->
     return full.unionByName(empty)
 
 
-def kmer_counts(sequences: DataFrame, k: int = 21, chunk: int = 512) -> DataFrame:
+def kmer_counts(sequences: DataFrame, k: int = 21, chunk: int = 256) -> DataFrame:
     """Occurrences of each canonical k-mer (the smaller of a k-mer and its reverse complement).
 
-    Only k-mers of A, C, G and T count. Both strands of a chunk are prepared once and every
-    k-mer is cut from them; counts are combined per task before the shuffle, so a k-mer that
-    fills a genome travels as few rows.
+    Only k-mers of A, C, G and T count, so sequences are first reduced to such runs. Both
+    strands of a chunk are prepared once and every k-mer is cut from them; counts are combined
+    per task before the shuffle, so a k-mer that fills a genome travels as few rows.
     """
-    strands = chunk_sequences(sequences.select("seqid", F.upper("seq").alias("seq")), chunk, k - 1).select(
+    if chunk < k:
+        raise ValueError("chunk must hold at least one k-mer")
+    runs = sequences.select(F.explode(F.regexp_extract_all(F.upper("seq"), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("seq"))
+    strands = chunk_sequences(runs.withColumn("seqid", F.lit(0)), chunk, k - 1).select(
         "seq", reverse_complement(F.col("seq")).alias("_rc"), F.length("seq").alias("_n")).filter(F.col("_n") >= k)
     positions = strands.select("*", F.explode(F.sequence(F.lit(1), F.col("_n") - k + 1)).alias("_i"))
     forward = F.substring(F.col("seq"), F.col("_i"), F.lit(k))
     backward = F.substring(F.col("_rc"), F.col("_n") - k + 2 - F.col("_i"), F.lit(k))
-    kmers = positions.select(F.least(forward, backward).alias("kmer"))
-    return kmers.filter(F.translate("kmer", "ACGT", "") == "").groupBy("kmer").agg(F.count(F.lit(1)).alias("count"))
+    return positions.select(F.least(forward, backward).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("count"))
 
 
 def kmer_histogram(counts: DataFrame, cap: int = 100_000) -> DataFrame:
