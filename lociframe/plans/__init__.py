@@ -1,5 +1,5 @@
 """Chains of operators and the queries built on them."""
-from . import queries_families, queries_hits, queries_regions, queries_sequences, queries_terms  # noqa: F401
+from . import queries_families, queries_genes, queries_hits, queries_regions, queries_sequences, queries_terms  # noqa: F401
 from .catalogue import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

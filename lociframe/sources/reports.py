@@ -184,7 +184,7 @@ def read_orthogroup_table(spark: SparkSession, paths: Paths) -> DataFrame:
     wide = table.select(first_present(table, keys).alias("family_id"), *[F.col(f"`{c}`") for c in species])
     cells = wide.unpivot("family_id", species, "species", "cell").filter("family_id is not null")
     members = F.flatten(F.transform(split_members(F.col("cell")), lambda m: F.split(m, r"\s+")))
-    return cells.select(F.rtrim(F.lit(":"), F.col("family_id")).alias("family_id"), "species", F.explode(members).alias("gene_id")).filter("gene_id <> ''")
+    return cells.select(F.rtrim(F.col("family_id"), F.lit(":")).alias("family_id"), "species", F.explode(members).alias("gene_id")).filter("gene_id <> ''")
 
 
 def read_orthogroup_text(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -196,8 +196,8 @@ def read_orthogroup_text(spark: SparkSession, paths: Paths) -> DataFrame:
     lines = read_lines(spark, paths).filter(line != "").withColumn("line", line)
     tab, colon = F.col("line").contains("\t"), F.col("line").contains(":")
     words = F.split("line", r"\s+")
-    group = F.when(tab, F.rtrim(F.lit(":"), F.get(F.split("line", "\t"), F.lit(0)))).when(colon, F.trim(F.get(F.split("line", ":", 2), F.lit(0)))).otherwise(
-        F.rtrim(F.lit(":"), F.get(words, F.lit(0))))
+    group = F.when(tab, F.rtrim(F.get(F.split("line", "\t"), F.lit(0)), F.lit(":"))).when(colon, F.trim(F.get(F.split("line", ":", 2), F.lit(0)))).otherwise(
+        F.rtrim(F.get(words, F.lit(0)), F.lit(":")))
     tabbed = F.flatten(F.transform(F.slice(F.split("line", "\t"), F.lit(2), F.size(F.split("line", "\t"))), lambda c: split_members(c)))
     spaced = F.split(F.trim(F.get(F.split("line", ":", 2), F.lit(1))), r"\s+")
     members = F.when(tab, tabbed).when(colon, spaced).otherwise(F.slice(words, F.lit(2), F.size(words)))

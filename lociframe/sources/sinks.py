@@ -90,7 +90,7 @@ def repeat_gff(repeats: DataFrame) -> DataFrame:
     forward = F.col("strand") != "-"
     target = F.concat_ws(" ", at(9), at(10), F.when(forward, at(11)).otherwise(at(13)), at(12))
     notes = F.concat(F.lit("Div="), at(1), F.lit(";Del="), at(2), F.lit(";Ins="), at(3), F.lit(";SWscore="), at(0))
-    plain = F.concat_ws("\t", at(4), F.lit("RepeatMasker"), F.lit("similarity"), at(5), at(6), at(0), F.col("strand"), F.lit("."),
+    plain = F.concat_ws("\t", at(4), F.lit("RepeatMasker-4.0.1"), F.lit("similarity"), at(5), at(6), at(0), F.col("strand"), F.lit("."),
                         F.concat(F.lit("Target="), target, F.lit(";"), notes))
     colours = F.array_compact(F.array(*[F.when(plain.contains(mark), F.lit(colour)) for mark, colour in REPEAT_COLOURS.items()]))
     used = F.when(F.size(colours) == 0, F.array(F.lit(OTHER_REPEAT_COLOUR))).otherwise(colours)
