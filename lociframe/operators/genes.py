@@ -43,7 +43,7 @@ def segment_gaps(segments: DataFrame, keys: Sequence[str], bin_size: int = POSIT
     inside = Window.partitionBy(*keys, "_bin").orderBy("start", "end")
     placed = single.select(
         "*", F.lead("start").over(inside).alias("_next"), F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
-    return placed.join(bins, [*keys, "_bin"]).select(
+    return placed.join(bins, [*keys, "_bin"], "left").select(
         *keys, F.col("end").alias("start0"), (F.coalesce("_next", "_next_bin") - 1).alias("end0"), "strand",
         (F.col("_before") + F.col("_upto")).alias("gap_number")).filter("end0 > start0")
 

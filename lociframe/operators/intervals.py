@@ -63,16 +63,10 @@ def totals_at(
 
 def _depth_changes(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Net change of depth per position; touching intervals cancel, which is what joins them."""
-    ends = F.array(
-        F.struct(F.col(start).alias("pos"), F.lit(1).alias("change")),
-        F.struct(F.col(end).alias("pos"), F.lit(-1).alias("change")),
-    )
     valid = df.filter(F.col(end) > F.col(start))
-    return (
-        valid.select(*keys, F.inline(ends))
-        .groupBy(*keys, "pos").agg(F.sum("change").alias("change"))
-        .filter("change <> 0")
-    )
+    begins = valid.select(*keys, F.col(start).alias("pos"), F.lit(1).alias("change"))
+    stops = valid.select(*keys, F.col(end).alias("pos"), F.lit(-1).alias("change"))
+    return begins.unionByName(stops).groupBy(*keys, "pos").agg(F.sum("change").alias("change")).filter("change <> 0")
 
 
 def _edges(df: DataFrame, keys: Sequence[str], start: str, end: str, bin_size: int) -> DataFrame:
@@ -99,7 +93,8 @@ def merge_intervals(
     following = edges.groupBy(*keys, "_bin").agg(F.min("pos").alias("_first")).select(
         *keys, "_bin", F.lead("_first").over(later_bins).alias("_next_bin_pos")
     )
-    return paired.join(following, [*keys, "_bin"]).select(
+    # A left join adds no filter of its own, so both inputs keep the same plan and share one shuffle.
+    return paired.join(following, [*keys, "_bin"], "left").select(
         *keys, F.col("pos").alias(start), F.coalesce("_next", "_next_bin_pos").alias(end)
     )
 

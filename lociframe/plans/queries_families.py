@@ -302,12 +302,12 @@ def gene_set_expression(t: Source) -> DataFrame:
 
 
 @query(EXPRESSION + """
-    select family_id, sample, count(*) as genes_observed, round(cast(sum(cast(round(expression_value * 100) as bigint)) as double) / count(*) / 100, 4) as mean_expression,
-           round(cast(sum(cast(round(expression_value * 100) as bigint)) as double) / 100, 2) as sum_expression, round(median(expression_value), 4) as median_expression
+    select family_id, sample, count(*) as genes_observed, round(cast(sum(cast(round(expression_value * 100) as bigint)) as double) / count(*) / 100, 6) as mean_expression,
+           round(cast(sum(cast(round(expression_value * 100) as bigint)) as double) / 100, 2) as sum_expression, round(median(expression_value), 6) as median_expression
     from rows group by family_id, sample
 """)
 def expression_summary(t: Source) -> DataFrame:
-    found = rounded(matrices.expression_summary(_expression(t)), "mean_expression", "median_expression", digits=4)
+    found = rounded(matrices.expression_summary(_expression(t)), "mean_expression", "median_expression")
     return rounded(found, "sum_expression", digits=2)
 
 

@@ -22,7 +22,7 @@ def islands(source: str, keys: str) -> str:
         select *, sum(fresh) over (partition by {keys} order by start0, end0 rows unbounded preceding) as island from (
             select *, case when start0 <= max(end0) over (partition by {keys} order by start0, end0
                 rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh
-            from ({source}) src) flagged) numbered
+            from (select distinct {keys}, start0, end0 from ({source}) src) spans) flagged) numbered
     group by {keys}, island"""
 
 
