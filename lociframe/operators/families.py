@@ -3,11 +3,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lists import list_cells
-from ..functions.text import column_of, first_present, joined, labels, split_members, to_double, to_long
+from ..functions.text import column_of, first_present, joined, labels, to_double, to_long
 from .hits import source_rank
 
 METRICS = ("gain", "loss", "expansion", "contraction")

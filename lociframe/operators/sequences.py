@@ -162,13 +162,25 @@ def quality_reads(reads: DataFrame, min_base_quality: int = 15, max_low_percent:
 
 
 def trim_alignment_columns(alignment: DataFrame, max_gap_percent: float, keys: Sequence[str] = ("alignment",)) -> DataFrame:
-    """Alignment rows (keys, species, seq) without the columns whose gap share reaches the limit."""
+    """Alignment rows (keys, species, seq) without the columns whose gap share reaches the limit.
+
+    Only gap positions are listed and counted. Each alignment's dropped columns become one mask
+    as long as the alignment, which its rows then apply to themselves.
+    """
     keys = list(keys)
-    bases = alignment.select(*keys, "species", F.posexplode(F.split("seq", "")).alias("pos", "base")).filter("base <> ''")
-    gaps = bases.groupBy(*keys, "pos").agg(F.count_if(F.col("base") == "-").alias("_gaps"), F.count(F.lit(1)).alias("_rows"))
-    kept = gaps.filter(F.col("_gaps") / F.col("_rows") * 100 < max_gap_percent).select(*keys, "pos")
-    return bases.join(kept, [*keys, "pos"]).groupBy(*keys, "species").agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("_b")).select(
-        *keys, "species", F.array_join(F.transform("_b", lambda b: b["base"]), "").alias("seq"))
+    letters = F.split("seq", "")
+    gaps = alignment.select(*keys, F.explode(F.array_compact(F.transform(letters, lambda c, i: F.when(c == "-", i)))).alias("pos")).groupBy(*keys, "pos").agg(
+        F.count(F.lit(1)).alias("_gaps"))
+    sizes = alignment.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    dropped = gaps.join(sizes, keys).filter(F.col("_gaps") / F.col("_rows") * 100 >= max_gap_percent)
+    ordered = dropped.groupBy(*keys).agg(F.array_sort(F.collect_list("pos")).alias("_d"))
+    # A run of 0 up to each dropped column, then 1.
+    marks = F.transform("_d", lambda d, i: F.concat(F.repeat(F.lit("0"), d - F.when(i == 0, -1).otherwise(F.get("_d", i - 1)) - 1), F.lit("1")))
+    masks = ordered.select(*keys, F.split(F.array_join(marks, ""), "").alias("_mask"))
+    kept = F.filter(letters, lambda c, i: F.coalesce(F.get("_mask", i), F.lit("0")) != "1")
+    rows = alignment.join(masks, keys, "left")
+    whole = F.col("seq") if max_gap_percent > 0 else F.lit("")
+    return rows.select(*keys, "species", F.when(F.col("_mask").isNull(), whole).otherwise(F.array_join(kept, "") if max_gap_percent > 0 else F.lit("")).alias("seq"))
 
 
 def supermatrix(alignments: DataFrame, species: DataFrame) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lists import list_cells
 from ..functions.stats import benjamini_hochberg, hypergeometric_tail
-from ..functions.text import first_present, present, split_terms, to_double, to_long
+from ..functions.text import first_present, present, split_terms, to_long
 from .summaries import last_by
 
 # One-letter functional categories of clusters of orthologous groups.

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import families, matrices, sequences, synteny
+from ..operators import families, matrices, synteny
 from .catalogue import Source, query, rounded, text
 
 
@@ -46,7 +46,7 @@ def count_matrix(t: Source) -> DataFrame:
 
 
 MEMBERS = """
-    with members as (select distinct p_brand || '/' || p_type as family_id, l_orderkey as gene_id from lineitem join part on l_partkey = p_partkey where l_linenumber <= 2),
+    with members as (select distinct p_brand || '/' || p_type as family_id, l_orderkey as gene_id from lineitem join part on l_partkey = p_partkey),
     transferred as (select o_orderkey as gene_id, case o_orderpriority when '1-URGENT' then 'bacteria' when '2-HIGH' then 'Fungi' when '3-MEDIUM' then 'virus'
                     when '5-LOW' then 'NA' else o_orderpriority end as source from orders where o_orderstatus = 'F'),
     votes as (select family_id, source, count(*) as n from members join transferred using (gene_id) where source <> 'NA' group by all),
@@ -59,7 +59,7 @@ MEMBERS = """
 
 
 def _members(t: Source) -> DataFrame:
-    return t.lineitem.filter("l_linenumber <= 2").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("/", "p_brand", "p_type").alias("family_id"), F.col("l_orderkey").alias("gene_id")).distinct()
 
 
@@ -182,7 +182,7 @@ def node_totals(t: Source) -> DataFrame:
 TARGETS = GAIN_LOSS + """,
     evidence as (select p_partkey as gene_id, 'fam_' || p_type as family_id, 'family ' || p_type as family_name, 'pfam' as evidence_type from part where p_size <= 10
                  union all select p_partkey, 'fam_big', 'big', 'keyword' from part where p_size between 8 and 30),
-    og as (select p_partkey as gene_id, p_brand || '/' || p_type as orthogroup_id from part where p_size % 3 <> 0),
+    og as (select p_partkey as gene_id, p_brand || '/' || p_type as orthogroup_id from part where p_size > 15),
     per_family as (select family_id as orthogroup_id, sum(gain) as gain, sum(loss) as loss, sum(expansion) as expansion, sum(contraction) as contraction,
                    string_agg(distinct node_id, ';' order by node_id) filter (where gain + loss + expansion + contraction > 0) as event_nodes from gl group by family_id),
     typed as (select gene_id, string_agg(distinct evidence_type, ';' order by evidence_type) as evidence_types from evidence group by gene_id),
@@ -206,7 +206,7 @@ def _target_evidence(t: Source) -> DataFrame:
 
 
 def _orthogroups(t: Source) -> DataFrame:
-    return t.part.filter("p_size % 3 <> 0").select(F.col("p_partkey").alias("gene_id"), F.concat_ws("/", "p_brand", "p_type").alias("family_id"))
+    return t.part.filter("p_size > 15").select(F.col("p_partkey").alias("gene_id"), F.concat_ws("/", "p_brand", "p_type").alias("family_id"))
 
 
 def _evolution(t: Source) -> DataFrame:
@@ -233,7 +233,7 @@ def family_evolution_summary(t: Source) -> DataFrame:
 
 
 INTEGRATED = TARGETS + """,
-    cand as (select cast(l_partkey as varchar) as query_id, max(l_extendedprice) as alien_index from lineitem where l_quantity = 50 group by l_partkey),
+    cand as (select cast(l_partkey as varchar) as query_id, max(l_extendedprice) as alien_index from lineitem group by l_partkey),
     ev as (select cast(gene_id as varchar) as gene_id, string_agg(distinct family_id, ';' order by family_id) as fams from evidence group by gene_id),
     rows as (select c.query_id, 'g' as best_donor_group, 'fine' as refined_donor_taxon, o.orthogroup_id,
                     case when e.fams is null then 'not_target_family' else 'target_family' end as target_family_status, e.fams as target_family_ids,
@@ -248,7 +248,7 @@ INTEGRATED = TARGETS + """,
 
 
 def _integrated(t: Source) -> DataFrame:
-    candidates = t.lineitem.filter("l_quantity = 50").groupBy(F.col("l_partkey").alias("query_id")).agg(F.max("l_extendedprice").alias("alien_index")).select(
+    candidates = t.lineitem.groupBy(F.col("l_partkey").alias("query_id")).agg(F.max("l_extendedprice").alias("alien_index")).select(
         "query_id", F.lit("g").alias("best_donor_group"), F.lit("fine").alias("best_donor_taxon"), "alien_index", F.lit(0.0).alias("bitscore_delta"))
     return families.candidate_integration(candidates, None, _orthogroups(t), _target_evidence(t), _gain_loss(t))
 
@@ -363,14 +363,14 @@ def links_per_gene(t: Source) -> DataFrame:
 
 
 @query("""
-    with g as (select o_orderkey as gene_id, 'chr' || (o_custkey % 5) as seqid, o_orderkey * 10 as start0, o_orderkey * 10 + 5 as end0 from orders where o_orderkey % 10 <> 0),
+    with g as (select o_orderkey as gene_id, 'chr' || (o_custkey % 5) as seqid, o_orderkey * 10 as start0, o_orderkey * 10 + 5 as end0 from orders where o_orderpriority <> '5-LOW'),
     b as (select l_orderkey as r1, l_orderkey + 1 as r2, l_partkey as q1, l_suppkey as q2 from lineitem)
     select r1.seqid as ref_seqid, r1.start0 as ref_start0, r2.end0 as ref_end0, q1.seqid as query_seqid, q1.start0 as query_start0, q2.end0 as query_end0,
            r1.gene_id is not null and r2.gene_id is not null and q1.gene_id is not null and q2.gene_id is not null as complete
     from b left join g r1 on r1.gene_id = b.r1 left join g r2 on r2.gene_id = b.r2 left join g q1 on q1.gene_id = b.q1 left join g q2 on q2.gene_id = b.q2
 """)
 def link_coordinates(t: Source) -> DataFrame:
-    genes = t.orders.filter("o_orderkey % 10 <> 0").select(
+    genes = t.orders.filter("o_orderpriority <> '5-LOW'").select(
         F.col("o_orderkey").alias("gene_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"),
         (F.col("o_orderkey") * 10).alias("start0"), (F.col("o_orderkey") * 10 + 5).alias("end0"))
     blocks = t.lineitem.select(

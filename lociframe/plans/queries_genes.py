@@ -141,13 +141,13 @@ def prefix_id_resolution(t: Source) -> DataFrame:
 @query("""
     select tree_id, '(' || string_agg(coalesce(c_mktsegment || '_' || c_custkey, tip) || ':' || len, ',' order by k) || ');' as newick, count(*) as tips
     from (select o_custkey as tree_id, cast(o_orderkey as varchar) as tip, o_orderkey as k, o_orderkey % 10 as len from orders) o
-    left join customer on c_custkey % 3 = 0 and cast(c_custkey as varchar) = o.tip group by tree_id
+    left join customer on c_mktsegment <> 'BUILDING' and cast(c_custkey as varchar) = o.tip group by tree_id
 """)
 def rename_tips(t: Source) -> DataFrame:
     part = F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), F.concat_ws(":", text("o_orderkey"), (F.col("o_orderkey") % 10).cast("string")).alias("x"))))
     corpus = t.orders.groupBy(F.col("o_custkey").alias("tree_id")).agg(part.alias("p")).select(
         "tree_id", F.concat(F.lit("("), F.array_join(F.transform("p", lambda i: i["x"]), ","), F.lit(");")).alias("newick"))
-    labels = t.customer.filter("c_custkey % 3 = 0").select(text("c_custkey").alias("tip_id"), F.concat_ws(" ", "c_mktsegment", text("c_custkey")).alias("label"))
+    labels = t.customer.filter("c_mktsegment <> 'BUILDING'").select(text("c_custkey").alias("tip_id"), F.concat_ws(" ", "c_mktsegment", text("c_custkey")).alias("label"))
     return trees.rename_tips(corpus, labels)
 
 

@@ -265,8 +265,8 @@ def orthogroup_inputs(t: Source) -> DataFrame:
 CONTEXT = SCORED + """,
     ann as (select cast(o_orderkey as varchar) as query_id, 'T' || cast(o_custkey as varchar) as transcript_id, o_orderpriority as description
             from orders where o_orderstatus = 'F'),
-    coords as (select cast(o_orderkey as varchar) as id, 'chr' || cast(o_custkey % 5 as varchar) as seqid, o_orderkey as start from orders where o_orderkey % 3 = 0
-               union all select 'T' || cast(c_custkey as varchar), 'cust', c_custkey from customer where c_custkey % 2 = 0),
+    coords as (select cast(o_orderkey as varchar) as id, 'chr' || cast(o_custkey % 5 as varchar) as seqid, o_orderkey as start from orders where o_orderstatus <> 'P'
+               union all select 'T' || cast(c_custkey as varchar), 'cust', c_custkey from customer where c_acctbal > 0),
     introns as (select 'T' || cast(l_partkey as varchar) as transcript_id, l_quantity < 10 as is_short, l_discount as at_share, l_tax > 0.04 as rich from lineitem),
     im as (select transcript_id as id, count(*) as n, count(case when is_short then 1 end) as ns, round(avg(at_share), 6) as mean_at,
                   round(avg(case when rich then 1 else 0 end), 6) as ratio
@@ -287,9 +287,9 @@ def candidate_context(t: Source) -> DataFrame:
     named = lambda c: F.concat(F.lit("T"), text(c))
     notes = t.orders.filter("o_orderstatus = 'F'").select(
         text("o_orderkey").alias("gene_id"), named("o_custkey").alias("transcript_id"), F.col("o_orderpriority").alias("description"))
-    coords = t.orders.filter("o_orderkey % 3 = 0").select(
+    coords = t.orders.filter("o_orderstatus <> 'P'").select(
         text("o_orderkey").alias("id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"), F.col("o_orderkey").alias("start"),
-    ).unionByName(t.customer.filter("c_custkey % 2 = 0").select(named("c_custkey").alias("id"), F.lit("cust").alias("seqid"), F.col("c_custkey").alias("start")))
+    ).unionByName(t.customer.filter("c_acctbal > 0").select(named("c_custkey").alias("id"), F.lit("cust").alias("seqid"), F.col("c_custkey").alias("start")))
     coords = coords.select("*", F.col("start").alias("end"), F.lit("+").alias("strand"), F.lit(1).alias("priority"))
     introns = t.lineitem.select(
         F.lit(None).cast("string").alias("gene_id"), named("l_partkey").alias("transcript_id"), (F.col("l_quantity") < 10).alias("is_short_intron"),

@@ -92,7 +92,7 @@ def upper_sequences(t: Source) -> DataFrame:
 
 
 @query("""
-    with spans as (select l_orderkey % 200 as seqid, l_partkey as start0, l_partkey + cast(l_quantity as bigint) as end0 from lineitem where l_linenumber = 1),
+    with spans as (select l_orderkey % (select max(doc_id) + 1 from documents) as seqid, l_partkey as start0, l_partkey + cast(l_quantity as bigint) as end0 from lineitem),
     long as (select seqid, unnest(range(0, length(seq))) as i, seq from {dna} d),
     hit as (select distinct seqid, unnest(range(start0, end0)) as i from spans),
     bases as (select l.seqid, l.i, case when h.i is null then seq[l.i + 1] else lower(seq[l.i + 1]) end as b
@@ -100,8 +100,9 @@ def upper_sequences(t: Source) -> DataFrame:
     select seqid, string_agg(b, '' order by i) as seq from bases group by seqid
 """)
 def soft_mask(t: Source) -> DataFrame:
-    spans = t.lineitem.filter("l_linenumber = 1").select(
-        (F.col("l_orderkey") % 200).alias("seqid"), F.col("l_partkey").alias("start0"), (F.col("l_partkey") + F.col("l_quantity").cast("bigint")).alias("end0"))
+    last = t.documents.agg((F.max("doc_id") + 1).alias("n"))
+    spans = t.lineitem.select(
+        (F.col("l_orderkey") % last.scalar()).alias("seqid"), F.col("l_partkey").alias("start0"), (F.col("l_partkey") + F.col("l_quantity").cast("bigint")).alias("end0"))
     return sequences.rebuild_sequences(sequences.soft_mask(t.dna.filter("seq <> ''"), spans, 4096))
 
 
@@ -187,13 +188,16 @@ def supermatrix(t: Source) -> DataFrame:
 
 
 @query("""
-    with b as (select source as alignment, lang || '/' || doc_id as species, doc_id, unnest(range(1, length(text) + 1)) as pos, text from documents where length(text) < 400),
+    with b as (select source as alignment, lang || '/' || doc_id as species, doc_id, unnest(range(1, length(text) + 1)) as pos, text from documents),
     ch as (select alignment, species, pos, text[pos] as c from b),
-    g as (select alignment, pos from (select alignment, pos, count(case when c = ' ' then 1 end) as gaps, count(*) as n from ch group by all) where gaps / n * 100 < 20)
-    select alignment, species, string_agg(replace(c, ' ', '-'), '' order by pos) as seq from ch join g using (alignment, pos) group by alignment, species
+    n as (select source as alignment, count(*) as n from documents group by source),
+    g as (select alignment, pos from (select alignment, pos, count(*) as gaps from ch where c = ' ' group by all) join n using (alignment) where gaps / n * 100 >= 20),
+    kept as (select alignment, species, string_agg(replace(c, ' ', '-'), '' order by pos) as seq from ch anti join g using (alignment, pos) group by alignment, species)
+    select d.source as alignment, d.lang || '/' || d.doc_id as species, coalesce(k.seq, '') as seq
+    from documents d left join kept k on k.alignment = d.source and k.species = d.lang || '/' || d.doc_id
 """)
 def trim_alignment_columns(t: Source) -> DataFrame:
-    rows = t.documents.filter(F.length("text") < 400).select(
+    rows = t.documents.select(
         F.col("source").alias("alignment"), F.concat_ws("/", "lang", F.col("doc_id").cast("string")).alias("species"),
         F.regexp_replace(F.replace("text", F.lit("-"), F.lit("‐")), " ", "-").alias("seq"))
     trimmed = sequences.trim_alignment_columns(rows, 20.0)

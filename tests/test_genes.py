@@ -183,3 +183,9 @@ def test_read_quality(spark):
     reads = [("good", "A" * 60, "I" * 60), ("short", "A" * 10, "I" * 10), ("low", "A" * 60, "#" * 30 + "I" * 30), ("mean", "A" * 60, "3" * 59 + "#")]
     df = spark.createDataFrame(reads, "name string, seq string, qual string")
     assert rows(sequences.quality_reads(df), "name") == [("good",)]
+
+
+def test_alignment_columns(spark):
+    df = spark.createDataFrame([("a", "s1", "A-C-T"), ("a", "s2", "A--GT"), ("b", "s1", "AC")], "alignment string, species string, seq string")
+    assert rows(sequences.trim_alignment_columns(df, 60.0)) == [("a", "s1", "AC-T"), ("a", "s2", "A-GT"), ("b", "s1", "AC")]
+    assert rows(sequences.trim_alignment_columns(df, 50.0)) == [("a", "s1", "AT"), ("a", "s2", "AT"), ("b", "s1", "AC")]
