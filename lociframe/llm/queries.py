@@ -1,9 +1,13 @@
 """The registered queries of this package, and the SQL that checks those which SQL can express."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
 from .url_rules import judge_urls
 
@@ -26,6 +30,29 @@ def query(sql: str | None = None):
     return register
 
 
+#: Fixed values of the token output: the tokenizer's file, and the id that ends a document.
+TOKENIZER, END_ID, ID_BITS = "word_bpe_49k.json", 2, 16
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def token_output(docs: DataFrame) -> DataFrame:
+    """Write the token store of ``docs`` and return each document's digest from the files."""
+    spark = docs.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    write_tokens(docs, folder, tokenizer_path(), END_ID, width=ID_BITS)
+    return document_digests(read_pieces(spark, folder, with_ids=False))
+
+
+@query()
+def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
+    return token_output(table(spark, folder, "documents"))
+
+
 @query("""
 with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from documents),
 b as (select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from benchmark),
