@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
+from .store import written
 from .url_rules import judge_urls
+from .weak_rules import METRIC, fit, judge, measure
 
 QUERIES = {}
 CHECKS = {}
@@ -53,6 +55,16 @@ def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(table(spark, folder, "documents"))
 
 
+@query()
+def op5_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
+    measured = written(measure(table(spark, folder, "documents").select("doc_id", "text")).drop("text"), "quality-metrics")
+    judged = judge(measured, fit(measured))
+    m, v = F.col(METRIC), F.col("_verdict")
+    return judged.select(
+        "doc_id", *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        v.base_failed.alias("base_failed"), v.kept.alias("kept"), v.quality_probability.alias("quality_probability"))
+
+
 @query("""
 with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from documents),
 b as (select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from benchmark),
