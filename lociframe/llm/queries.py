@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
+from .entropy_mixing import mix
 from .store import written
 from .url_rules import judge_urls
 from .weak_rules import METRIC, fit, judge, measure
@@ -65,6 +66,13 @@ def op5_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
         v.base_failed.alias("base_failed"), v.kept.alias("kept"), v.quality_probability.alias("quality_probability"))
 
 
+@query()
+def op6_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    m = F.col("_mix")
+    return mix(table(spark, folder, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", m["size"].alias("size"), m.source_size.alias("source_size"), m.target.alias("target"), (m["size"] * m.copies).alias("taken"))
+
+
 @query("""
 with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from documents),
 b as (select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from benchmark),
