@@ -10,6 +10,7 @@ from ..session import checkpoint_dir
 from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
 from .entropy_mixing import mix
+from .jaccard_join import link
 from .store import written
 from .url_rules import judge_urls
 from .weak_rules import METRIC, fit, judge, measure
@@ -56,6 +57,21 @@ def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(table(spark, folder, "documents"))
 
 
+@query("""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as shingle from (select *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as n_both from s a join s b using (shingle) where a.doc_id <> b.doc_id group by all),
+links as (select x, y from pairs join n a on a.doc_id = x join n b on b.doc_id = y where 100 * n_both >= 75 * (a.n + b.n - n_both)),
+reach(x, y) as (select doc_id, doc_id from documents union select reach.x, links.y from reach join links on links.x = reach.y)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id, cast(coalesce(l.n_links, 0) as bigint) as n_links
+from documents d left join n using (doc_id) join (select x as doc_id, min(y) as component_id from reach group by x) c using (doc_id)
+left join (select x as doc_id, count(*) as n_links from links group by x) l using (doc_id)
+""")
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return link(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 @query()
 def op5_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     measured = written(measure(table(spark, folder, "documents").select("doc_id", "text")).drop("text"), "quality-metrics")
