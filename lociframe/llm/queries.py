@@ -11,6 +11,7 @@ from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
 from .entropy_mixing import mix
 from .jaccard_join import link
+from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
 from .store import written
 from .url_rules import judge_urls
 from .weak_rules import METRIC, fit, judge, measure
@@ -57,6 +58,15 @@ def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(table(spark, folder, "documents"))
 
 
+@query()
+def op3_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    features = written(featurize(table(spark, folder, "documents")), "features")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+    ranking = fit_ranking(features, table(spark, folder, "labels").filter(~held_out).select("doc_id", "quality"))
+    scored = features.select("doc_id", held_out.alias("held_out"), score(ranking).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
 @query("""
 with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as shingle from (select *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)),
