@@ -11,6 +11,7 @@ from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
 from .entropy_mixing import mix
 from .jaccard_join import link
+from .lm_scoring import cross_entropy_difference
 from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
 from .store import written
 from .url_rules import judge_urls
@@ -35,6 +36,33 @@ def query(sql: str | None = None):
     return register
 
 
+@query("""
+with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+      doc_id in (select doc_id from labels where quality = 1) as target from documents),
+t as (select doc_id, target, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from w),
+c as (select word, count(*) as b, count(*) filter (target) as t from t group by word),
+n as (select cast(sum(b) as double) as nb, cast(sum(t) as double) as nt from c),
+v as (select word, b, t from c, n where b >= 2 and b >= 1e-6 * nb),
+u as (select word, b, t from v union all select null, (select nb from n) - coalesce(sum(b), 0), (select nt from n) - coalesce(sum(t), 0) from v),
+p as (select u.word, (b + 1) / (nb + (select count(*) from u)) as pb, (t + 1) / (nt + (select count(*) from u)) as pt,
+             case when u.word is not null and b >= 1e-3 * nb then u.word end as class from u, n),
+o as (select sum(pb) as ob, sum(pt) as ot from p where class is null),
+k as (select count(distinct class) + 1 as k from p),
+x as (select doc_id, i, target, pb, pt, class, case when class is null then pb / ob else 1 end as wb, case when class is null then pt / ot else 1 end as wt
+      from t left join v using (word) join p on p.word is not distinct from v.word, o),
+y as (select *, case when lag(i) over (partition by doc_id order by i) is null then ' start' else coalesce(lag(class) over (partition by doc_id order by i), ' other') end as before, coalesce(class, ' other') as now from x),
+g as (select before, now, count(*) as gb, count(*) filter (target) as gt from y group by all),
+f as (select before, sum(gb) as fb, sum(gt) as ft from g group by before),
+z as (select doc_id, -ln(0.5 * (gb + 1) / (fb + k) * wb + 0.5 * pb) as lb, -ln(0.5 * (gt + 1) / (ft + k) * wt + 0.5 * pt) as lt
+      from y join g using (before, now) join f using (before), k),
+s as (select doc_id, count(*) as n, avg(lb) as lb, avg(lt) as lt from z group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_tokens, round(lt, 6) as target_loss, round(lb, 6) as background_loss, round(lt - lb, 6) as difference from documents d left join s using (doc_id)
+""")
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scored = cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels").filter("quality = 1"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("target_loss", "background_loss", "difference")})
+
+
 #: Fixed values of the token output: the tokenizer's file, and the id that ends a document.
 TOKENIZER, END_ID, ID_BITS = "word_bpe_49k.json", 2, 16
 
