@@ -13,6 +13,7 @@ document may span chunks; its CRC is combined from the CRCs of its pieces withou
 """
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,30 +25,49 @@ from pyspark.sql import functions as F
 from .store import worker_cache
 
 BLOCK_IDS = 65_536
-#: Words whose ids a worker remembers before it starts anew.
-MEMORY_WORDS = 200_000
+#: Words of one generation of a worker's memory; it keeps two, so frequent words stay.
+MEMORY_WORDS = 400_000
 
 CHUNKS = "shard int, chunk int, first long, n_ids int, planes array<binary>, pieces array<struct<row: long, doc_id: long, n: int>>"
 _PIECES = pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32())]))
 
 
 class _Ids(dict):
-    """Ids of words as little-endian 32-bit bytes, found once per word.
+    """Ids of words as little-endian 32-bit bytes, found once per word while it is remembered.
 
-    The tokenizer drops white space, so ids of a text are those of its words one after another.
+    The tokenizer drops white space and case, so ids of a text are those of its lower-cased words one
+    after another; texts that may name a special token keep their case. A plain ASCII word goes straight
+    to the tokenizer's model, closing marks after it are a piece of their own; all else takes the whole way.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            core = word.rstrip(b".,") if word[-1] in b".," else word
+            if not (core.isalpha() and core.islower()):
+                ids = self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+            elif len(core) == len(word):
+                ids = self._packed([t.id for t in self.model.tokenize(word.decode())])
+            else:
+                ids = self[core] + self._packed(self.tokenizer.encode(word[len(core) :].decode(), add_special_tokens=False).ids)
         if len(self) >= MEMORY_WORDS:
+            self.older = dict(self)
             self.clear()
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = ids
         return ids
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def of(self, text: bytes) -> bytes:
+        """Ids of a whole text."""
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+
 
 def encoder(path: str) -> _Ids:
     """The worker's word ids of the tokenizer file at ``path``."""
@@ -85,13 +105,14 @@ def from_planes(planes: list[bytes], n: int, unit: str) -> np.ndarray:
     return rows.view("<u4").ravel()
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, unit: str = "bit", block_ids: int = BLOCK_IDS, width: int = 32) -> None:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, unit: str = "byte", block_ids: int = BLOCK_IDS, width: int = 32) -> None:
     """Encode (doc_id, text) and write the store to ``folder``; unit is ``bit`` or ``byte``.
 
     Documents follow each other by doc_id, rows of an equal doc_id by a hash of the text; null ids come
     first. Null and empty texts have the end id alone. ``width`` is the number of bits an id may take;
     larger ids are an error. An empty table gives a store without chunks. Other columns are ignored.
-    The tokenizer must drop ASCII white space between words and merge nothing across it.
+    The tokenizer must be a byte-level one of words: it drops ASCII white space and case, merges nothing across
+    white space and parts closing marks from letters.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
@@ -119,7 +140,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, unit
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
             for doc_id, text, shard in zip(batch.column("doc_id").to_pylist(), texts, batch.column("shard").to_pylist(), strict=True):  # noqa: B020
-                ids = b"".join(map(ids_of.__getitem__, (text.as_py() or b"").split())) + end
+                ids = ids_of.of(text.as_py() or b"") + end
                 buffer += ids
                 pieces.append([row, doc_id, len(ids) // 4])
                 row += 1
@@ -144,7 +165,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, unit
     sizes.join(bases, "shard").select("shard", "chunk", (F.col("base") + F.col("first")).alias("first_id"), "n_ids", "plane_bytes").write.parquet(f"{folder}/index")
 
 
-def read_pieces(spark: SparkSession, folder: str, unit: str = "bit", with_ids: bool = True) -> DataFrame:
+def read_pieces(spark: SparkSession, folder: str, unit: str = "byte", with_ids: bool = True) -> DataFrame:
     """Pieces of documents: shard, row, doc_id, position (over the whole store), n, crc and the ids (null unless asked for)."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

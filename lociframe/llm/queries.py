@@ -13,6 +13,7 @@ from .entropy_mixing import mix
 from .jaccard_join import link
 from .lm_scoring import cross_entropy_difference
 from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
+from .pii import BASE_KINDS, candidates, fit as fit_spans, personal_spans
 from .store import written
 from .url_rules import judge_urls
 from .weak_rules import METRIC, fit, judge, measure
@@ -150,6 +151,23 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(hit["items"], ","), 256).alias("items_sha256"), (hit.n_hit > 0).alias("contaminated"))
 
 
+@query()
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = written(candidates(table(spark, folder, "documents").select("doc_id", "text")).drop("text"), "pii-spans")
+    spans = found.select("doc_id", personal_spans(fit_spans(found)).alias("s"))
+    base = F.filter("s", lambda s: s["base"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select(
+        "doc_id", *map(number, BASE_KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"))
+
+
 #: Fixed values of the query: action, host, path.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
