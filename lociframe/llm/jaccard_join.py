@@ -200,6 +200,27 @@ def _cluster_task(percent: int):
     return run
 
 
+def join_clusters(members: DataFrame, percent: int = PERCENT, block_hashes: int = BLOCK_HASHES) -> DataFrame:
+    """(id, label, links) from members (cluster, id, n, copies, hashes) of clusters that no link leaves; written.
+
+    A member may have several rows: (id, label) are edges whose components are the linked groups, and
+    links sum to the copies of the members linked with it. n is the set's size, hashes those of its
+    members that may be shared.
+    """
+    members = written(members.select("cluster", "id", "n", "copies", "hashes"), "join-members")
+    sizes = members.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.size("hashes")) / block_hashes)).cast("int").alias("blocks"))
+    # Small clusters share a task by a hash of the cluster; each pair of blocks of a large one is a task.
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    n_tasks = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8)
+    placed = (
+        members.join(sizes, "cluster").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("cluster", "id", "n", "copies", "hashes",
+                F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(n_tasks))).otherwise(F.xxhash64("cluster")).alias("task"),
+                F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right")))
+    return written(placed.groupBy("task", "x", "y").applyInPandas(_cluster_task(percent), "id long, label long, links long"), "join-answers")
+
+
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_hashes: int = BLOCK_HASHES) -> DataFrame:
     """doc_id, tie, n_shingles, component (key of the group), component_id, n_links of each row of (doc_id, text).
 
@@ -229,18 +250,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_has
     stars = posted.groupBy("hash").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     clusters = components(posted.join(stars, "hash").select("a", F.col("id").alias("b")))
     members = prepared.drop("prefix").join(clusters.withColumnRenamed("label", "cluster"), "id")
-    sizes = clusters.withColumnRenamed("label", "cluster").join(prepared.select("id", F.size("hashes").alias("h")), "id").groupBy("cluster").agg(
-        F.ceil(F.sum("h") / block_hashes).cast("int").alias("blocks"))
-    # Small clusters share a task by a hash of the cluster; each pair of blocks of a large one is a task.
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    n_tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8)
-    placed = (
-        members.join(sizes, "cluster").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("cluster", "id", "n", "copies", "hashes",
-                F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(n_tasks))).otherwise(F.xxhash64("cluster")).alias("task"),
-                F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right")))
-    answered = written(placed.groupBy("task", "x", "y").applyInPandas(_cluster_task(percent), "id long, label long, links long"), "join-answers")
+    answered = join_clusters(members, percent, block_hashes)
     linked = components(answered.select(F.col("id").alias("a"), F.col("label").alias("b")))
     counted = answered.groupBy("id").agg(F.sum("links").alias("links"))
     joined_classes = (

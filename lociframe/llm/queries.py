@@ -13,6 +13,7 @@ from .entropy_mixing import mix
 from .jaccard_join import link
 from .lm_scoring import cross_entropy_difference
 from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
+from .paragraph_dedup import repeated_passages
 from .pii import BASE_KINDS, candidates, fit as fit_spans, personal_spans
 from .store import written
 from .url_rules import judge_urls
@@ -185,3 +186,8 @@ from parts p left join fits f on p.page_id = f.page_id and rank = 1
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules)
+
+
+@query()
+def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))

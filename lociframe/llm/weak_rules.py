@@ -83,18 +83,18 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     docs = docs.drop(METRIC)
     return (
-        docs.withColumns({"_words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), "_lines": lines})
+        docs.withColumns({"_rule_words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), "_rule_lines": lines})
         .withColumn(METRIC, F.struct(
-            F.size("_words").cast("long").alias("n_words"),
-            F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+            F.size("_rule_words").cast("long").alias("n_words"),
+            F.length(F.array_join("_rule_words", "")).cast("long").alias("word_chars"),
             F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-            F.size("_lines").cast("long").alias("n_lines"),
-            (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-            _repeated_words(F.col("_words")).alias("n_repeat_words"),
+            F.size("_rule_lines").cast("long").alias("n_lines"),
+            (F.size("_rule_lines") - F.size(F.array_distinct("_rule_lines"))).cast("long").alias("n_dup_lines"),
+            _repeated_words(F.col("_rule_words")).alias("n_repeat_words"),
             F.regexp_count(text, F.lit("!")).cast("long").alias("n_exclamations"),
             F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
             F.regexp_count(text, F.lit(r"[\p{L}\p{N}][.,;:?]?(?=[\x20\x09-\x0D]|\z)")).cast("long").alias("n_plain_words"),
-        )).drop("_words", "_lines")
+        )).drop("_rule_words", "_rule_lines")
     )
 
 
