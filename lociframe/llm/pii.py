@@ -25,9 +25,10 @@ KINDS = (*BASE_KINDS, "secret", "number")
 
 #: Fixed patterns of the base kinds. Email runs once over each run of name characters (a match may begin
 #: where the last one ended); a card needs 16 digits to count, so shorter runs need not be matched.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Repeated groups are possessive, which Java runs without recursion.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
 IP = r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
-CARD = r"[0-9](?:[\x20-]?[0-9]){15,}"
+CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 SECRET = r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+"
 NUMBER = r"(?<![A-Za-z0-9+.])[0-9](?:[\x20./()-]{0,2}[0-9]){6,}+(?![A-Za-z0-9])"
