@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.lists import list_cells
 from ..functions.sequence import cds_checks, count_bases, reverse_complement, translate_codons
 from .intervals import POSITION_BIN
 from .sequences import CHUNK
@@ -63,7 +62,7 @@ def introns(
     """Introns between the exons (or CDS parts) of each transcript.
 
     ``group_by="gene_pooled"`` pools the segments of all transcripts of a gene. With ``genome``
-    (seqid, seq) the A+T share of each intron is added; a sequence missing from it is an error.
+    (species, seqid, seq) the A+T share of each intron is added; a sequence missing from it is an error.
     """
     attribute = F.coalesce(F.try_element_at("attrs", F.lit("gene_id")), F.try_element_at("attrs", F.lit("gene")))
     parts = features.filter(F.col("type") == feature).select(
@@ -80,8 +79,8 @@ def introns(
     if genome is None:
         rows = rows.withColumn("at_content", F.lit(None).cast("double")).withColumn("is_at_rich", F.lit(None).cast("boolean"))
     else:
-        share = interval_at_share(rows.select("seqid", "start0", "end0").distinct(), genome)
-        rows = rows.join(share, ["seqid", "start0", "end0"], "left").withColumn("is_at_rich", F.col("at_content") >= at_rich)
+        share = interval_at_share(rows.select("species", "seqid", "start0", "end0").distinct(), genome)
+        rows = rows.join(share, ["species", "seqid", "start0", "end0"], "left").withColumn("is_at_rich", F.col("at_content") >= at_rich)
     return rows.select(
         "species", "seqid", "start0", "end0", (F.col("start0") + 1).alias("start1"), F.col("end0").alias("end1"), "length", "strand", "gene_id",
         "transcript_id", "intron_number", "source_feature", "is_short_intron", "at_content", "is_at_rich")
@@ -104,37 +103,45 @@ def interval_pieces(intervals: DataFrame, chunks: DataFrame, lengths: DataFrame,
 
 
 def interval_at_share(intervals: DataFrame, genome: DataFrame) -> DataFrame:
-    """A+T share of the A, C, G and T bases of each distinct interval, to six digits; NULL without such bases."""
+    """A+T share of the A, C, G and T bases of each distinct interval (species, seqid, start0, end0); NULL without such bases.
+
+    ``genome`` has species, seqid, seq.
+    """
     from .sequences import chunk_sequences
 
-    lengths = genome.select("seqid").distinct()
-    cut = interval_pieces(intervals, chunk_sequences(genome.select("seqid", "seq")), lengths)
-    counts = cut.groupBy("seqid", "start0", "end0").agg(
+    joint = F.concat_ws("\t", "species", "seqid")
+    keyed = genome.select(joint.alias("seqid"), "seq")
+    own = intervals.select("species", F.col("seqid").alias("_seqid"), joint.alias("seqid"), "start0", "end0")
+    cut = interval_pieces(own, chunk_sequences(keyed), keyed.select("seqid").distinct())
+    counts = cut.groupBy("species", "_seqid", "start0", "end0").agg(
         F.sum(count_bases(F.col("piece"), "AT")).alias("_at"), F.sum(count_bases(F.col("piece"), "ACGT")).alias("_all"))
-    return counts.select("seqid", "start0", "end0", F.when(F.col("_all") > 0, F.round(F.col("_at") / F.col("_all"), 6)).alias("at_content"))
+    return counts.select("species", F.col("_seqid").alias("seqid"), "start0", "end0", F.when(F.col("_all") > 0, F.col("_at") / F.col("_all")).alias("at_content"))
 
 
 def unique_introns(rows: DataFrame) -> DataFrame:
-    """One row per intron locus with the lists of its transcripts and genes."""
+    """One row per intron locus with the number of its transcripts and genes; ``intron_members`` has their rows."""
     keys = ["species", "seqid", "start0", "end0", "strand"]
     rest = ["start1", "end1", "length", "source_feature", "is_short_intron", "at_content", "is_at_rich"]
-    loci = rows.groupBy(*keys).agg(*[F.min(c).alias(c) for c in (*rest, "intron_number")])
-    transcripts = list_cells(rows.select(*keys, "transcript_id").distinct(), keys, "transcript_id", "transcript_ids", ",")
-    genes = list_cells(rows.select(*keys, F.coalesce("gene_id", F.lit("NA")).alias("gene_id")).distinct(), keys, "gene_id", "gene_ids", ",")
-    return loci.join(transcripts, keys).join(genes, keys)
+    return rows.groupBy(*keys).agg(
+        *[F.min(c).alias(c) for c in (*rest, "intron_number")], F.count_distinct("transcript_id").alias("transcript_count"), F.count_distinct("gene_id").alias("gene_count"))
+
+
+def intron_members(rows: DataFrame) -> DataFrame:
+    """Distinct transcripts and genes of each intron locus, one row each."""
+    return rows.select("species", "seqid", "start0", "end0", "strand", "transcript_id", F.coalesce("gene_id", F.lit("NA")).alias("gene_id")).distinct()
 
 
 def intron_summary(rows: DataFrame) -> DataFrame:
-    """Nine intron metrics as metric/value rows."""
-    counts = rows.agg(
+    """Nine intron metrics of each species as metric/value rows; a species without introns has none."""
+    counts = rows.groupBy("species").agg(
         F.countDistinct("transcript_id").alias("transcripts_with_introns"), F.countDistinct("gene_id").alias("genes_with_introns"),
         F.count(F.lit(1)).alias("total_introns"), F.countDistinct("seqid", "start0", "end0", "strand").alias("unique_introns"),
         F.count_if("is_short_intron").alias("short_introns"), F.count_if("is_at_rich").alias("at_rich_introns"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("total_intron_bp"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean_intron_length"))
-    long = counts.select(*[F.col(c).cast("double").alias(c) for c in counts.columns]).unpivot([], counts.columns, "metric", "value")
-    middle = grouped_median(rows.withColumn("metric", F.lit("median_intron_length")), ["metric"], "length", "value")
-    empty = long.filter("metric = 'total_introns' and value = 0").select(F.lit("median_intron_length").alias("metric"), "value")
-    return long.unionByName(middle).unionByName(empty)
+    names = counts.columns[1:]
+    long = counts.select("species", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(["species"], names, "metric", "value")
+    middle = grouped_median(rows.withColumn("metric", F.lit("median_intron_length")), ["species", "metric"], "length", "value")
+    return long.unionByName(middle.select("species", "metric", "value"))
 
 
 def intron_sequence_summary(unique: DataFrame) -> DataFrame:
@@ -249,36 +256,34 @@ def gff_structure(features: DataFrame, genome_lengths: DataFrame | None = None,
             "checks": structure_checks(rows, genome_lengths), "histograms": histograms}
 
 
-def structure_checks(rows: DataFrame, genome_lengths: DataFrame | None = None, listed: int = 50) -> DataFrame:
-    """Quality checks per species: repeated ids, orphans, dangling parents (first names listed), positions outside the genome."""
-    species = rows.select("species").distinct()
+def failed_names(rows: DataFrame) -> DataFrame:
+    """(species, check, id) of every repeated id and every parent that is missing."""
     repeated = rows.filter("id is not null").groupBy("species", "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    orphans = rows.filter(~F.col("type").isin("gene", *TRANSCRIPT_TYPES) & (F.size("parents") == 0)).groupBy("species").agg(F.count(F.lit(1)).alias("n"))
     ids = rows.filter("id is not null").select("species", "id").distinct()
     dangling = rows.select("species", F.explode("parents").alias("id")).distinct().join(ids, ["species", "id"], "left_anti")
+    return repeated.select("species", F.lit("duplicate_ids").alias("check"), "id").unionByName(
+        dangling.select("species", F.lit("missing_parent_references").alias("check"), "id"))
+
+
+def structure_checks(rows: DataFrame, genome_lengths: DataFrame | None = None) -> DataFrame:
+    """Quality checks per species with the number of cases: repeated ids, orphans, dangling parents, positions outside the genome; ``failed_names`` has the names."""
+    species = rows.select("species").distinct()
+    named = failed_names(rows).groupBy("species", "check").agg(F.count(F.lit(1)).alias("n"))
+    orphans = rows.filter(~F.col("type").isin("gene", *TRANSCRIPT_TYPES) & (F.size("parents") == 0)).groupBy("species").agg(F.count(F.lit(1)).alias("n"))
     if genome_lengths is not None:
         outside = rows.join(genome_lengths.select("species", "seqid", F.col("length").alias("_len")), ["species", "seqid"], "left").filter(
             "_len is null or end > _len or start < 1").groupBy("species").agg(F.count(F.lit(1)).alias("n"))
 
-    def check(found: DataFrame, name: str, details: Column, bad: str) -> DataFrame:
+    def check(found: DataFrame, name: str, bad: str) -> DataFrame:
+        n = F.coalesce("n", F.lit(0))
         return species.join(found, "species", "left").select(
-            "species", F.lit(name).alias("check"), F.when(F.coalesce("n", F.lit(0)) > 0, bad).otherwise("pass").alias("status"), details.alias("details"))
-
-    def some_names(df: DataFrame, limit: int | None) -> DataFrame:
-        counts = df.groupBy("species").agg(F.count(F.lit(1)).alias("n"))
-        if limit is None:
-            cells = list_cells(df.select("species", "id"), ["species"], "id", "names")
-            return counts.join(cells.drop("names_part"), "species")
-        first = Window.partitionBy("species").orderBy("id")
-        top = df.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= limit)
-        return counts.join(top.groupBy("species").agg(F.array_join(F.array_sort(F.collect_list("id")), ";").alias("names")), "species")
-
-    number = F.coalesce("n", F.lit(0)).cast("string")
-    out = check(some_names(repeated.drop("n"), None), "duplicate_ids", F.coalesce("names", F.lit("none")), "fail")
-    out = out.unionByName(check(orphans, "child_features_without_parent", number, "warn"))
-    out = out.unionByName(check(some_names(dangling, listed), "missing_parent_references", F.coalesce("names", F.lit("none")), "fail"))
+            "species", F.lit(name).alias("check"), F.when(n > 0, bad).otherwise("pass").alias("status"), n.cast("string").alias("details"))
+
+    out = check(orphans, "child_features_without_parent", "warn")
+    for name in ("duplicate_ids", "missing_parent_references"):
+        out = out.unionByName(check(named.filter(F.col("check") == name).drop("check"), name, "fail"))
     if genome_lengths is not None:
-        return out.unionByName(check(outside, "seqids_in_genome", number, "fail"))
+        return out.unionByName(check(outside, "seqids_in_genome", "fail"))
     return out.unionByName(species.select("species", F.lit("seqids_in_genome").alias("check"), F.lit("pass").alias("status"), F.lit("not_tested").alias("details")))
 
 
@@ -367,5 +372,5 @@ def feature_coordinates(features: DataFrame) -> DataFrame:
 def annotated_transcripts(features: DataFrame) -> DataFrame:
     """Transcripts with gene and location; a transcript without a parent is its own gene."""
     rows = features.filter(F.col("type").isin(*TRANSCRIPT_TYPES) & F.col("id").isNotNull()).select(
-        F.col("id").alias("transcript_id"), F.coalesce(_first_parent(), F.col("id")).alias("gene_id"), "seqid", "start", "end", "strand", "_row")
-    return last_by(rows, ["transcript_id"], "_row", ["gene_id", "seqid", "start", "end", "strand"])
+        "species", F.col("id").alias("transcript_id"), F.coalesce(_first_parent(), F.col("id")).alias("gene_id"), "seqid", "start", "end", "strand", "_row")
+    return last_by(rows, ["species", "transcript_id"], "_row", ["gene_id", "seqid", "start", "end", "strand"])

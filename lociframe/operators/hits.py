@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.lists import list_cells
 from ..functions.text import MISSING, column_of, first_present, joined, labels, present, to_double, to_long
 from .summaries import last_by
 
@@ -325,15 +324,10 @@ def refined_taxonomy(raw: DataFrame, rank: str = "genus", row_order: str | None
 
 
 def refined_summary(refined: DataFrame) -> DataFrame:
-    """Candidates per refined taxon with the donor groups seen."""
-    keys = ["refined_donor_rank", "refined_donor_taxon"]
-    per_group = refined.groupBy(*keys, "best_donor_group").agg(F.count(F.lit(1)).alias("_n"))
-    counts = per_group.groupBy(*keys).agg(F.sum("_n").alias("candidate_count"))
-    groups = list_cells(per_group.select(*keys, "best_donor_group"), keys, "best_donor_group", "donor_groups")
-    return counts.join(groups, keys).select(
-        F.col("refined_donor_rank").alias("rank"), F.col("refined_donor_taxon").alias("donor_taxon"), "candidate_count",
-        "donor_groups_part", "donor_groups",
-    )
+    """Candidates per refined taxon and donor group."""
+    return refined.groupBy(
+        F.col("refined_donor_rank").alias("rank"), F.col("refined_donor_taxon").alias("donor_taxon"), F.col("best_donor_group").alias("donor_group"),
+    ).agg(F.count(F.lit(1)).alias("candidate_count"))
 
 
 def condition_candidates(

@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..functions.lists import list_cells
 from ..functions.text import first_present, split_terms
 
 RULE_BLOCK = 500
@@ -132,7 +131,7 @@ def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1
 def seed_evidence(seeds: DataFrame, rules: DataFrame) -> DataFrame:
     """Seed genes under each seed rule; a seed rule without a pattern takes every seed."""
     used = rules.filter(F.col("evidence_type").isin(*SEED_TYPES)).withColumn("mode", F.when(
-        F.col("match_mode").isin("regex", "exact", "token"), F.col("match_mode")).otherwise("contains")).withColumn("field", F.lit("seed_ids"))
+        F.col("match_mode").isin("regex", "exact", "token") & (F.col("pattern") != ""), F.col("match_mode")).otherwise("contains")).withColumn("field", F.lit("seed_ids"))
     ids = seeds.select(F.col("gene_id").cast("string")).distinct().select("gene_id", F.col("gene_id").alias("value"), F.lit("seed_ids").alias("field"))
     return _evidence(_matches(ids, used, _listed(used)), F.col("field"), F.col("gene_id"), F.col("score"), F.lit("seed_list"))
 
@@ -151,8 +150,6 @@ def family_evidence(
 
 
 def evidence_summary(evidence: DataFrame) -> DataFrame:
-    """Genes, rows and evidence types per family."""
-    keys = ["family_id", "family_name"]
-    counts = evidence.groupBy(*keys).agg(F.countDistinct("gene_id").alias("selected_genes"), F.count(F.lit(1)).alias("evidence_rows"))
-    types = list_cells(evidence.select(*keys, "evidence_type").distinct(), keys, "evidence_type", "evidence_types")
-    return counts.join(types, keys)
+    """Genes, rows and evidence types per family; the types themselves are rows of ``evidence``."""
+    return evidence.groupBy("family_id", "family_name").agg(
+        F.countDistinct("gene_id").alias("selected_genes"), F.count(F.lit(1)).alias("evidence_rows"), F.countDistinct("evidence_type").alias("evidence_type_count"))

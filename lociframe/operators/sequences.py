@@ -88,9 +88,9 @@ def kmer_counts(sequences: DataFrame, k: int = 21, chunk: int = 256) -> DataFram
     return positions.select(F.least(forward, backward).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("count"))
 
 
-def kmer_histogram(counts: DataFrame, cap: int = 100_000) -> DataFrame:
-    """How many distinct k-mers occur how often; counts from ``cap`` on share the last bin."""
-    return counts.groupBy(F.least(F.col("count"), F.lit(cap)).alias("multiplicity")).agg(F.count(F.lit(1)).alias("kmers"))
+def kmer_histogram(counts: DataFrame, cap: int | None = None) -> DataFrame:
+    """How many distinct k-mers occur how often; with ``cap`` counts from there on share the last bin."""
+    return counts.groupBy((F.col("count") if cap is None else F.least(F.col("count"), F.lit(cap))).alias("multiplicity")).agg(F.count(F.lit(1)).alias("kmers"))
 
 
 def kmers_between(counts: DataFrame, low: int, high: int) -> DataFrame:

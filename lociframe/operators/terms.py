@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lists import list_cells
 from ..functions.stats import benjamini_hochberg, hypergeometric_tail
 from ..functions.text import first_present, present, split_terms, to_long
 from .summaries import last_by
@@ -50,11 +49,8 @@ def gene_terms(annotation: DataFrame, term_column: str, id_column: str = "transc
 
 
 def term_counts(pairs: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Distinct genes per term with the gene list, and the term's name when a lookup is given."""
-    distinct = pairs.select("term_id", "gene_id").distinct()
-    counts = distinct.groupBy("term_id").agg(F.count(F.lit(1)).alias("gene_count"))
-    cells = list_cells(distinct, ["term_id"], "gene_id", "genes")
-    out = counts.join(cells, "term_id")
+    """Distinct genes per term, and the term's name when a lookup is given; the genes themselves are the rows of ``gene_terms``."""
+    out = pairs.groupBy("term_id").agg(F.count_distinct("gene_id").alias("gene_count"))
     if names is not None:
         out = out.join(names.select("term_id", "term_name"), "term_id", "left")
     return out
@@ -78,22 +74,16 @@ def gene_pathways(gene_kos: DataFrame, ko_map: DataFrame, names: DataFrame | Non
 
 
 def pathway_counts(gene_kos: DataFrame, ko_map: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Distinct genes and KOs per pathway with both lists."""
-    rows = gene_pathways(gene_kos, ko_map)
-    genes = rows.select("pathway_id", "gene_id").distinct()
-    counts = genes.groupBy("pathway_id").agg(F.count(F.lit(1)).alias("gene_count"))
-    kos = list_cells(rows.select("pathway_id", "ko_id").distinct(), ["pathway_id"], "ko_id", "ko_ids")
-    out = counts.join(kos, "pathway_id").join(list_cells(genes, ["pathway_id"], "gene_id", "genes"), "pathway_id")
+    """Distinct genes and KOs per pathway; the genes and KOs themselves are the rows of ``gene_pathways``."""
+    out = gene_pathways(gene_kos, ko_map).groupBy("pathway_id").agg(F.count_distinct("gene_id").alias("gene_count"), F.count_distinct("ko_id").alias("ko_count"))
     if names is not None:
         out = out.join(names.select("pathway_id", "pathway_name", "level1", "level2"), "pathway_id", "left")
     return out
 
 
 def unmapped_terms(gene_kos: DataFrame, ko_map: DataFrame) -> DataFrame:
-    """KOs without any pathway, with their genes."""
-    lost = gene_kos.join(ko_map.select("ko_id").distinct(), "ko_id", "left_anti").select("ko_id", "gene_id").distinct()
-    counts = lost.groupBy("ko_id").agg(F.count(F.lit(1)).alias("gene_count"))
-    return counts.join(list_cells(lost, ["ko_id"], "gene_id", "genes"), "ko_id")
+    """KO and gene rows of KOs without any pathway."""
+    return gene_kos.join(ko_map.select("ko_id").distinct(), "ko_id", "left_anti").select("ko_id", "gene_id").distinct()
 
 
 def category_letters(value: Column) -> Column:
@@ -151,10 +141,8 @@ def domain_architecture(domains: DataFrame, id_column: str = "query_id") -> Data
 
 
 def architecture_frequency(architectures: DataFrame, id_column: str = "query_id") -> DataFrame:
-    """Proteins per architecture with the protein list."""
-    pairs = architectures.select("domain_architecture", id_column)
-    counts = pairs.groupBy("domain_architecture").agg(F.count(F.lit(1)).alias("gene_count"))
-    return counts.join(list_cells(pairs, ["domain_architecture"], id_column, "genes"), "domain_architecture")
+    """Proteins per architecture; the proteins themselves are the rows of ``domain_architecture``."""
+    return architectures.filter(F.col(id_column).isNotNull()).groupBy("domain_architecture").agg(F.count(F.lit(1)).alias("gene_count"))
 
 
 def term_enrichment(
@@ -162,7 +150,6 @@ def term_enrichment(
     universe: DataFrame,
     foreground: DataFrame,
     min_count: int = 1,
-    with_ids: bool = False,
 ) -> DataFrame:
     """Right-tail over-representation of each term in the foreground, with false-discovery rates.
 
@@ -185,31 +172,34 @@ def term_enrichment(
     c = F.col("background_with_term") - a
     d = F.col("background_total") - F.col("foreground_total") - c
     tested = benjamini_hochberg(sized.withColumn("p_value", hypergeometric_tail(a, b, c, d)), "p_value", "q_value")
-    out = tested.select(
+    return tested.select(
         "term_id", "foreground_with_term", "foreground_total", "background_with_term", "background_total", "p_value", "q_value"
     )
-    if with_ids:
-        ids = list_cells(flagged.filter("_fg = 1").select("term_id", "gene_id"), ["term_id"], "gene_id", "foreground_ids")
-        out = out.join(ids, "term_id", "left")
-    return out
+
+
+def foreground_terms(pairs: DataFrame, universe: DataFrame, foreground: DataFrame) -> DataFrame:
+    """Term and gene rows of the foreground genes that the test counts."""
+    genes = universe.select("gene_id").distinct().join(foreground.select("gene_id").distinct(), "gene_id", "left_semi")
+    return pairs.select("term_id", "gene_id").distinct().join(genes, "gene_id", "left_semi").select("term_id", "gene_id")
 
 
 def top_terms(
-    enrichment: DataFrame, names: DataFrame | None = None, max_terms: int = 200, max_q: float = 0.05,
+    enrichment: DataFrame, names: DataFrame | None = None, max_terms: int | None = None, max_q: float = 0.05,
     plot_group: str = "target",
 ) -> DataFrame:
-    """Report of the best terms: significant ones with names, lowest q-value first, at most ``max_terms``."""
+    """Report of the best terms: significant ones with names, lowest q-value first; ``max_terms`` limits the report when given."""
     kept = enrichment.filter(F.col("q_value") <= max_q)
     if names is not None:
         kept = kept.join(names.select("term_id", "term_name", "ontology"), "term_id", "left")
     else:
         kept = kept.withColumn("term_name", F.lit(None).cast("string")).withColumn("ontology", F.lit(None).cast("string"))
     named = kept.withColumn("term_name", F.coalesce("term_name", F.col("term_id").cast("string")))
-    return named.select(
+    report = named.select(
         "term_id", "term_name", "ontology", "p_value", "q_value", F.col("foreground_with_term").alias("foreground_count"),
         "foreground_total", F.col("background_with_term").alias("background_count"), "background_total",
         F.lit(plot_group).alias("plot_group"), F.concat_ws(" ", F.col("term_id").cast("string"), "term_name").alias("label"),
-    ).orderBy("q_value", "p_value", "term_id").limit(max_terms)
+    ).orderBy("q_value", "p_value", "term_id")
+    return report if max_terms is None else report.limit(max_terms)
 
 
 def pathway_enrichment(
@@ -226,9 +216,6 @@ def pathway_enrichment(
         return table.join(titled.select("ko_id", "pathway_id"), "ko_id").select("pathway_id", "gene_id").distinct().groupBy(
             "pathway_id").agg(F.count(F.lit(1)).alias(count))
 
-    rows = foreground.join(titled.select("ko_id", "pathway_id"), "ko_id")
-    genes = list_cells(rows.select("pathway_id", "gene_id").distinct(), ["pathway_id"], "gene_id", "genes")
-    kos = list_cells(rows.select("pathway_id", "ko_id").distinct(), ["pathway_id"], "ko_id", "kos", sep="+")
     n_fg = foreground.select("gene_id").distinct().agg(F.count(F.lit(1)))
     n_bg = background.select("gene_id").distinct().agg(F.count(F.lit(1)))
     counted = per_pathway(foreground, "foreground_genes").join(
@@ -237,20 +224,13 @@ def pathway_enrichment(
     a, marked, draws, n = (F.col(c) for c in ("foreground_genes", "background_genes", "_fg", "_bg"))
     tail = F.when(a <= F.least(marked, draws), hypergeometric_tail(a, draws - a, marked - a, n - draws - marked + a)).otherwise(0.0)
     tested = benjamini_hochberg(counted.withColumn("p_value", tail), "p_value", "q_value")
-    return (
-        tested.join(titles, "pathway_id").join(genes, "pathway_id").join(kos, "pathway_id").drop("_fg", "_bg")
-    )
+    return tested.join(titles, "pathway_id").drop("_fg", "_bg")
 
 
 def pathway_tally(foreground: DataFrame, ko_map: DataFrame, titles: DataFrame) -> DataFrame:
-    """The same report without a background: genes and KOs per titled pathway."""
-    titled = ko_map.select("ko_id", "pathway_id").distinct().join(titles, "pathway_id")
-    rows = foreground.join(titled.select("ko_id", "pathway_id"), "ko_id")
-    genes = rows.select("pathway_id", "gene_id").distinct()
-    counts = genes.groupBy("pathway_id").agg(F.count(F.lit(1)).alias("foreground_genes"))
-    kos = list_cells(rows.select("pathway_id", "ko_id").distinct(), ["pathway_id"], "ko_id", "kos", sep="+")
-    return counts.join(titles, "pathway_id").join(
-        list_cells(genes, ["pathway_id"], "gene_id", "genes"), "pathway_id").join(kos, "pathway_id")
+    """The same report without a background: number of genes and KOs per titled pathway; ``gene_pathways`` has their rows."""
+    counts = gene_pathways(foreground, ko_map).groupBy("pathway_id").agg(F.count_distinct("gene_id").alias("foreground_genes"), F.count_distinct("ko_id").alias("foreground_kos"))
+    return counts.join(titles, "pathway_id")
 
 
 def select_ko(gene_lists: DataFrame, background: DataFrame) -> DataFrame:

@@ -53,3 +53,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def text(column: str) -> Column:
     return F.col(column).cast("string")
+
+
+def keyed(known: Column, key: Column) -> Column:
+    """The key where ``known`` holds, else a key of another table's range: whole tables with keys that miss."""
+    return F.when(known, key.cast("string")).otherwise(F.concat(F.lit("no "), key.cast("string")))

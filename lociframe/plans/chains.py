@@ -41,11 +41,11 @@ def functional_annotation(
         out |= {"architectures": architectures, "architecture_counts": terms.architecture_frequency(architectures)}
     if foreground is not None:
         universe = merged.select(F.col("transcript_id").alias("gene_id"))
-        out["go_enrichment"] = terms.term_enrichment(go, universe, foreground, with_ids=True)
+        out |= {"go_enrichment": terms.term_enrichment(go, universe, foreground), "go_foreground": terms.foreground_terms(go, universe, foreground)}
     return out
 
 
-def go_handoff(enrichment: DataFrame, names: DataFrame | None = None, max_terms: int = 200, max_q: float = 0.05) -> DataFrame:
+def go_handoff(enrichment: DataFrame, names: DataFrame | None = None, max_terms: int | None = None, max_q: float = 0.05) -> DataFrame:
     """Report of the significant terms of a functional annotation."""
     return terms.top_terms(enrichment, names, max_terms, max_q)
 
@@ -120,7 +120,7 @@ def intron_features(features: DataFrame, genome: DataFrame | None = None, **opti
     """All, short and unique introns with their summaries."""
     found = genes.introns(features, genome=genome, **options)
     unique = genes.unique_introns(found)
-    return {"introns": found, "short": found.filter("is_short_intron"), "unique": unique, "summary": genes.intron_summary(found),
+    return {"introns": found, "short": found.filter("is_short_intron"), "unique": unique, "members": genes.intron_members(found), "summary": genes.intron_summary(found),
             "sequences": genes.intron_sequence_summary(unique)}
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import families, matrices, synteny
-from .catalogue import Source, query, rounded, text
+from .catalogue import Source, keyed, query, rounded, text
 
 
 def _species(t: Source) -> list[str]:
@@ -98,7 +98,7 @@ def family_events_m2(t: Source) -> DataFrame:
 
 
 EVENTS = """
-    with c as ({node_counts}), nodes as ({node_parent}), fams as (select distinct family_id from c where family_id not like 'Brand#3/%'),
+    with c as ({node_counts}), nodes as ({node_parent}), fams as (select distinct family_id from c),
     pairs as (select f.family_id, n.node, n.parent, coalesce(a.copies, 0) as node_count, coalesce(b.copies, 0) as parent_count
               from fams f cross join nodes n left join c a on a.family_id = f.family_id and a.species = n.node
               left join c b on b.family_id = f.family_id and b.species = n.parent),
@@ -112,7 +112,7 @@ EVENTS = """
 def _events(t: Source) -> DataFrame:
     counts = t.node_counts
     source = F.when(F.right("family_id", F.lit(1)).isin("Y", "O", "E"), "bacteria").otherwise("virus")
-    sources = counts.filter("family_id not like 'Brand#3/%'").select("family_id").distinct().withColumn("majority_source", source)
+    sources = counts.select("family_id").distinct().withColumn("majority_source", source)
     return families.node_events(counts, t.node_parent, sources)
 
 
@@ -180,8 +180,8 @@ def node_totals(t: Source) -> DataFrame:
 
 
 TARGETS = GAIN_LOSS + """,
-    evidence as (select p_partkey as gene_id, 'fam_' || p_type as family_id, 'family ' || p_type as family_name, 'pfam' as evidence_type from part where p_size <= 10
-                 union all select p_partkey, 'fam_big', 'big', 'keyword' from part where p_size between 8 and 30),
+    evidence as (select case when p_size <= 40 then p_partkey else -p_partkey end as gene_id, 'fam_' || p_type as family_id, 'family ' || p_type as family_name, 'pfam' as evidence_type from part
+                 union all select case when p_size <= 30 then p_partkey else -p_partkey end, 'fam_big', 'big', 'keyword' from part),
     og as (select p_partkey as gene_id, p_brand || '/' || p_type as orthogroup_id from part where p_size > 15),
     per_family as (select family_id as orthogroup_id, sum(gain) as gain, sum(loss) as loss, sum(expansion) as expansion, sum(contraction) as contraction,
                    string_agg(distinct node_id, ';' order by node_id) filter (where gain + loss + expansion + contraction > 0) as event_nodes from gl group by family_id),
@@ -198,15 +198,17 @@ TARGETS = GAIN_LOSS + """,
 
 
 def _target_evidence(t: Source) -> DataFrame:
-    small = t.part.filter("p_size <= 10").select(
-        F.col("p_partkey").alias("gene_id"), F.concat(F.lit("fam_"), "p_type").alias("family_id"), F.concat(F.lit("family "), "p_type").alias("family_name"),
+    known = lambda most: F.when(F.col("p_size") <= most, F.col("p_partkey")).otherwise(-F.col("p_partkey")).alias("gene_id")
+    small = t.part.select(
+        known(40), F.concat(F.lit("fam_"), "p_type").alias("family_id"), F.concat(F.lit("family "), "p_type").alias("family_name"),
         F.lit("pfam").alias("evidence_type"))
-    return small.unionByName(t.part.filter("p_size between 8 and 30").select(
-        F.col("p_partkey").alias("gene_id"), F.lit("fam_big").alias("family_id"), F.lit("big").alias("family_name"), F.lit("keyword").alias("evidence_type")))
+    return small.unionByName(t.part.select(
+        known(30), F.lit("fam_big").alias("family_id"), F.lit("big").alias("family_name"), F.lit("keyword").alias("evidence_type")))
 
 
 def _orthogroups(t: Source) -> DataFrame:
-    return t.part.filter("p_size > 15").select(F.col("p_partkey").alias("gene_id"), F.concat_ws("/", "p_brand", "p_type").alias("family_id"))
+    key = F.when(F.col("p_size") > 15, F.col("p_partkey")).otherwise(-F.col("p_partkey") - 10**12)
+    return t.part.select(key.alias("gene_id"), F.concat_ws("/", "p_brand", "p_type").alias("family_id"))
 
 
 def _evolution(t: Source) -> DataFrame:
@@ -273,8 +275,8 @@ def candidate_integration_summary(t: Source) -> DataFrame:
 """)
 def family_members(t: Source) -> DataFrame:
     members = t.part.select(F.col("p_brand").alias("family_id"), text("p_partkey").alias("gene_id"))
-    targets = t.part.filter("p_size = 50").select(F.col("p_brand").alias("family_id"))
-    renamed = t.part.filter("p_size > 25").select(text("p_partkey").alias("original_id"), F.concat(F.lit("sp|"), text("p_partkey")).alias("prefixed_id"))
+    targets = t.part.select(keyed(F.col("p_size") == 50, F.col("p_brand")).alias("family_id"))
+    renamed = t.part.select(keyed(F.col("p_size") > 25, text("p_partkey")).alias("original_id"), F.concat(F.lit("sp|"), text("p_partkey")).alias("prefixed_id"))
     return families.family_members(members, targets, renamed)
 
 
@@ -370,8 +372,8 @@ def links_per_gene(t: Source) -> DataFrame:
     from b left join g r1 on r1.gene_id = b.r1 left join g r2 on r2.gene_id = b.r2 left join g q1 on q1.gene_id = b.q1 left join g q2 on q2.gene_id = b.q2
 """)
 def link_coordinates(t: Source) -> DataFrame:
-    genes = t.orders.filter("o_orderpriority <> '5-LOW'").select(
-        F.col("o_orderkey").alias("gene_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"),
+    genes = t.orders.select(
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("gene_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"),
         (F.col("o_orderkey") * 10).alias("start0"), (F.col("o_orderkey") * 10 + 5).alias("end0"))
     blocks = t.lineitem.select(
         F.col("l_orderkey").alias("ref_first"), (F.col("l_orderkey") + 1).alias("ref_last"), F.col("l_partkey").alias("query_first"), F.col("l_suppkey").alias("query_last"))

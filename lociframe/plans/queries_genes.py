@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import genes, matrices, trees
-from .catalogue import Source, query, rounded, text
+from .catalogue import Source, keyed, query, rounded, text
 
 SEGMENTS = """
     with seg as (select cast(l_orderkey as varchar) as tx, 'chr' || (l_orderkey % 5) as seqid, l_linenumber * 100 + l_suppkey % 7 as s,
@@ -55,14 +55,24 @@ def introns(t: Source) -> DataFrame:
     union all select 'median_intron_length', round(median(length), 6) from introns
 """)
 def intron_summary(t: Source) -> DataFrame:
-    return rounded(genes.intron_summary(genes.introns(_features(t))), "value")
+    return rounded(genes.intron_summary(genes.introns(_features(t))).drop("species"), "value")
 
 
 @query(SEGMENTS + """
-    select seqid, start0, end0, 0 as transcript_ids_part, string_agg(distinct tx, ',' order by tx) as transcript_ids from introns group by all
+    select 'sp' as species, i.seqid, start0, end0, '+' as strand, start0 + 1 as start1, end0 as end1, length, 'exon' as source_feature, length between 40 and 65 as is_short_intron,
+           null::double as at_content, null::boolean as is_at_rich, min(k) as intron_number, count(distinct tx) as transcript_count, count(distinct o_custkey) as gene_count
+    from introns i left join orders on cast(o_orderkey as varchar) = tx group by all
 """)
 def unique_introns(t: Source) -> DataFrame:
-    return genes.unique_introns(genes.introns(_features(t))).select("seqid", "start0", "end0", "transcript_ids_part", "transcript_ids")
+    return genes.unique_introns(genes.introns(_features(t)))
+
+
+@query(SEGMENTS + """
+    select distinct 'sp' as species, i.seqid, start0, end0, '+' as strand, tx as transcript_id, coalesce('g' || o_custkey, 'NA') as gene_id
+    from introns i left join orders on cast(o_orderkey as varchar) = tx
+""")
+def intron_members(t: Source) -> DataFrame:
+    return genes.intron_members(genes.introns(_features(t)))
 
 
 @query(SEGMENTS + """,
@@ -114,10 +124,10 @@ def structure_histograms(t: Source) -> DataFrame:
 
 @query("""
     select * from (
-        select 'duplicate_ids' as check, 'pass' as status, 'none' as details
+        select 'duplicate_ids' as check, 'pass' as status, '0' as details
         union all select 'child_features_without_parent', 'pass', '0'
-        union all select 'missing_parent_references', case when count(*) > 0 then 'fail' else 'pass' end, coalesce(string_agg(p, ';' order by p) filter (where k <= 50), 'none')
-        from (select p, row_number() over (order by p) as k from (
+        union all select 'missing_parent_references', case when count(*) > 0 then 'fail' else 'pass' end, cast(count(*) as varchar)
+        from (select p from (
             select distinct 'g' || o_custkey as p from orders where o_custkey not in (select c_custkey from customer)
             union select distinct cast(l_orderkey as varchar) from lineitem where l_orderkey not in (select o_orderkey from orders)))
         union all select 'seqids_in_genome', 'pass', 'not_tested')
@@ -147,17 +157,17 @@ def rename_tips(t: Source) -> DataFrame:
     part = F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), F.concat_ws(":", text("o_orderkey"), (F.col("o_orderkey") % 10).cast("string")).alias("x"))))
     corpus = t.orders.groupBy(F.col("o_custkey").alias("tree_id")).agg(part.alias("p")).select(
         "tree_id", F.concat(F.lit("("), F.array_join(F.transform("p", lambda i: i["x"]), ","), F.lit(");")).alias("newick"))
-    labels = t.customer.filter("c_mktsegment <> 'BUILDING'").select(text("c_custkey").alias("tip_id"), F.concat_ws(" ", "c_mktsegment", text("c_custkey")).alias("label"))
+    labels = t.customer.select(keyed(F.col("c_mktsegment") != "BUILDING", text("c_custkey")).alias("tip_id"), F.concat_ws(" ", "c_mktsegment", text("c_custkey")).alias("label"))
     return trees.rename_tips(corpus, labels)
 
 
 @query("""
-    select cast(c_custkey as varchar) as tip_id, c_mktsegment as gene_id, 'target' as source_group, null::varchar as species from customer where c_nationkey < 10
+    select cast(c_custkey as varchar) as tip_id, case when c_nationkey < 10 then c_mktsegment end as gene_id, 'target' as source_group, null::varchar as species from customer
     union all select distinct 'n' || n_nationkey, null, 'outgroup', 'outgroup' from nation
 """)
 def function_tip_table(t: Source) -> DataFrame:
-    targets = t.customer.filter("c_nationkey < 10").select(text("c_custkey").alias("gene_id"))
-    notes = t.customer.select(text("c_custkey").alias("transcript_id"), F.col("c_mktsegment").alias("gene_id"))
+    targets = t.customer.select(text("c_custkey").alias("gene_id"))
+    notes = t.customer.select(keyed(F.col("c_nationkey") < 10, text("c_custkey")).alias("transcript_id"), F.col("c_mktsegment").alias("gene_id"))
     outgroups = t.nation.select(F.concat(F.lit("n"), text("n_nationkey")).alias("gene_id"))
     return trees.function_tip_table(targets, notes, outgroups).select("tip_id", "gene_id", "source_group", "species")
 

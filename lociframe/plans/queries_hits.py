@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import annotations, hits, matrices
-from .catalogue import Source, query, rounded, text
+from .catalogue import Source, keyed, query, rounded, text
 
 TIES = ("subject_id", "pident", "query_coverage")
 CLASSES = dict(ingroup=["ingroup_a"], donor=["donor_a", "donor_b"], exclude=["excluded_a"])
@@ -141,8 +141,8 @@ REFINED = SCORED + """,
 
 
 def refined(t: Source) -> DataFrame:
-    tax = t.orders.filter("o_orderstatus <> 'P'").select(
-        F.col("o_orderkey").alias("query_id"), F.col("o_orderpriority").alias("refined_donor_taxon"), F.col("o_orderstatus").alias("lineage"))
+    tax = t.orders.select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("query_id"), F.col("o_orderpriority").alias("refined_donor_taxon"), F.col("o_orderstatus").alias("lineage"))
     return hits.refine_donors(scored(t), tax)
 
 
@@ -152,8 +152,7 @@ def refine_donors(t: Source) -> DataFrame:
 
 
 @query(REFINED + """
-    select refined_donor_rank as rank, refined_donor_taxon as donor_taxon, count(*) as candidate_count, 0 as donor_groups_part,
-           string_agg(distinct best_donor_group, ';' order by best_donor_group) as donor_groups
+    select refined_donor_rank as rank, refined_donor_taxon as donor_taxon, best_donor_group as donor_group, count(*) as candidate_count
     from refined group by all
 """)
 def refine_donors_summary(t: Source) -> DataFrame:
@@ -285,11 +284,11 @@ CONTEXT = SCORED + """,
 @query(CONTEXT)
 def candidate_context(t: Source) -> DataFrame:
     named = lambda c: F.concat(F.lit("T"), text(c))
-    notes = t.orders.filter("o_orderstatus = 'F'").select(
-        text("o_orderkey").alias("gene_id"), named("o_custkey").alias("transcript_id"), F.col("o_orderpriority").alias("description"))
-    coords = t.orders.filter("o_orderstatus <> 'P'").select(
-        text("o_orderkey").alias("id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"), F.col("o_orderkey").alias("start"),
-    ).unionByName(t.customer.filter("c_acctbal > 0").select(named("c_custkey").alias("id"), F.lit("cust").alias("seqid"), F.col("c_custkey").alias("start")))
+    notes = t.orders.select(
+        keyed(F.col("o_orderstatus") == "F", text("o_orderkey")).alias("gene_id"), named("o_custkey").alias("transcript_id"), F.col("o_orderpriority").alias("description"))
+    coords = t.orders.select(
+        keyed(F.col("o_orderstatus") != "P", text("o_orderkey")).alias("id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"), F.col("o_orderkey").alias("start"),
+    ).unionByName(t.customer.select(keyed(F.col("c_acctbal") > 0, named("c_custkey")).alias("id"), F.lit("cust").alias("seqid"), F.col("c_custkey").alias("start")))
     coords = coords.select("*", F.col("start").alias("end"), F.lit("+").alias("strand"), F.lit(1).alias("priority"))
     introns = t.lineitem.select(
         F.lit(None).cast("string").alias("gene_id"), named("l_partkey").alias("transcript_id"), (F.col("l_quantity") < 10).alias("is_short_intron"),

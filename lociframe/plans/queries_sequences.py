@@ -76,9 +76,9 @@ KMERS = """
 """
 
 
-@query(KMERS + "select least(n, 50) as multiplicity, count(*) as kmers from counts group by least(n, 50)")
+@query(KMERS + "select n as multiplicity, count(*) as kmers from counts group by n")
 def kmer_histogram(t: Source) -> DataFrame:
-    return sequences.kmer_histogram(sequences.kmer_counts(t.dna, 21), 50).withColumn("multiplicity", F.col("multiplicity").cast("bigint"))
+    return sequences.kmer_histogram(sequences.kmer_counts(t.dna, 21)).withColumn("multiplicity", F.col("multiplicity").cast("bigint"))
 
 
 @query(KMERS + "select kmer, n as count from counts where n between 40 and 60")
@@ -148,13 +148,13 @@ def reverse_complements(t: Source) -> DataFrame:
 
 
 ALIGNED = """
-    with a as (select p_brand as gene, p_type as species, min(p_size) as v from part where p_size < 40 group by all),
+    with a as (select p_brand as gene, p_type as species, min(p_size) as v from part group by all),
     aln as (select gene, species, repeat(case when v % 4 = 0 then '-' else 'A' end, 5 + cast(substring(gene, 7) as int)) as seq from a)
 """
 
 
 def _alignment(t: Source) -> DataFrame:
-    v = t.part.filter("p_size < 40").groupBy(F.col("p_brand").alias("gene"), F.col("p_type").alias("species")).agg(F.min("p_size").alias("v"))
+    v = t.part.groupBy(F.col("p_brand").alias("gene"), F.col("p_type").alias("species")).agg(F.min("p_size").alias("v"))
     seq = F.repeat(F.when(F.col("v") % 4 == 0, "-").otherwise("A"), F.lit(5) + F.substring("gene", 7, 10).cast("int"))
     return v.select("gene", "species", seq.alias("seq"))
 

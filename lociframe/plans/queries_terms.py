@@ -5,13 +5,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import annotations, families, rules, terms
-from .catalogue import Source, query, rounded, text
+from .catalogue import Source, keyed, query, rounded, text
 
 MAPPED = """
     with kos as (select distinct l_orderkey as gene_id, p_type || '/' || p_name as ko_id from lineitem join part on l_partkey = p_partkey),
-    map as (select distinct p_type || '/' || p_name as ko_id, p_brand as pathway_id from part where p_size <= 5),
+    map as (select distinct p_type || '/' || p_name as ko_id, p_brand as pathway_id from part where p_size % 4 = 0),
     names as (select distinct p_brand as pathway_id, 'name of ' || p_brand as pathway_name, substr(p_brand, 1, 7) as level1, 'all' as level2
-              from part where p_size > 20),
+              from part where p_brand not like '%3'),
     rows as (select * from kos join map using (ko_id))
 """
 
@@ -22,19 +22,18 @@ def _kos(t: Source) -> DataFrame:
 
 
 def _ko_map(t: Source) -> DataFrame:
-    return t.part.filter("p_size <= 5").select(F.concat_ws("/", "p_type", "p_name").alias("ko_id"), F.col("p_brand").alias("pathway_id")).distinct()
+    ko = F.concat_ws("/", "p_type", "p_name")
+    return t.part.select(keyed(F.col("p_size") % 4 == 0, ko).alias("ko_id"), F.col("p_brand").alias("pathway_id")).distinct()
 
 
 def _pathway_names(t: Source) -> DataFrame:
-    return t.part.filter("p_size > 20").select(
-        F.col("p_brand").alias("pathway_id"), F.concat(F.lit("name of "), "p_brand").alias("pathway_name"),
+    return t.part.select(
+        keyed(~F.col("p_brand").endswith("3"), F.col("p_brand")).alias("pathway_id"), F.concat(F.lit("name of "), "p_brand").alias("pathway_name"),
         F.substring("p_brand", 1, 7).alias("level1"), F.lit("all").alias("level2")).distinct()
 
 
 @query("""
-    select term_id, count(distinct gene_id) as gene_count, 0 as genes_part, n.term_name,
-           string_agg(distinct cast(gene_id as varchar), ';' order by cast(gene_id as varchar)) as genes
-    from {gene_terms} g left join (select p_brand, min(p_type) as term_name from part group by p_brand) n on n.p_brand = g.term_id
+    select term_id, count(distinct gene_id) as gene_count, n.term_name from {gene_terms} g left join (select p_brand, min(p_type) as term_name from part group by p_brand) n on n.p_brand = g.term_id
     group by term_id, n.term_name
 """)
 def term_counts(t: Source) -> DataFrame:
@@ -57,8 +56,7 @@ def gene_pathways(t: Source) -> DataFrame:
 
 
 @query(MAPPED + """
-    select pathway_id, count(distinct gene_id) as gene_count, 0 as ko_ids_part, string_agg(distinct ko_id, ';' order by ko_id) as ko_ids, 0 as genes_part,
-           string_agg(distinct cast(gene_id as varchar), ';' order by cast(gene_id as varchar)) as genes, any_value(pathway_name) as pathway_name,
+    select pathway_id, count(distinct gene_id) as gene_count, count(distinct ko_id) as ko_count, any_value(pathway_name) as pathway_name,
            any_value(level1) as level1, any_value(level2) as level2
     from rows left join names using (pathway_id) group by pathway_id
 """)
@@ -68,9 +66,7 @@ def pathway_counts(t: Source) -> DataFrame:
 
 
 @query(MAPPED + """
-    select ko_id, count(distinct gene_id) as gene_count, 0 as genes_part,
-           string_agg(distinct cast(gene_id as varchar), ';' order by cast(gene_id as varchar)) as genes
-    from kos where ko_id not in (select ko_id from map) group by ko_id
+    select distinct ko_id, cast(gene_id as varchar) as gene_id from kos where ko_id not in (select ko_id from map)
 """)
 def unmapped_terms(t: Source) -> DataFrame:
     return terms.unmapped_terms(_kos(t).withColumn("gene_id", text("gene_id")), _ko_map(t))
@@ -141,20 +137,20 @@ def top_terms(t: Source) -> DataFrame:
         - lgamma(bt + 1) + lgamma(ft + 1) + lgamma(bt - ft + 1)))) as p from xs where bt - k - ft + x >= 0 group by all),
     ranked as (select *, row_number() over (order by p) as rk, count(*) over () as m from tails),
     tested as (select *, least(1.0, min(p * m / rk) over (order by p desc, rk desc rows unbounded preceding)) as q from ranked)
-    select pathway_id, a as foreground_genes, k as background_genes, round(p, 6) as p_value, round(q, 6) as q_value from tested
+    select pathway_id, a as foreground_genes, k as background_genes, round(p, 6) as p_value, round(q, 6) as q_value, pathway_name, level1, level2
+    from tested join names using (pathway_id)
 """)
 def pathway_enrichment(t: Source) -> DataFrame:
     kos = _kos(t)
     foreground = kos.join(t.foreground, "gene_id", "left_semi")
     found = terms.pathway_enrichment(
         foreground.withColumn("gene_id", text("gene_id")), kos.withColumn("gene_id", text("gene_id")), _ko_map(t), _pathway_names(t))
-    return rounded(found, "p_value", "q_value").select("pathway_id", "foreground_genes", "background_genes", "p_value", "q_value")
+    return rounded(found, "p_value", "q_value")
 
 
 @query(MAPPED + """,
     fg as (select gene_id, ko_id from kos where gene_id in (select o_orderkey from orders where o_orderstatus = 'F'))
-    select pathway_id, count(distinct gene_id) as foreground_genes, pathway_name, level1, level2, 0 as genes_part, 0 as kos_part,
-           string_agg(distinct cast(gene_id as varchar), ';' order by cast(gene_id as varchar)) as genes, string_agg(distinct ko_id, '+' order by ko_id) as kos
+    select pathway_id, count(distinct gene_id) as foreground_genes, count(distinct ko_id) as foreground_kos, pathway_name, level1, level2
     from fg join map using (ko_id) join names using (pathway_id) group by pathway_id, pathway_name, level1, level2
 """)
 def pathway_tally(t: Source) -> DataFrame:
@@ -168,7 +164,7 @@ def pathway_tally(t: Source) -> DataFrame:
 """)
 def select_ko(t: Source) -> DataFrame:
     lists = t.lineitem.select(F.col("l_returnflag").alias("list_name"), F.col("l_orderkey").alias("gene_id")).distinct()
-    background = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("gene_id"), F.col("o_orderpriority").alias("ko"))
+    background = t.orders.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("gene_id"), F.col("o_orderpriority").alias("ko"))
     return terms.select_ko(lists, background)
 
 
@@ -194,9 +190,7 @@ def domain_architecture(t: Source) -> DataFrame:
 
 
 @query(ARCHITECTURE + """
-    select domain_architecture, count(*) as gene_count, 0 as genes_part,
-           string_agg(cast(query_id as varchar), ';' order by cast(query_id as varchar)) as genes
-    from arch group by domain_architecture
+    select domain_architecture, count(*) as gene_count from arch group by domain_architecture
 """)
 def architecture_frequency(t: Source) -> DataFrame:
     return terms.architecture_frequency(_architectures(t).withColumn("query_id", text("query_id")))
@@ -223,8 +217,8 @@ def merge_annotations(t: Source) -> DataFrame:
     domains = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         text("o_custkey").alias("Query_id"), F.lit("Pfam").alias("Subject_DB"), F.col("p_brand").alias("Subject_id"), F.col("p_type").alias("InterPro_id"),
         F.lit("NA").alias("GO_terms"))
-    egg = t.customer.filter("c_nationkey < 20").select(text("c_custkey").alias("query"), F.col("c_mktsegment").alias("COG_category"))
-    best = orders.filter("o_orderstatus = 'O'").select(text("o_custkey").alias("query_id"), F.col("o_orderpriority").alias("subject_id"), F.col("o_orderkey").alias("_row"))
+    egg = t.customer.select(keyed(F.col("c_nationkey") < 20, text("c_custkey")).alias("query"), F.col("c_mktsegment").alias("COG_category"))
+    best = orders.select(keyed(F.col("o_orderstatus") == "O", text("o_custkey")).alias("query_id"), F.col("o_orderpriority").alias("subject_id"), F.col("o_orderkey").alias("_row"))
     merged = annotations.merge_annotations(transcripts, cds, domains, egg, None, best, None)
     unlisted = lambda c: F.when(F.col(c) != "NA", F.col(c))
     return merged.select(
@@ -243,7 +237,7 @@ def select_by_function(t: Source) -> DataFrame:
     table = t.part.select(
         text("p_partkey").alias("transcript_id"), F.col("p_type").alias("gene_id"), F.concat_ws(";", F.lit("NA"), "p_brand").alias("Pfam_ids"),
         F.concat_ws(", ", "p_type", F.lit("NA")).alias("KEGG_ko"), F.col("p_name").alias("note"))
-    listed = t.lineitem.filter("l_quantity = 1").select(text("l_partkey").alias("gene_id"))
+    listed = t.lineitem.select(keyed(F.col("l_quantity") == 1, text("l_partkey")).alias("gene_id"))
     return annotations.select_by_function(table, ["Brand#2", "Brand#17"], ["ECONOMY", "PROMO"], "RING|bolt", listed)
 
 
@@ -285,7 +279,8 @@ def _rule_table(t: Source) -> DataFrame:
 
 def _evidence(t: Source) -> DataFrame:
     table = t.part.select(text("p_partkey").alias("transcript_id"), "p_name", "p_type", F.concat(F.lit("NA;"), "p_brand", F.lit(", "), "p_type").alias("terms"))
-    seeds = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("gene_id"))
+    key = text("o_orderkey")
+    seeds = t.orders.select(F.when(F.col("o_orderstatus") == "P", key).otherwise(F.translate(key, "0123456789", "abcdefghij")).alias("gene_id"))
     found = rules.family_evidence(table, _rule_table(t), t.hits, seeds, max_evalue=3e-5)
     status = F.when(F.col("annotation_status").startswith("evalue="), "hit").otherwise(F.col("annotation_status"))
     return found.withColumn("annotation_status", status)
@@ -297,8 +292,8 @@ def rule_evidence(t: Source) -> DataFrame:
 
 
 @query(EVIDENCE + """
-    select family_id, family_name, count(distinct gene_id) as selected_genes, count(*) as evidence_rows, 0 as evidence_types_part,
-           string_agg(distinct evidence_type, ';' order by evidence_type) as evidence_types
+    select family_id, family_name, count(distinct gene_id) as selected_genes, count(*) as evidence_rows,
+           count(distinct evidence_type) as evidence_type_count
     from ev group by family_id, family_name
 """)
 def rule_evidence_summary(t: Source) -> DataFrame:

@@ -269,9 +269,8 @@ def read_synteny(
     elif form == "simple":
         rows = split_tabs(lines.filter(~F.col("line").startswith("#")), 4)
         # Only usable lines carry a block number.
-        rows = with_line_numbers(rows.withColumn("_row", F.col("_row")))
         order = Window.partitionBy("path", "_row.block").orderBy("_row.line")
-        rows = rows.withColumn("_k", F.row_number().over(order)).drop("line_number")
+        rows = rows.withColumn("_k", F.row_number().over(order))
         counts = rows.groupBy("path", F.col("_row.block").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
         before = Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("path", "_b", "_before")

@@ -17,13 +17,13 @@ def test_functional_annotation(spark, put):
     out = chains.functional_annotation(features, domains=domains, orthologs=egg, ko_map=ko_map, foreground=fg, keep=True)
     row = out["annotation"].first()
     assert (row.transcript_id, row.gene_id, row.Pfam_ids, row.GO_terms, row.KEGG_ko, row.Kofam_ko) == ("t1", "g1", "PF1", "GO:1;GO:2", "ko:K1,ko:K2", None)
-    assert rows(out["go_counts"], "term_id", "gene_count", "genes") == [("GO:1", 1, "t1"), ("GO:2", 1, "t1")]
-    assert rows(out["pathway_counts"], "pathway_id", "ko_ids") == [("p1", "K1")] and rows(out["unmapped"], "ko_id") == [("K2",)]
+    assert rows(out["go_counts"], "term_id", "gene_count") == [("GO:1", 1), ("GO:2", 1)]
+    assert rows(out["pathway_counts"], "pathway_id", "ko_count") == [("p1", 1)] and rows(out["gene_pathways"], "ko_id") == [("K1",)] and rows(out["unmapped"], "ko_id") == [("K2",)]
     assert rows(out["category_counts"], "category", "proportion") == [("K", 1.0)]
     assert rows(out["architectures"], "domain_architecture") == [("PF1",)]
-    tested = out["go_enrichment"].select("term_id", F.round("p_value", 9), F.round("q_value", 9), "foreground_ids")
-    assert rows(tested) == [("GO:1", 1.0, 1.0, "t1"), ("GO:2", 1.0, 1.0, "t1")]
-    assert chains.go_handoff(out["go_enrichment"].drop("foreground_ids")).count() == 0
+    tested = out["go_enrichment"].select("term_id", F.round("p_value", 9), F.round("q_value", 9))
+    assert rows(tested) == [("GO:1", 1.0, 1.0), ("GO:2", 1.0, 1.0)] and rows(out["go_foreground"]) == [("GO:1", "t1"), ("GO:2", "t1")]
+    assert chains.go_handoff(out["go_enrichment"]).count() == 0
 
 
 def test_candidate_screen(spark, put):

@@ -72,23 +72,33 @@ def test_missing_sequence_is_an_error(models):
 
 def test_introns(models):
     features, genome = models
-    out = genes.introns(features, genome=genome, min_short=5, max_short=10)
+    out = genes.introns(features, genome=genome.withColumn("species", F.lit("sp")), min_short=5, max_short=10)
     assert rows(out, "transcript_id", "gene_id", "start0", "end0", "length", "intron_number", "is_short_intron", "at_content", "is_at_rich") == [
         ("g1.t1", "g1", 10, 20, 10, 1, True, 0.8, True)]
     pooled = genes.introns(features, group_by="gene_pooled")
     assert rows(pooled, "transcript_id", "start0", "end0") == [("g1", 10, 20)]
     assert rows(genes.introns(features, "CDS"), "transcript_id", "start0") == [("g1.t1", 10)]
     unique = genes.unique_introns(out)
-    assert rows(unique, "transcript_ids", "gene_ids") == [("g1.t1", "g1")]
-    summary = dict(rows(genes.intron_summary(out)))
+    assert rows(unique, "transcript_count", "gene_count") == [(1, 1)] and rows(genes.intron_members(out), "transcript_id", "gene_id") == [("g1.t1", "g1")]
+    summary = dict(rows(genes.intron_summary(out), "metric", "value"))
     assert summary["total_introns"] == 1 and summary["median_intron_length"] == 10 and summary["at_rich_introns"] == 1 and len(summary) == 9
     assert rows(genes.intron_sequence_summary(unique), "seqid", "unique_intron_count", "at_rich_intron_ratio") == [("c1", 1, 1.0)]
     assert rows(sinks.intron_bed(out)) == [("c1\t10\t20\tg1.t1.intron1\t10\t+",)]
 
 
 def test_no_introns(models):
-    summary = dict(rows(genes.intron_summary(genes.introns(models[0].filter("type <> 'exon'")))))
-    assert summary["total_introns"] == 0 and summary["median_intron_length"] == 0 and summary["mean_intron_length"] == 0
+    assert genes.intron_summary(genes.introns(models[0].filter("type <> 'exon'"))).count() == 0
+
+
+def test_species_of_a_cohort_stay_apart(models):
+    features, _ = models
+    both = features.unionByName(features.withColumn("species", F.lit("other")))
+    genome = features.sparkSession.createDataFrame([("sp", "c1", "A" * 40), ("other", "c1", "C" * 40)], "species string, seqid string, seq string")
+    found = genes.introns(both, genome=genome)
+    assert rows(found, "species", "at_content") == [("other", 0.0), ("sp", 1.0)]
+    summary = {(r.species, r.metric): r.value for r in genes.intron_summary(found).collect()}
+    assert len(summary) == 18 and all(summary[s, "transcripts_with_introns"] == 1 for s in ("sp", "other"))
+    assert genes.annotated_transcripts(both).count() == 2 * genes.annotated_transcripts(features).count()
 
 
 @pytest.mark.parametrize("bin_size", [10, 1 << 16])
@@ -120,8 +130,9 @@ def test_structure_tables(spark, models):
     for name, value in expected.items():
         assert metrics[name] == pytest.approx(value), name
     checks = {r.check: (r.status, r.details) for r in out["checks"].collect()}
-    assert checks == {"duplicate_ids": ("fail", "c"), "child_features_without_parent": ("warn", "1"), "missing_parent_references": ("fail", "gone"),
+    assert checks == {"duplicate_ids": ("fail", "1"), "child_features_without_parent": ("warn", "1"), "missing_parent_references": ("fail", "1"),
                       "seqids_in_genome": ("fail", "1")}
+    assert rows(genes.failed_names(features), "check", "id") == [("duplicate_ids", "c"), ("missing_parent_references", "gone")]
     assert rows(out["sequences"], "seqid", "gene_count", "transcript_count", "gene_bp") == [("c1", 1, 2, 26), ("c2", 1, 2, 9), ("c3", 0, 0, 0)]
     assert rows(out["histograms"].filter("category = 'exon_number'"), "bin_start", "raw_count", "total_count") == [(0, 0, 4), (0, 2, 4), (1, 1, 4), (2, 1, 4)]
     assert rows(out["feature_types"].filter("feature_type = 'exon'"), "count", "total_bp", "median_length") == [(2, 16, 8.0)]

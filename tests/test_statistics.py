@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lociframe.functions.lists import list_cells
+from lociframe.operators import terms
 from lociframe.functions.stats import benjamini_hochberg, hypergeometric_tail
 from lociframe.operators.summaries import grouped_median, length_histogram, nx_statistics
 
@@ -62,10 +62,8 @@ def test_histogram_zero_row(spark):
     assert out == [(0, 0, 3), (0, 2, 3), (10, 1, 3)]
 
 
-def test_list_cells_split_large_groups_without_loss(spark):
-    pairs = spark.createDataFrame([("big", f"g{i:03}") for i in range(100)] + [("small", "b"), ("small", "a")], "k string, g string")
-    out = list_cells(pairs, ["k"], "g", "genes", max_items=20).collect()
-    small = [r for r in out if r.k == "small"]
-    assert [(r.genes_part, r.genes) for r in small] == [(0, "a;b")]
-    big = [g for r in out if r.k == "big" for g in r.genes.split(";")]
-    assert len([r for r in out if r.k == "big"]) == 5 and sorted(big) == [f"g{i:03}" for i in range(100)]
+def test_counts_of_a_group_of_many_members(spark):
+    pairs = spark.range(200_000).selectExpr("'big' as term_id", "cast(id as string) as gene_id").unionByName(spark.createDataFrame([("small", "a"), ("small", "a")], "term_id string, gene_id string"))
+    assert rows(terms.term_counts(pairs)) == [("big", 200_000), ("small", 1)]
+    assert rows(terms.architecture_frequency(pairs.select(pairs.term_id.alias("domain_architecture"), pairs.gene_id.alias("query_id"))), "domain_architecture", "gene_count") == [("big", 200_000), ("small", 2)]
+    assert terms.unmapped_terms(pairs.withColumnRenamed("term_id", "ko_id"), spark.createDataFrame([("small",)], "ko_id string")).count() == 200_000

@@ -96,12 +96,12 @@ def test_wide_gain_loss(spark):
 
 
 def test_rules_from_file(spark, put):
-    table = lines.read_table(spark, put("r.tsv", "family\tpattern\ttype\tfield\tmatch_mode\nF1\tpf1\tpfam\tPfam_ids\t\nF2\tkinase\t\t\t\nF3\t^AT\tseed\t\tregex\nF4\t\tseed\t\t\n"), ordered=True)
+    table = lines.read_table(spark, put("r.tsv", "family\tpattern\ttype\tfield\tmatch_mode\nF1\tpf1\tpfam\tPfam_ids\t\nF2\tkinase\t\t\t\nF3\t^AT\tseed\t\tregex\nF4\t\tseed\t\t\nF5\t\tseed\t\texact\n"), ordered=True)
     parsed = rules.normalize_rules(table)
     ann = spark.createDataFrame([("t1", "PF1;PF10", "a Kinase"), ("t2", "PF10", "none")], "transcript_id string, Pfam_ids string, note string")
     seeds = spark.createDataFrame([("AT1",), ("x",)], "gene_id string")
     assert rows(rules.family_evidence(ann, parsed, None, seeds), "gene_id", "family_id", "matched_value") == [
-        ("AT1", "F3", "AT1"), ("AT1", "F4", "AT1"), ("t1", "F1", "pf1"), ("t1", "F2", "kinase"), ("x", "F4", "x")]
+        ("AT1", "F3", "AT1"), ("AT1", "F4", "AT1"), ("AT1", "F5", "AT1"), ("t1", "F1", "pf1"), ("t1", "F2", "kinase"), ("x", "F4", "x"), ("x", "F5", "x")]
 
 
 def test_many_pattern_rules(spark, monkeypatch):
