@@ -59,6 +59,11 @@ def to_long(col: Column) -> Column:
     return to_double(col).try_cast("bigint")
 
 
+def spread_missing(key: Column, *by: str) -> Column:
+    """A join key as text; rows without one get keys of many that match nothing, so they do not meet in one task."""
+    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*by), F.lit(4096)).cast("string")))
+
+
 def split_terms(
     col: Column,
     pattern: str = LIST_SEPARATORS,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import column_of, first_present, joined, labels, to_double, to_long
+from ..functions.text import column_of, first_present, joined, labels, spread_missing, to_double, to_long
 from .hits import source_rank
 
 METRICS = ("gain", "loss", "expansion", "contraction")
@@ -275,8 +275,8 @@ def family_evolution(
     else:
         rows = rows.withColumn("orthogroup_id", F.lit(None).cast("string"))
     if gain_loss is not None:
-        per = family_events(gain_loss).withColumnRenamed("family_id", "orthogroup_id").withColumn("_has", F.lit(True))
-        rows = rows.join(per, "orthogroup_id", "left")
+        per = family_events(gain_loss).withColumn("_og", F.col("family_id").cast("string")).drop("family_id").withColumn("_has", F.lit(True))
+        rows = rows.withColumn("_og", spread_missing(F.col("orthogroup_id"), "gene_id")).join(per, "_og", "left").drop("_og")
     else:
         rows = rows.select("*", *[F.lit(None).cast("double").alias(m) for m in METRICS],
                            *[F.lit(None).cast("array<string>").alias(f"{m}_nodes") for m in METRICS], F.lit(None).cast("boolean").alias("_has"))
@@ -355,8 +355,8 @@ def candidate_integration(
         per = family_events(gain_loss)
         found = labels(*[(F.col(m) > 0, m) for m in sorted(METRICS)])
         nodes = F.array_sort(F.array_distinct(F.flatten(F.array(*[f"{m}_nodes" for m in METRICS]))))
-        base = base.join(per.select(F.col("family_id").alias("orthogroup_id"), joined(found, "no_change").alias("_status"),
-                                    joined(nodes, "NA").alias("_nodes")), "orthogroup_id", "left")
+        base = base.withColumn("_og", spread_missing(F.col("orthogroup_id"), "query_id")).join(
+            per.select(F.col("family_id").cast("string").alias("_og"), joined(found, "no_change").alias("_status"), joined(nodes, "NA").alias("_nodes")), "_og", "left").drop("_og")
     else:
         base = base.select("*", F.lit(None).cast("string").alias("_status"), F.lit(None).cast("string").alias("_nodes"))
     notes = F.array_sort(F.concat(F.array(*[F.lit(a) for a in absent]).cast("array<string>"), labels(

@@ -186,8 +186,9 @@ def trim_alignment_columns(alignment: DataFrame, max_gap_percent: float, keys: S
 def supermatrix(alignments: DataFrame, species: DataFrame) -> dict[str, DataFrame]:
     """Concatenated alignment: gene order by name, gap runs where a species lacks a gene.
 
-    Returns the long parts (species, gene, start, seq), the partitions and the species stats.
-    ``parts`` has one row per species and gene; ``supermatrix_rows`` concatenates them.
+    Returns the long parts (species, gene, start, length, seq), the partitions and the species stats.
+    ``parts`` has one row per species and gene that it has; gaps follow from the partitions, and
+    ``supermatrix_rows`` fills them in.
     """
     lengths = alignments.groupBy("gene").agg(F.max(F.length("seq")).cast("bigint").alias("length"))
     before = Window.orderBy("gene").rowsBetween(Window.unboundedPreceding, -1)
@@ -199,17 +200,19 @@ def supermatrix(alignments: DataFrame, species: DataFrame) -> dict[str, DataFram
     stats = listed.join(present, "species", "left").na.fill(0, ["present_genes"]).select(
         "species", "present_genes", (total.select("genes").scalar() - F.col("present_genes")).alias("missing_genes"),
         total.select("bp").scalar().alias("sequence_length"))
-    names = listed.agg(F.array_sort(F.collect_list("species")).alias("s"))
-    grid = partitions.select("gene", "start", "length", F.explode(names.scalar()).alias("species"))
-    parts = grid.join(have, ["species", "gene"], "left").select(
-        "species", "gene", "start", F.coalesce("seq", F.repeat(F.lit("-"), F.col("length").cast("int"))).alias("seq"))
+    parts = have.join(partitions, "gene").select("species", "gene", "start", "length", "seq")
     return {"parts": parts, "partitions": partitions.select("gene", "start", "end"), "stats": stats}
 
 
-def supermatrix_rows(parts: DataFrame) -> DataFrame:
-    """One concatenated row per species."""
-    return parts.groupBy("species").agg(F.array_sort(F.collect_list(F.struct("start", "seq"))).alias("_p")).select(
-        F.col("species").alias("seqid"), F.array_join(F.transform("_p", lambda p: p["seq"]), "").alias("seq"))
+def supermatrix_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """One concatenated row per species of ``supermatrix``, for alignments that have to leave as whole records."""
+    own = tables["parts"].groupBy("species").agg(F.array_sort(F.collect_list(F.struct("start", "length", "seq"))).alias("_p"))
+    rows = tables["stats"].select("species", F.col("sequence_length").alias("_n")).join(own, "species", "left")
+    gaps = lambda n: F.repeat(F.lit("-"), n.cast("int"))
+    end = lambda p: p["start"] + p["length"] - 1
+    pieces = F.transform("_p", lambda p, i: F.concat(gaps(p["start"] - 1 - F.when(i == 0, 0).otherwise(end(F.get("_p", i - 1)))), p["seq"]))
+    rest = gaps(F.col("_n") - F.coalesce(end(F.try_element_at("_p", F.lit(-1))), F.lit(0)))
+    return rows.select(F.col("species").alias("seqid"), F.concat(F.coalesce(F.array_join(pieces, ""), F.lit("")), rest).alias("seq"))
 
 
 def te_divergence(repeats: DataFrame, substitution_rate: float | None = None) -> DataFrame:

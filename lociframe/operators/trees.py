@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import column_of, first_present, present
+from ..functions.text import column_of, first_present, present, spread_missing
 
 TIP_COLUMNS = ("tip_id", "species", "transcript_id", "gene_id", "label", "Pfam_ids", "KEGG_ko", "description")
 
@@ -28,8 +28,8 @@ def rename_tips(trees: DataFrame, labels: DataFrame) -> DataFrame:
     is_tip = F.col("_after") & F.col("_before") & ~F.col("token").isin(":", "(", ")", ",")
     names = labels.select(F.col("tip_id").alias("_tip"), F.regexp_replace(F.coalesce(present(F.col("label"), ("",)), F.col("tip_id")), r"[\s,:();]+", "_").alias("_new"))
     names = names.groupBy("_tip").agg(F.max("_new").alias("_new"))
-    keyed = rows.withColumn("_tip", F.when(is_tip, F.col("token")))
-    renamed = keyed.join(names, "_tip", "left").select("tree_id", "position", F.coalesce("_new", "token").alias("token"), F.col("_tip").isNotNull().alias("_is_tip"))
+    keyed = rows.withColumn("_is_tip", is_tip).withColumn("_tip", spread_missing(F.when(is_tip, F.col("token")), "tree_id", "position"))
+    renamed = keyed.join(names, "_tip", "left").select("tree_id", "position", F.coalesce("_new", "token").alias("token"), "_is_tip")
     return renamed.groupBy("tree_id").agg(
         F.array_sort(F.collect_list(F.struct("position", "token"))).alias("_p"), F.count_if("_is_tip").alias("tips")).select(
         "tree_id", F.array_join(F.transform("_p", lambda p: p["token"]), "").alias("newick"), "tips")

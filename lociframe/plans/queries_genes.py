@@ -82,6 +82,7 @@ def intron_members(t: Source) -> DataFrame:
     select * from (
         select 'feature_records' as metric, ((select count(*) from lineitem) + (select count(*) from orders) + (select count(*) from customer))::double as value
         union all select 'genes', count(*)::double from customer union all select 'transcripts', count(*)::double from orders
+        union all select 'cds_features', 0.0::double union all select 'mean_cds_feature_length', null::double
         union all select 'exons', count(*)::double from seg union all select 'introns', count(*)::double from introns
         union all select 'single_exon_transcripts', count(*)::double from per_tx where exons = 1
         union all select 'multi_exon_transcripts', count(*)::double from per_tx where exons > 1
@@ -96,7 +97,7 @@ def intron_members(t: Source) -> DataFrame:
         union all select 'mean_isoforms_per_gene', round(avg(n), 6) from iso)
 """)
 def structure_metrics(t: Source) -> DataFrame:
-    metrics = genes.gff_structure(_features(t))["metrics"].filter("metric not in ('cds_features', 'mean_cds_feature_length')")
+    metrics = genes.gff_structure(_features(t))["metrics"]
     return rounded(metrics.select("metric", "value"), "value")
 
 

@@ -97,13 +97,13 @@ def upper_sequences(t: Source) -> DataFrame:
     hit as (select distinct seqid, unnest(range(start0, end0)) as i from spans),
     bases as (select l.seqid, l.i, case when h.i is null then seq[l.i + 1] else lower(seq[l.i + 1]) end as b
               from long l left join hit h on h.seqid = l.seqid and h.i = l.i)
-    select seqid, string_agg(b, '' order by i) as seq from bases group by seqid
+    select d.seqid, coalesce(m.seq, '') as seq from {dna} d left join (select seqid, string_agg(b, '' order by i) as seq from bases group by seqid) m on m.seqid = d.seqid
 """)
 def soft_mask(t: Source) -> DataFrame:
     last = t.documents.agg((F.max("doc_id") + 1).alias("n"))
     spans = t.lineitem.select(
         (F.col("l_orderkey") % last.scalar()).alias("seqid"), F.col("l_partkey").alias("start0"), (F.col("l_partkey") + F.col("l_quantity").cast("bigint")).alias("end0"))
-    return sequences.rebuild_sequences(sequences.soft_mask(t.dna.filter("seq <> ''"), spans, 4096))
+    return sequences.rebuild_sequences(sequences.soft_mask(t.dna, spans, 4096))
 
 
 @query("select 'sp|' || seqid as prefixed_id, seqid as original_id, 'sp' as prefix, seq from {dna} d")
@@ -184,7 +184,7 @@ def supermatrix_partitions(t: Source) -> DataFrame:
     from sp s cross join lengths l left join aln a on a.species = s.species and a.gene = l.gene group by s.species
 """)
 def supermatrix(t: Source) -> DataFrame:
-    return sequences.supermatrix_rows(sequences.supermatrix(_alignment(t), t.part.select(F.col("p_type").alias("species")))["parts"])
+    return sequences.supermatrix_rows(sequences.supermatrix(_alignment(t), t.part.select(F.col("p_type").alias("species"))))
 
 
 @query("""
