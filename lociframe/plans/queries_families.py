@@ -378,3 +378,49 @@ def link_coordinates(t: Source) -> DataFrame:
     blocks = t.lineitem.select(
         F.col("l_orderkey").alias("ref_first"), (F.col("l_orderkey") + 1).alias("ref_last"), F.col("l_partkey").alias("query_first"), F.col("l_suppkey").alias("query_last"))
     return synteny.link_coordinates(blocks, genes, genes)
+
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@query("select o_custkey, " + ", ".join(f"max(case when o_orderpriority = '{p}' then 1 else 0 end) as \"{p}\"" for p in PRIORITIES) + " from orders group by o_custkey")
+def status_matrix(t: Source) -> DataFrame:
+    return matrices.status_matrix(t.orders, "o_custkey", "o_orderpriority", PRIORITIES)
+
+
+@query("""
+    select 'F' || c_custkey as family_id, 'n1' as node_id, (c_custkey % 3)::double as gain, (c_nationkey % 2)::double as loss, 0.0::double as expansion,
+           0.0::double as contraction, null::varchar as inferred_count, 'n1' as node_label from customer
+    union all
+    select 'F' || c_custkey, 'n_2', 0.0, 0.0, (c_custkey % 5)::double, (c_nationkey % 4)::double, nullif(cast(c_custkey % 7 as varchar), '0'), 'n_2' from customer
+""")
+def gain_loss_wide(t: Source) -> DataFrame:
+    """Both spellings of a node's metric columns."""
+    number = lambda c, n: (F.col(c) % n).cast("string")
+    return families.normalize_gain_loss_wide(t.customer.select(
+        F.concat(F.lit("F"), text("c_custkey")).alias("Family"), number("c_custkey", 3).alias("n1|gain"), number("c_nationkey", 2).alias("n1|loss"),
+        number("c_custkey", 5).alias("n_2_expansion"), number("c_nationkey", 4).alias("n_2|contraction"), number("c_custkey", 7).alias("n_2|count")))
+
+
+def _wide_counts(t: Source) -> DataFrame:
+    return t.orders.select(
+        F.concat(F.lit("F"), text("o_custkey")).alias("Orthogroup"), (F.col("o_orderkey") % 7 - 1).cast("string").alias("A"),
+        F.when(F.col("o_orderstatus") == "P", "x").when(F.col("o_orderstatus") == "F", "").otherwise("3").alias("B"), F.lit("9").alias("Total"), F.col("o_orderkey").alias("_row"))
+
+
+@query("""
+    with w as (select 'F' || o_custkey as fam, o_orderkey % 7 - 1 as a, case o_orderstatus when 'F' then 0 when 'O' then 3 end as b, o_orderkey,
+                      min(o_orderkey) over (partition by o_custkey) as first_line from orders)
+    select fam as "Family ID", greatest(a, 0) as "A", coalesce(b, 0) as "B", nullif(concat_ws(';', case when o_orderkey > first_line then 'duplicate_family_id' end,
+           case when a < 0 then 'invalid_count:A' end, case when b is null then 'invalid_count:B' end), '') as reason from w
+""")
+def count_check(t: Source) -> DataFrame:
+    return families.check_counts(_wide_counts(t), ["A", "B"])
+
+
+@query("""
+    select 'F' || o_custkey as "Desc", 'F' || o_custkey as "Family ID", cast(o_orderkey % 7 - 1 as varchar) as "A",
+           case o_orderstatus when 'P' then 'x' when 'F' then '0' else '3' end as "B" from orders
+""")
+def cafe_matrix(t: Source) -> DataFrame:
+    return families.cafe_matrix(_wide_counts(t), ["A", "B"])

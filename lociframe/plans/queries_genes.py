@@ -195,3 +195,16 @@ def gene_tree_status(t: Source) -> DataFrame:
     failed = rows.select(F.translate("orthogroup", "/", "-").alias("orthogroup")).distinct().withColumn("failed_reason", F.lit("none"))
     found = trees.gene_tree_status(done, rows.withColumn("orthogroup", F.translate("orthogroup", "/", "-")), None, failed)
     return found.select(F.translate("orthogroup", "-", "/").alias("orthogroup"), "status", "sequence_count", "alignment_length", "failed_reason")
+
+
+@query("""
+    select 'sp|' || p_partkey as tip_id, 'sp' as species, cast(p_partkey as varchar) as transcript_id, n.gene_id, 'sp|' || p_partkey as label, n.pfam as "Pfam_ids",
+           null::varchar as "KEGG_ko", n.note as description
+    from part left join (select cast(p_partkey as varchar) as k, p_type as gene_id, p_brand as pfam, p_name as note from part where p_size > 10) n on n.k = cast(p_partkey as varchar)
+""")
+def tip_annotation(t: Source) -> DataFrame:
+    notes = t.part.select(
+        keyed(F.col("p_size") > 10, F.col("p_partkey")).alias("transcript_id"), F.col("p_type").alias("gene_id"), F.col("p_brand").alias("Pfam_ids"),
+        F.col("p_name").alias("SwissProt_description"))
+    ids = t.part.select(F.concat(F.lit("sp|"), text("p_partkey")).alias("prefixed_id"), text("p_partkey").alias("original_id"), F.lit("sp").alias("prefix"))
+    return trees.tip_annotation(notes, ids)

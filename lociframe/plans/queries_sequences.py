@@ -202,3 +202,16 @@ def trim_alignment_columns(t: Source) -> DataFrame:
         F.regexp_replace(F.replace("text", F.lit("-"), F.lit("‐")), " ", "-").alias("seq"))
     trimmed = sequences.trim_alignment_columns(rows, 20.0)
     return trimmed.withColumn("seq", F.replace("seq", F.lit("‐"), F.lit("-")))
+
+
+@query("""
+    with r as (select o_orderkey as name, o_orderkey % 40 as a, o_orderkey % 13 as b, o_orderkey % 80 as m from orders)
+    select name, repeat('A', cast(45 + m as int)) as seq, repeat(chr(cast(33 + a as int)), 45) || repeat(chr(cast(33 + b as int)), cast(m as int)) as qual
+    from r where 45 + m >= 50 and (case when a < 15 then 45 else 0 end + m) * 100 / (45 + m) <= 40 and (45 * a + m * b) / (45 + m) >= 20
+""")
+def quality_reads(t: Source) -> DataFrame:
+    key = F.col("o_orderkey")
+    run = lambda code, n: F.repeat(F.char(code + 33), n)
+    reads = t.orders.select(
+        key.alias("name"), F.repeat(F.lit("A"), (key % 80 + 45).cast("int")).alias("seq"), F.concat(run(key % 40, F.lit(45)), run(key % 13, (key % 80).cast("int"))).alias("qual"))
+    return sequences.quality_reads(reads)

@@ -310,3 +310,32 @@ def family_inputs(t: Source) -> DataFrame:
         text("p_partkey").alias("transcript_id"), F.col("p_type").alias("gene_id"), F.col("p_name").alias("SwissProt_description"), F.col("p_brand").alias("KEGG_ko"))
     evidence = _evidence(t)
     return families.family_inputs(evidence.select("gene_id"), table, evidence).drop("Pfam_ids", "GO_terms")
+
+
+@query("""
+    with f as (select l_orderkey, 'K' || (l_partkey % 50) as ko, min(l_orderkey * 10 + l_linenumber) as first_line
+               from lineitem where power(10.0, -l_quantity) < 3e-5 group by all)
+    select cast(l_orderkey as varchar) as query_id, string_agg(ko, '!' order by first_line, ko) as kos from f group by l_orderkey
+""")
+def kofam_gene_ko(t: Source) -> DataFrame:
+    found = t.lineitem.select(
+        text("l_orderkey").alias("query_id"), F.concat(F.lit("K"), (F.col("l_partkey") % 50).cast("string")).alias("ko"),
+        F.pow(F.lit(10.0), -F.col("l_quantity")).alias("evalue"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_row"))
+    return terms.kofam_gene_ko(found, 3e-5)
+
+
+@query("""
+    with s as (select distinct cast(c_custkey as varchar) as gene_id from customer),
+    r(rule_id, family_id, mode, pattern, score) as (values ('e', 'F1', 'exact', '7', '1'), ('t', 'F2', 'token', '12', '2'), ('x', 'F3', 'regex', '^1.*2$', '1'),
+        ('c', 'F4', 'contains', '13', '1'), ('e0', 'F5', 'exact', '', '1'), ('t0', 'F6', 'token', '', '1'), ('c0', 'F7', 'contains', '', '1'))
+    select s.gene_id, family_id, family_id as family_name, 'seed' as evidence_type, 'seed_ids' as source_field, rule_id, s.gene_id as matched_value,
+           score as evidence_score, 'seed_list' as annotation_status
+    from s join r on pattern = '' or mode in ('exact', 'token') and s.gene_id = pattern or mode = 'regex' and regexp_matches(s.gene_id, pattern) or mode = 'contains' and contains(s.gene_id, pattern)
+""")
+def seed_evidence(t: Source) -> DataFrame:
+    """Seed rules in all modes, with and without a pattern."""
+    table = t.spark.createDataFrame([
+        ("e", "F1", "exact", "7", "1"), ("t", "F2", "token", "12", "2"), ("x", "F3", "regex", "^1.*2$", "1"), ("c", "F4", "contains", "13", "1"),
+        ("e0", "F5", "exact", "", "1"), ("t0", "F6", "token", "", "1"), ("c0", "F7", None, None, "1")], "rule_id string, family_id string, match_mode string, pattern string, score string")
+    seeds = t.customer.select(F.col("c_custkey").alias("gene_id"))
+    return rules.seed_evidence(seeds, rules.normalize_rules(table.withColumn("evidence_type", F.lit("seed"))))
