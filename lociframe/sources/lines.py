@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MISSING, present
 
-Paths = str | Sequence[str]
+#: File paths, or lines that are already a frame (path, line, ``_row``), as ``read_lines`` returns them.
+Paths = str | Sequence[str] | DataFrame
 
 
 def path_list(paths: Paths) -> list[str]:
@@ -17,10 +18,12 @@ def path_list(paths: Paths) -> list[str]:
 
 
 def read_lines(spark: SparkSession, paths: Paths, line_separator: str | None = None) -> DataFrame:
-    """Lines (path, line, ``_row``) of plain or gzip files, carriage returns removed.
+    """Lines (path, line, ``_row``) of plain or gzip files, carriage returns removed; lines given as a frame are taken as they are.
 
     ``_row`` orders lines as they stand in the file, across the splits of a large file.
     """
+    if isinstance(paths, DataFrame):
+        return paths.select("path", "line", "_row")
     reader = spark.read
     if line_separator:
         reader = reader.option("lineSep", line_separator)
