@@ -182,7 +182,7 @@ def node_totals(t: Source) -> DataFrame:
 TARGETS = GAIN_LOSS + """,
     evidence as (select case when p_size <= 40 then p_partkey else -p_partkey end as gene_id, 'fam_' || p_type as family_id, 'family ' || p_type as family_name, 'pfam' as evidence_type from part
                  union all select case when p_size <= 30 then p_partkey else -p_partkey end, 'fam_big', 'big', 'keyword' from part),
-    og as (select p_partkey as gene_id, p_brand || '/' || p_type as orthogroup_id from part where p_size > 15),
+    og as (select p_partkey as gene_id, p_size || '/' || p_brand || '/' || p_type as orthogroup_id from part where p_size > 15),
     per_family as (select family_id as orthogroup_id, sum(gain) as gain, sum(loss) as loss, sum(expansion) as expansion, sum(contraction) as contraction,
                    string_agg(distinct node_id, ';' order by node_id) filter (where gain + loss + expansion + contraction > 0) as event_nodes from gl group by family_id),
     typed as (select gene_id, string_agg(distinct evidence_type, ';' order by evidence_type) as evidence_types from evidence group by gene_id),
@@ -208,7 +208,7 @@ def _target_evidence(t: Source) -> DataFrame:
 
 def _orthogroups(t: Source) -> DataFrame:
     key = F.when(F.col("p_size") > 15, F.col("p_partkey")).otherwise(-F.col("p_partkey") - 10**12)
-    return t.part.select(key.alias("gene_id"), F.concat_ws("/", "p_brand", "p_type").alias("family_id"))
+    return t.part.select(key.alias("gene_id"), F.concat_ws("/", F.col("p_size").cast("string"), "p_brand", "p_type").alias("family_id"))
 
 
 def _evolution(t: Source) -> DataFrame:
@@ -373,7 +373,7 @@ def links_per_gene(t: Source) -> DataFrame:
 """)
 def link_coordinates(t: Source) -> DataFrame:
     genes = t.orders.select(
-        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("gene_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).otherwise(-F.col("o_orderkey") - 1).alias("gene_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % 5).cast("string")).alias("seqid"),
         (F.col("o_orderkey") * 10).alias("start0"), (F.col("o_orderkey") * 10 + 5).alias("end0"))
     blocks = t.lineitem.select(
         F.col("l_orderkey").alias("ref_first"), (F.col("l_orderkey") + 1).alias("ref_last"), F.col("l_partkey").alias("query_first"), F.col("l_suppkey").alias("query_last"))

@@ -142,7 +142,7 @@ REFINED = SCORED + """,
 
 def refined(t: Source) -> DataFrame:
     tax = t.orders.select(
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("query_id"), F.col("o_orderpriority").alias("refined_donor_taxon"), F.col("o_orderstatus").alias("lineage"))
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey") - 1).alias("query_id"), F.col("o_orderpriority").alias("refined_donor_taxon"), F.col("o_orderstatus").alias("lineage"))
     return hits.refine_donors(scored(t), tax)
 
 

@@ -164,7 +164,7 @@ def pathway_tally(t: Source) -> DataFrame:
 """)
 def select_ko(t: Source) -> DataFrame:
     lists = t.lineitem.select(F.col("l_returnflag").alias("list_name"), F.col("l_orderkey").alias("gene_id")).distinct()
-    background = t.orders.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("gene_id"), F.col("o_orderpriority").alias("ko"))
+    background = t.orders.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey") - 1).alias("gene_id"), F.col("o_orderpriority").alias("ko"))
     return terms.select_ko(lists, background)
 
 

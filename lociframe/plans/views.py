@@ -44,15 +44,16 @@ VIEWS = {
              join nation on s_nationkey = n_nationkey
         group by p_brand, n_name""",
     "node_counts": """
-        select p_brand || '/' || p_type as family_id, n_name as species, count(*) as copies
+        select cast(p_size as string) || '/' || p_brand || '/' || p_type as family_id, n_name as species, count(*) as copies
         from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
              join nation on s_nationkey = n_nationkey
-        group by p_brand, p_type, n_name
+        group by p_size, p_brand, p_type, n_name
         union all
-        select p_brand || '/' || p_type as family_id, r_name as species, count(*) as copies
+        select cast(p_size as string) || '/' || p_brand || '/' || p_type as family_id, r_name as species,
+               count(case when l_linenumber = 1 then 1 end) as copies
         from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
              join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-        group by p_brand, p_type, r_name""",
+        group by p_size, p_brand, p_type, r_name""",
     "node_parent": "select n_name as node, r_name as parent from nation join region on n_regionkey = r_regionkey",
     "sites": """
         select concat('chr', cast(l_suppkey % 5 as string)) as seqid,
