@@ -5,8 +5,9 @@ so the same passage yields the same paragraphs wherever it stands. Of neighbouri
 the lowest hash is taken, at least one of any ``NEIGHBOURS`` in a row, again decided by content alone.
 
 1. Paragraphs get band keys from MinHash values; keys that two documents hold mark candidates.
-2. Candidates' shingle sets are looked up in a second pass, and stars over the keys give clusters.
-3. Clusters are joined exactly on Jaccard similarity, in blocks, and their links give components.
+2. Candidates' shingle sets are looked up in a second pass. Equal paragraphs are one from here on.
+3. Different paragraphs of one key are verified exactly on Jaccard similarity: keys of few paragraphs by
+   their pairs, keys of many by a set join in blocks, whose pairs never become rows. Links give components.
 4. A component that reaches several documents stays in one; the spans in the others, merged within each
    document, are the removals.
 
@@ -30,6 +31,8 @@ MIN_WORDS = 16
 NEIGHBOURS = 2
 RECALL = 0.98
 MAX_BANDS = 4
+#: Paragraphs of a key up to which their pairs are listed.
+FEW = 16
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
@@ -172,6 +175,20 @@ def _occurrences(docs: DataFrame, candidates: DataFrame, min_words: int, size: i
     return written(found.join(candidates.select("digest").distinct(), "digest"), "dedup-occurrences")
 
 
+def _links(candidates: DataFrame, sets: DataFrame, percent: int, few: int = FEW) -> DataFrame:
+    """(a, b) of different paragraphs that share a key and reach the similarity, at least a spanning set of them."""
+    sizes = candidates.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = written(candidates.join(sizes, "key"), "dedup-shared")
+    small = shared.filter(F.col("m") <= few)
+    pairs = small.select("key", F.col("digest").alias("a")).join(small.select("key", F.col("digest").alias("b")), "key").filter("a < b").select("a", "b").distinct()
+    left, right = (sets.select(F.col("id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
+    both = F.size(F.array_intersect("ha", "hb"))
+    close = pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
+    members = shared.filter(F.col("m") > few).join(sets, F.col("digest") == F.col("id")).select(
+        F.col("key").alias("cluster"), "id", F.size("hashes").cast("long").alias("n"), F.lit(1).cast("long").alias("copies"), F.array_sort("hashes").alias("hashes"))
+    return close.unionByName(join_clusters(members, percent).select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b"))
+
+
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
     """Removals: doc_id, start, end, n_paragraphs, component_ids, other_doc_id of every repeated passage of (doc_id, text) outside the document where it stays.
 
@@ -188,12 +205,10 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     candidates = _candidates(named, n_bands, n_rows, min_words, size)
     found = _occurrences(named, candidates, min_words, size)
     sets = found.filter("hashes is not null").groupBy(F.col("digest").alias("id")).agg(F.first("hashes").alias("hashes"))
-    heads = candidates.groupBy("key").agg(F.min("digest").alias("a"))
-    clusters = components(candidates.join(heads, "key").select("a", F.col("digest").alias("b")))
-    members = sets.join(clusters, "id").select(F.col("label").alias("cluster"), "id", F.size("hashes").cast("long").alias("n"), F.lit(1).cast("long").alias("copies"), F.array_sort("hashes").alias("hashes"))
-    answered = join_clusters(members, percent)
-    groups = components(answered.select(F.col("id").alias("a"), F.col("label").alias("b"))).select(F.col("id").alias("digest"), F.col("label").alias("component"))
-    placed = written(found.drop("hashes").join(groups, "digest"), "dedup-placed")
+    sets = written(sets, "dedup-sets")
+    links = _links(candidates, sets, percent)
+    groups = components(links).select(F.col("id").alias("digest"), F.col("label").alias("component"))
+    placed = written(found.drop("hashes").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "dedup-placed")
     kept = placed.groupBy("component").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"), F.min("doc_id").alias("other_doc_id")).filter("first <> last")
     removed = placed.join(kept, "component").filter("row_id <> first")
     order = Window.partitionBy("row_id").orderBy("start", "end")
