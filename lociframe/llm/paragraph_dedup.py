@@ -1,15 +1,18 @@
 """Substring deduplication by MinHash banding of paragraphs.
 
-A paragraph starts at a sentence and runs to the first sentence end that gives it ``MIN_WORDS`` words,
-so the same passage yields the same paragraphs wherever it stands. Of neighbouring starts the one with
-the lowest hash is taken, at least one of any ``NEIGHBOURS`` in a row, again decided by content alone.
+Paragraphs are of two kinds, both decided by content alone, so the same passage yields the same ones:
+every sentence start runs to the first sentence end that gives it ``MIN_WORDS`` words; and every word
+whose shingle has the lowest hash of some window of ``PASSAGE - MIN_WORDS + 1`` words starts an anchor of
+``MIN_WORDS`` words. Each common passage of ``PASSAGE`` words holds a whole window, hence a common anchor,
+wherever it starts and whatever its marks.
 
-1. Paragraphs get band keys from MinHash values; keys that two documents hold mark candidates.
+1. Sentences get band keys from MinHash values, anchors their digest; keys that two documents hold mark candidates.
 2. Candidates' shingle sets are looked up in a second pass. Equal paragraphs are one from here on.
 3. Different paragraphs of one key are verified exactly on Jaccard similarity: keys of few paragraphs by
    their pairs, keys of many by a set join in blocks, whose pairs never become rows. Links give components.
-4. A component that reaches several documents stays in one; the spans in the others, merged within each
-   document, are the removals.
+4. A component that reaches several documents stays in one; the spans in the others grow word by word as
+   long as the words around them are those around the one that stays. Merged within each document, they are
+   the removals. ``PASSAGE - MIN_WORDS`` words to each side suffice: further on lies the next anchor.
 
 Bands and rows per band follow from the similarity and the recall asked for.
 """
@@ -28,7 +31,8 @@ from .jaccard_join import MASK_BITS, PERCENT, SHINGLE, join_clusters
 from .store import written
 
 MIN_WORDS = 16
-NEIGHBOURS = 2
+#: Common passages of so many words are always found.
+PASSAGE = 32
 RECALL = 0.98
 MAX_BANDS = 4
 #: Paragraphs of a key up to which their pairs are listed.
@@ -36,6 +40,7 @@ FEW = 16
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
+_AROUND = np.dtype([("word", "<u4"), ("way", "<u4")])
 _SEEDS = W.mix(np.arange(1, 65, dtype=np.uint64))
 
 
@@ -48,14 +53,22 @@ def bands(similarity: float, recall: float = RECALL, most: int = MAX_BANDS) -> t
     raise ValueError("the recall needs more bands")
 
 
+def sliding(values: np.ndarray, width: int, lower) -> np.ndarray:
+    """``lower`` (a ufunc as np.minimum) of every ``width`` values in a row."""
+    span = 1
+    while 2 * span <= width:
+        values, span = lower(values[:-span], values[span:]), 2 * span
+    return lower(values[: len(values) - (width - span)], values[width - span :]) if span < width else values
+
+
 class Paragraphs:
-    """Paragraphs of a slice: owner row, first and end word, first and end byte, digest, shingle ranges."""
+    """Paragraphs of a slice: owner row, first and end word, digest, shingle ranges; sentences first, then ``n_anchors`` anchors."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, min_words: int, size: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, min_words: int, size: int, passage: int = PASSAGE):
         self.lowered = W.LOWER[data]
         starts, ends, rows = W.spans(self.lowered, offsets, W.SPACES)
         n = len(starts)
-        self.starts, self.ends = starts, ends
+        self.starts, self.ends, self.rows = starts, ends, rows
         owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
         # A word ends a sentence with a mark, at a line break, or as the last of its text.
         lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
@@ -66,46 +79,64 @@ class Paragraphs:
             last[rows[1:][np.diff(rows) > 0] - 1] = True
         stops = np.flatnonzero(last) + 1
         begins = np.concatenate([[0], stops[:-1]])[: len(stops)]
-        words = W.word_hashes(self.lowered, starts, ends)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(words))])
-        # Lowest of the sentence and its neighbours within the text.
-        key = W.mix(sums[stops] - sums[begins])
         of = owner[begins] if len(begins) else np.zeros(0, np.int64)
-        chosen = np.zeros(len(begins), bool)
-        for row_first, row_end in zip(np.searchsorted(of, np.arange(len(rows) - 1)), np.searchsorted(of, np.arange(len(rows) - 1), "right"), strict=True):
-            k = key[row_first:row_end]
-            if len(k) <= NEIGHBOURS:
-                chosen[row_first:row_end] = True
-            else:
-                windows = np.lib.stride_tricks.sliding_window_view(k, NEIGHBOURS)
-                chosen[row_first + np.unique(windows.argmin(axis=1) + np.arange(len(windows)))] = True
-        begins, of = begins[chosen], of[chosen]
         end_at = np.searchsorted(stops, begins + min_words)
         fits = end_at < len(stops)
         begins, of, end_at = begins[fits], of[fits], end_at[fits]
         stop = stops[end_at]
         fits = stop <= rows[of + 1]
-        self.first, self.stop, self.owner = begins[fits], stop[fits], of[fits]
-        shingles = words[: max(0, n - size + 1)].copy() * W._STEP[0]
+        begins, stop = begins[fits], stop[fits]
+        self.words = W.word_hashes(self.lowered, starts, ends)
+        shingles = self.words[: max(0, n - size + 1)].copy() * W._STEP[0]
         for j in range(1, size):
-            shingles += words[j : n - size + 1 + j] * W._STEP[j]
+            shingles += self.words[j : n - size + 1 + j] * W._STEP[j]
         self.shingles = W.mix(shingles)
+        anchors = self._anchors(owner, passage, passage - min_words + 1)
+        known = np.zeros(n + 1, np.int64)
+        known[begins] = stop
+        anchors = anchors[known[anchors] != anchors + min_words]
+        self.n_anchors = len(anchors)
+        self.first, self.stop = np.concatenate([begins, anchors]), np.concatenate([stop, anchors + min_words])
+        self.owner = owner[self.first]
         self.low, self.high = self.first, self.stop - size + 1
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(self.shingles * W._STEP[60]))])
         self.digest = W.mix(total[self.high] - total[self.low] + (self.stop - self.first).astype(np.uint64)).view(np.int64)
 
-    def keys(self, n_bands: int, n_rows: int) -> np.ndarray:
-        """Band keys, one row per paragraph."""
-        at = np.column_stack([self.low, self.high]).ravel()
+    def _anchors(self, owner: np.ndarray, passage: int, width: int) -> np.ndarray:
+        """Words whose shingle is the lowest of a window of ``width`` shingles that starts ``passage`` words of one text."""
+        n = len(self.shingles) - width + 1
+        if n <= 0:
+            return np.zeros(0, np.int64)
+        lowest = sliding(self.shingles, width, np.minimum)
+        lowest = np.where(np.arange(n) + passage <= self.rows[owner[:n] + 1], lowest, np.uint64(0))
+        edge = np.zeros(width - 1, np.uint64)
+        return np.flatnonzero((sliding(np.concatenate([edge, lowest, edge]), width, np.maximum) == self.shingles) & (self.shingles > 0))
+
+    def keys(self, n_bands: int, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and the paragraph of each: bands of sentences, one key of an anchor."""
+        n = len(self.first) - self.n_anchors
+        at = np.column_stack([self.low[:n], self.high[:n]]).ravel()
         out = []
         for b in range(n_bands):
-            key = np.full(len(self.low), _SEEDS[b], np.uint64)
+            key = np.full(n, _SEEDS[b], np.uint64)
             for r in range(n_rows):
                 values = W.mix(self.shingles ^ _SEEDS[8 + b * n_rows + r])
                 lowest = np.minimum.reduceat(np.append(values, np.uint64(2**64 - 1)), at)[::2] if len(at) else np.zeros(0, np.uint64)
                 key = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + lowest)
-            out.append(key.view(np.int64))
-        return np.column_stack(out)
+            out.append(key)
+        out.append(W.mix(self.digest[n:].view(np.uint64) ^ _SEEDS[63]))
+        return np.concatenate(out).view(np.int64), np.concatenate([np.tile(np.arange(n), n_bands), np.arange(n, len(self.first))])
+
+    def around(self, k: int, most: int, point: np.ndarray) -> tuple[bytes, bytes]:
+        """Words before a paragraph, nearest first, and after it: at most ``most`` hashes with the code points from the paragraph to the word's far end."""
+        first, stop, row = self.first[k], self.stop[k], self.owner[k]
+        before = np.arange(first - 1, max(self.rows[row], first - most) - 1, -1)
+        after = np.arange(stop, min(self.rows[row + 1], stop + most))
+        left, right = np.empty(len(before), _AROUND), np.empty(len(after), _AROUND)
+        left["word"], right["word"] = self.words[before] >> np.uint64(32), self.words[after] >> np.uint64(32)
+        left["way"] = point[self.starts[first]] - point[self.starts[before]]
+        right["way"] = point[self.ends[after]] - point[self.ends[stop - 1]]
+        return left.tobytes(), right.tobytes()
 
     def hashes(self, k: int) -> np.ndarray:
         """Distinct shingle hashes of a paragraph."""
@@ -120,10 +151,10 @@ def _candidates(docs: DataFrame, n_bands: int, n_rows: int, min_words: int, size
             keys, digests, rows = [], [], []
             for row, _, data, offsets in W.slices(batch):
                 p = Paragraphs(data, offsets, min_words, size)
-                k = p.keys(n_bands, n_rows)
-                keys.append(k.ravel())
-                digests.append(np.repeat(p.digest, n_bands))
-                rows.append(np.repeat(p.owner + row, n_bands))
+                k, of = p.keys(n_bands, n_rows)
+                keys.append(k)
+                digests.append(p.digest[of])
+                rows.append(p.owner[of] + row)
             flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, digests, rows)]
             order = np.argsort(flat[0], kind="stable")
             key, digest, row = (x[order] for x in flat)
@@ -143,7 +174,7 @@ def _candidates(docs: DataFrame, n_bands: int, n_rows: int, min_words: int, size
 
 
 def _occurrences(docs: DataFrame, candidates: DataFrame, min_words: int, size: int) -> DataFrame:
-    """(row_id, doc_id, start, end, n_words, digest, hashes) of candidates' paragraphs; hashes once per batch and digest."""
+    """(row_id, doc_id, start, end, n_words, digest, left, right, hashes) of candidates' paragraphs; hashes of sentences once per batch and digest."""
     position = F.pmod("digest", F.lit(MASK_BITS))
     cells = candidates.select("digest").distinct().select(position.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).collect()
     mask = np.zeros(MASK_BITS // 64, np.int64)
@@ -164,14 +195,15 @@ def _occurrences(docs: DataFrame, candidates: DataFrame, min_words: int, size: i
                 for k in np.flatnonzero((bits[at // 64] >> (at % 64)) & 1):
                     owner, digest = int(p.owner[k]), int(p.digest[k])
                     base = point[offsets[owner]]
-                    new = digest not in seen
-                    seen.add(digest)
-                    out.append((row_ids[row + owner], doc_ids[row + owner], int(point[p.starts[p.first[k]]] - base), int(point[p.ends[p.stop[k] - 1]] - base), int(p.stop[k] - p.first[k]), digest, p.hashes(k) if new else None))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                    new = digest not in seen and k < len(p.first) - p.n_anchors
+                    if new:
+                        seen.add(digest)
+                    out.append((row_ids[row + owner], doc_ids[row + owner], int(point[p.starts[p.first[k]]] - base), int(point[p.ends[p.stop[k] - 1]] - base), int(p.stop[k] - p.first[k]), digest, *p.around(k, PASSAGE - min_words, point), p.hashes(k) if new else None))
+            kinds = [*[pa.int64()] * 6, pa.binary(), pa.binary(), pa.list_(pa.int64())]
             columns = zip(*out, strict=True) if out else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)], names=["row_id", "doc_id", "start", "end", "n_words", "digest", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)], names=["row_id", "doc_id", "start", "end", "n_words", "digest", "left", "right", "hashes"])
 
-    found = docs.select("row_id", "doc_id", "text").mapInArrow(again, "row_id long, doc_id long, start long, end long, n_words long, digest long, hashes array<long>")
+    found = docs.select("row_id", "doc_id", "text").mapInArrow(again, "row_id long, doc_id long, start long, end long, n_words long, digest long, left binary, right binary, hashes array<long>")
     return written(found.join(candidates.select("digest").distinct(), "digest"), "dedup-occurrences")
 
 
@@ -189,12 +221,35 @@ def _links(candidates: DataFrame, sets: DataFrame, percent: int, few: int = FEW)
     return close.unionByName(join_clusters(members, percent).select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b"))
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Code points to the end of the words that two surroundings share from the paragraph on; those of the first."""
+    x, y = np.frombuffer(a, _AROUND), np.frombuffer(b, _AROUND)
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x["word"][:n] != y["word"][:n])
+    n = int(differ[0]) if len(differ) else n
+    return int(x["way"][n - 1]) if n else 0
+
+
+def _grown(removed: DataFrame, stays: DataFrame) -> DataFrame:
+    """Removed spans, once per surroundings of their component where it stays, grown over the words equal there."""
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right, stay_left, stay_right = (batch.column(c).to_pylist() for c in ("left", "right", "stay_left", "stay_right"))
+            low = batch.column("first_point").to_numpy() - np.array([*map(_common, left, stay_left)], np.int64)
+            high = batch.column("end_point").to_numpy() + np.array([*map(_common, right, stay_right)], np.int64)
+            kept = ["row_id", "doc_id", "component", "other_doc_id", "first_point", "end_point"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(low), pa.array(high)], names=[*kept, "start", "end"])
+
+    named = removed.withColumnsRenamed({"start": "first_point", "end": "end_point"}).join(stays, "component")
+    return named.mapInArrow(grow, "row_id long, doc_id long, component long, other_doc_id long, first_point long, end_point long, start long, end long")
+
+
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
     """Removals: doc_id, start, end, n_paragraphs, component_ids, other_doc_id of every repeated passage of (doc_id, text) outside the document where it stays.
 
     Two paragraphs link when 100 * intersection >= ``percent`` * union of their ``size``-word shingles
     (A-Z lower-cased). A component in two or more documents stays in that of the lowest id. The others'
-    spans (code points, end exclusive) are merged where they meet or overlap; component_ids lists their
+    spans (code points, end exclusive) are grown over equal words and merged where they meet or overlap; component_ids lists their
     groups, named by a paragraph's digest, and other_doc_id is the lowest document in which one of them
     stays. Repeats within one document are left.
     Null, empty and short texts, and texts without a full paragraph, have none; rows that repeat a
@@ -210,10 +265,12 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     groups = components(links).select(F.col("id").alias("digest"), F.col("label").alias("component"))
     placed = written(found.drop("hashes").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "dedup-placed")
     kept = placed.groupBy("component").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"), F.min("doc_id").alias("other_doc_id")).filter("first <> last")
-    removed = placed.join(kept, "component").filter("row_id <> first")
+    marked = placed.join(kept, "component")
+    stays = marked.filter("row_id = first").select("component", F.col("left").alias("stay_left"), F.col("right").alias("stay_right")).distinct()
+    removed = _grown(marked.filter("row_id <> first"), stays)
     order = Window.partitionBy("row_id").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = removed.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach + 1), 1).otherwise(0)).withColumn("run", F.sum("new").over(order))
     return runs.groupBy("row_id", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_paragraphs"),
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.size(F.collect_set(F.struct("first_point", "end_point"))).cast("long").alias("n_paragraphs"),
         F.array_sort(F.collect_set("component")).alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")).drop("row_id", "run")

@@ -109,3 +109,22 @@ def test_passages_of_awkward_rows(spark):
     assert {10, 11, 12, 13, 14} <= ids
     assert all(r.start < r.end for r in got)
     assert paragraph_dedup.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("marked", [False, True])
+def test_whole_passages_are_found_from_any_word(spark, marked):
+    rng = random.Random(23)
+    words = lambda n: prose(rng, n).split() if marked else [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows, planted = [], {}
+    for i in range(80):
+        passage = words(32 + 10 * (i % 3))
+        for k in (2 * i, 2 * i + 1):
+            before, after = ([f"x{k}", *words(60), f"y{k}"] for _ in range(2))
+            rows.append((k, " ".join([*before, *passage, *after]), *[None] * 8))
+            planted[k] = (len(" ".join(before)) + 1, len(" ".join([*before, *passage])))
+    got = paragraph_dedup.repeated_passages(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.other_doc_id) for r in got) == [(k, k - 1) for k in range(1, 160, 2)]
+    # Similar sentences at the edges may add some words where there are sentences.
+    for r in got:
+        start, end = planted[r.doc_id]
+        assert 0 <= start - r.start <= 100 * marked and 0 <= r.end - end <= 100 * marked
