@@ -35,8 +35,9 @@ _PIECES = pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("n",
 class _Ids(dict):
     """Ids of words as little-endian 32-bit bytes, found once per word while it is remembered.
 
-    The tokenizer drops white space and case, so ids of a text are those of its lower-cased words one
-    after another; texts that may name a special token keep their case. A plain ASCII word goes straight
+    The tokenizer drops white space and case, so ids of a text are those of its words one after another.
+    ASCII texts are lower-cased at once, unless they may name a special token; in others only ASCII words
+    are, as the tokenizer composes characters before it drops case. A plain ASCII word goes straight
     to the tokenizer's model, closing marks after it are a piece of their own; all else takes the whole way.
     """
 
@@ -66,7 +67,13 @@ class _Ids(dict):
 
     def of(self, text: bytes) -> bytes:
         """Ids of a whole text."""
-        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+        if b"<|" in text:
+            words = text.split()
+        elif text.isascii():
+            words = text.lower().split()
+        else:
+            words = [w.lower() if w.isascii() else w for w in text.split()]
+        return b"".join(map(self.__getitem__, words))
 
 
 def encoder(path: str) -> _Ids:

@@ -51,6 +51,11 @@ def test_ids_of_odd_texts(tokenizer, text):
     assert np.frombuffer(bitplanes.encoder(PATH).of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Plain J\u030cW\u030aA, H\u0331\u0301 WORDS."])
+def test_ids_of_capitals_with_marks(tokenizer, text):
+    assert np.frombuffer(bitplanes.encoder(PATH).of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_crc_of_joined_parts(a, b):
     assert bitplanes.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
