@@ -8,7 +8,7 @@ maximises the convex dual and is found by Newton steps with bisection as a guard
 Documents of one source and size have one rate, so the iterations run over the table of
 (source, size, salt) counts, which Spark sums map-side and which is written once. Salts split cells
 with many documents; nothing else is ordered but a cell. Rates become copies by rounding the running sum of rates
-over the cells of a source, and single documents then mend what rounding left.
+over the cells of a source, and documents that fit then mend what rounding left, however many it takes.
 """
 from __future__ import annotations
 
@@ -95,13 +95,13 @@ def balance(cells: DataFrame, targets: DataFrame, cap: float, tolerance: float =
     return state.select("source_key", "factor", "mean")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, cell_rows: int = CELL_ROWS, mends: int = 8) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``docs`` with a struct column ``_mix``: size, source_size, target and copies (0 to ``cap``) of each document.
 
     docs: doc_id, text, source. Size is the number of words; a document without words gets one copy,
     which costs nothing. The words taken of a source (copies x size) come near its target: rounding
-    leaves less than its longest document, and up to ``mends`` single documents that fit best mend the
-    rest. Which documents of a size get a copy more is settled by a hash of id and text, so reruns
+    leaves less than its longest document, and as many documents as the rest needs mend it until no
+    document more or less brings the source closer. Which documents of a size get a copy more is settled by a hash of id and text, so reruns
     agree; rows equal in id and text get the same copies. Null sources form one source; null ids count
     like any others. A column ``_mix`` is replaced, other columns pass. An empty table stays empty.
     """
@@ -129,19 +129,27 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
         worded.join(factors, "source_key").withColumn("end", F.sum(F.col("n") * rate).over(order))
         .withColumn("start", F.coalesce(F.lag("end").over(order), F.lit(0.0))))
     taken = written(running.select(*cell, "n", F.least(F.col("n") * cap, F.round("end") - F.round("start")).cast("long").alias("copies")), "mix-copies")
-    for _ in range(mends):
-        # One document more or less, of the size that brings the source closest to its target.
+    while True:
+        # Documents that fit into what a source lacks or has too much, largest first; where none fits, the one
+        # that comes closest. A filling round at least halves the gap and every round narrows it.
         words = taken.groupBy("source_key").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
         gaps = targets.join(words, "source_key").select("source_key", (F.col("target") - F.col("words")).alias("gap"))
-        after = F.abs(F.col("gap") - F.signum("gap") * F.col("size"))
-        possible = (F.col("gap") > 0) & (F.col("copies") < F.col("n") * cap) | (F.col("gap") < 0) & (F.col("copies") > 0)
-        best = written(
-            taken.join(gaps, "source_key").filter(possible & (after < F.abs("gap")))
-            .groupBy("source_key").agg(F.min(F.struct(after.alias("after"), "size", "salt", F.signum("gap").cast("long").alias("by"))).alias("best"))
-            .select("source_key", "best.size", "best.salt", "best.by"), "mix-mend")
-        if best.isEmpty():
+        room = F.when(F.col("gap") > 0, F.col("n") * cap - F.col("copies")).otherwise(F.col("copies"))
+        open_cells = (
+            taken.join(gaps, "source_key").withColumns({"room": room, "by": F.signum("gap").cast("long"), "gap": F.abs("gap")})
+            .filter((F.col("room") > 0) & (F.abs(F.col("gap") - F.col("size")) < F.col("gap"))))
+        fitting = open_cells.filter(F.col("size") <= F.col("gap"))
+        before = F.coalesce(F.sum(F.col("size") * F.col("room")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        filled = (
+            fitting.withColumn("left", F.col("gap") - before).filter(F.col("left") >= F.col("size"))
+            .select(*cell, (F.col("by") * F.least("room", F.floor(F.col("left") / F.col("size")))).alias("by")))
+        closest = (
+            open_cells.groupBy("source_key").agg(F.min(F.struct((F.col("size") - F.col("gap")).alias("over"), "size", "salt", "by")).alias("best"), F.min("size").alias("least"), F.max("gap").alias("gap"))
+            .filter("least > gap").select("source_key", "best.size", "best.salt", "best.by"))
+        change = written(filled.unionByName(closest), "mix-mend")
+        if change.isEmpty():
             break
-        taken = written(taken.join(best, cell, "left").select(*cell, "n", (F.col("copies") + F.coalesce("by", F.lit(0))).alias("copies")), "mix-copies")
+        taken = written(taken.join(change, cell, "left").select(*cell, "n", (F.col("copies") + F.coalesce("by", F.lit(0))).alias("copies")), "mix-copies")
     # Within a cell every document gets the whole part; the lowest hashes get one more.
     more = F.pmod("copies", "n")
     ranked = light.join(taken.filter(more > 0), cell).withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("tie")))

@@ -121,6 +121,14 @@ def test_mix_meets_its_targets(spark, rows, cell_rows):
     assert sorted(repr((r.doc_id, r.text, r._mix["copies"])) for r in got) == sorted(repr((r.doc_id, r.text, r._mix["copies"])) for r in again)
 
 
+@pytest.mark.parametrize("share", [1.2, 0.8])
+def test_mix_mends_a_long_document_with_many_short_ones(spark, share):
+    rows = [(0, "w " * 100_000, *[None] * 8)] + [(i, f"w{i} " * 50, *[None] * 8) for i in range(1, 2001)]
+    got = entropy_mixing.mix(frame(spark, rows), share=share, cell_rows=300).select("_mix.*").collect()
+    assert len(got) == 2001 and all(0 <= r.copies <= 2 for r in got)
+    assert abs(sum(r["size"] * r.copies for r in got) - share * 200_000) <= 25
+
+
 def test_mix_of_few_rows(spark):
     assert entropy_mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     one = entropy_mixing.mix(spark.createDataFrame([(1, None, *[None] * 8), (2, "", *[None] * 8)], SCHEMA)).collect()
