@@ -10,6 +10,7 @@ from ..session import checkpoint_dir
 from .bitplanes import document_digests, read_pieces, write_tokens
 from .decontamination import decontaminate
 from .entropy_mixing import mix
+from .fill_in_middle import fill_in_middle, restore
 from .jaccard_join import link
 from .lm_scoring import cross_entropy_difference
 from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
@@ -191,3 +192,22 @@ def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
+
+
+@query("""
+with d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+c as (select *, len(units) as n, cast('0x' || substr(h, 1, 8) as bigint) % (len(units) + 1) as a, cast('0x' || substr(h, 9, 8) as bigint) % (len(units) + 1) as b from d),
+p as (select doc_id, text, n, array_to_string(units[1:least(a, b)], '') as prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') as middle, array_to_string(units[greatest(a, b) + 1:], '') as suffix,
+             case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or cast('0x' || substr(h, 17, 8) as bigint) % 100 >= 90 then 'plain'
+                  when cast('0x' || substr(h, 25, 8) as bigint) % 100 < 20 then 'spm' else 'psm' end as form from c)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+""")
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = restore(fill_in_middle(table(spark, folder, "documents").select("doc_id", "text")))
+    fim = F.col("fim")
+    return cut.select(
+        "doc_id", fim.n.alias("n"), fim.form.alias("form"), fim.prefix_chars.alias("prefix_chars"), fim.middle_chars.alias("middle_chars"),
+        F.sha2(fim.output, 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
