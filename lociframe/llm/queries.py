@@ -16,6 +16,7 @@ from .lm_scoring import cross_entropy_difference
 from .pairwise_quality import CUT, featurize, fit as fit_ranking, score
 from .paragraph_dedup import repeated_passages
 from .pii import BASE_KINDS, candidates, fit as fit_spans, personal_spans
+from .simhash_pigeonhole import fingerprints, near_duplicates
 from .store import written
 from .url_rules import judge_urls
 from .weak_rules import METRIC, fit, judge, measure
@@ -194,6 +195,12 @@ def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
 
 
+@query()
+def op12_simhash_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(written(fingerprints(table(spark, folder, "documents")), "simhash"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("""
 with d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
 c as (select *, len(units) as n, cast('0x' || substr(h, 1, 8) as bigint) % (len(units) + 1) as a, cast('0x' || substr(h, 9, 8) as bigint) % (len(units) + 1) as b from d),
