@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .bitplanes import document_digests, read_pieces, write_tokens
+from .conversation_repair import repair, summary
 from .decontamination import decontaminate
 from .entropy_mixing import mix
 from .fill_in_middle import fill_in_middle, restore
@@ -218,3 +219,72 @@ def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", fim.n.alias("n"), fim.form.alias("form"), fim.prefix_chars.alias("prefix_chars"), fim.middle_chars.alias("middle_chars"),
         F.sha2(fim.output, 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The query's input: rows damaged by their key's crc32 modulo 20; nulls are one space."""
+    text, role = (F.coalesce(F.col(c), F.lit(" ")) for c in ("text", "role"))
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c else F.lit(":") for c in ("conv_id", "", "turn")])
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key.cast("binary")) % 20).alias("kind")).filter("kind <> 0")
+    broken = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), broken.alias("text"), copies.alias("copy"))
+
+
+def _repair_sql() -> str:
+    """Dynamic programming over rows: k0 to k3 hold, for each state, cost, audit and repaired turns as one comparable text."""
+    def add(k: str, cost: str, letter: str, line: str = "''") -> str:
+        return (f"printf('%06d', cast(substr({k}, 1, 6) as int) + {cost}) || substr({k}, 7, strpos({k}, chr(1)) - 7) || '{letter}' || chr(1)"
+                f" || substr({k}, strpos({k}, chr(1)) + 1) || {line}")
+
+    user, assistant = "'user:' || chr(10)", "'assistant:' || chr(10)"
+    kept, new_user, new_assistant = "role || ':' || text || chr(10)", "'user:' || text || chr(10)", "'assistant:' || text || chr(10)"
+
+    def keep(k: str, initial: str) -> str:
+        return f"case when not gone and left(role, 1) = '{initial}' then {add(k, 'cut', 'K', kept)} end"
+
+    def rerole(k: str, line: str) -> str:
+        return f"case when not gone then {add(k, '2 + cut', 'R', line)} end"
+
+    return f"""
+with recursive keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations),
+hashed as (select *, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(key) + 1), lambda i: cast(ascii(substr(key, i, 1)) as bigint))),
+             lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 as kind from keyed),
+rows as (select conv_id, turn, case when kind = 4 then 'user' else role end as role, case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+           unnest(case when kind = 3 then [1, 2] else [1] end) as copy from hashed where kind <> 0),
+numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i from rows),
+seen as (select *, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) as last, row_number() over (partition by conv_id, role, text order by i) as nth from numbered),
+faults as (select *, last = '' or nth > 1 as gone, case when last not in ('.', '!', '?') then 1 else 0 end as cut, lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as two from seen),
+walk as (
+  select conv_id, 0 as i, '000000' || chr(1) as k0, cast(null as varchar) as k1, {add("('000000' || chr(1))", '2', 'I', user)} as k2,
+         {add("('000002I' || chr(1) || 'user:' || chr(10))", '2', 'I', assistant)} as k3 from (select distinct conv_id from faults)
+  union all
+  select conv_id, i, k0, k1, k2, least(k3, {add('k2', '2', 'I', assistant)}) from (
+    select conv_id, i, k0, k1, least(k2, {add('k0', '2', 'I', user)}, {add('k1', '2', 'I', user)}, {add('k3', '2', 'I', user)}) as k2, k3 from (
+      select w.conv_id, f.i, {add('k0', '3', 'D')} as k0,
+        least({add('k1', '3', 'D')}, {keep('k0', 's')}) as k1,
+        least({add('k2', '3', 'D')}, {keep('k0', 'u')}, {keep('k1', 'u')}, {keep('k3', 'u')}, {rerole('k0', new_user)}, {rerole('k1', new_user)}, {rerole('k3', new_user)}) as k2,
+        least({add('k3', '3', 'D')}, {keep('k2', 'a')}, {rerole('k2', new_assistant)}) as k3
+      from walk w join faults f on f.conv_id is not distinct from w.conv_id and f.i = w.i + 1))),
+ends as (select conv_id, i, max(i) over (partition by conv_id) as n, least(k0, k3) as k from walk),
+best as (select conv_id, cast(substr(k, 1, 6) as bigint) as cost, substr(k, 7, strpos(k, chr(1)) - 7) as audit, regexp_replace(substr(k, strpos(k, chr(1)) + 1), '\\n$', '') as repaired from ends where i = n),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (last = '') as blank, count(*) filter (last <> '' and nth > 1) as duplicate,
+             count(*) filter (not gone and cut = 1) as truncated, count(*) filter (two not in ('su', 'ua', 'au')) as illegal from faults group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+       coalesce(cost, 0) as cost, coalesce(audit, '') as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id left join best b on b.conv_id is not distinct from o.conv_id
+"""
+
+
+@query(_repair_sql())
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    repaired = repair(damaged(conversations))
+    lines = F.array_join(F.transform(F.arrays_zip("roles", "texts"), lambda t: F.concat(t["roles"], F.lit(":"), t["texts"])), "\n")
+    whole = repaired.filter(F.size("roles") > 0).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "chunk", lines.alias("lines")))).alias("c"))
+    whole = whole.select("conv_id", F.array_join(F.transform("c", lambda x: x["lines"]), "\n").alias("repaired"))
+    every = conversations.select(F.col("conv_id").alias("every")).distinct()
+    found = summary(repaired).join(whole.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    out = every.join(found, F.col("every").eqNullSafe(F.col("conv_id")), "left")
+    zeros = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("every").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"))
