@@ -3,11 +3,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import count_bases, pieces, reverse_complement
 from .intervals import merge_intervals
+from .scans import range_parts, running
 from .summaries import nx_statistics
 
 CHUNK = 1 << 16
@@ -191,8 +192,8 @@ def supermatrix(alignments: DataFrame, species: DataFrame) -> dict[str, DataFram
     ``supermatrix_rows`` fills them in.
     """
     lengths = alignments.groupBy("gene").agg(F.max(F.length("seq")).cast("bigint").alias("length"))
-    before = Window.orderBy("gene").rowsBetween(Window.unboundedPreceding, -1)
-    partitions = lengths.withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0)) + 1).withColumn("end", F.col("start") + F.col("length") - 1)
+    placed = running(range_parts(lengths, ["gene"]), ["gene"], {"_before": F.col("length")}, exclusive=True)
+    partitions = placed.select("gene", "length", (F.col("_before") + 1).alias("start"), (F.col("_before") + F.col("length")).alias("end"))
     listed = species.select("species").distinct()
     have = alignments.join(listed, "species", "left_semi").select("species", "gene", "seq")
     present = have.groupBy("species").agg(F.count(F.lit(1)).alias("present_genes"))

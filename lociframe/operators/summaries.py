@@ -6,6 +6,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
+from .scans import range_parts, running
+
 BUCKETS = 4096
 
 
@@ -66,17 +69,16 @@ def length_histogram(
 def nx_statistics(df: DataFrame, keys: Sequence[str], length: str, thresholds: Sequence[int] = (50, 90)) -> DataFrame:
     """N and L values per group: the length at which the longest sequences reach the share, and how many they are.
 
-    The ordered window sees one row per distinct length, not one per sequence.
+    One row per distinct length is scanned, in ranges of descending length.
     """
     keys = list(keys)
     by_length = df.groupBy(*keys, length).agg(F.count(F.lit(1)).alias("_n"))
-    down = Window.partitionBy(*keys).orderBy(F.col(length).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
+    down = [F.col(length).desc()]
+    parts = range_parts(by_length, down, keys)
     bases = F.col("_n") * F.col(length)
-    ranked = by_length.select(
-        *keys, length, "_n", F.sum(bases).over(down).alias("_acc"), F.sum("_n").over(down).alias("_rank"),
-        F.sum(bases).over(whole).alias("_total"),
-    )
+    ranked = running(parts, down, {"_acc": bases, "_rank": F.col("_n")}, keys)
+    totals = parts.groupBy(*keys).agg(F.sum(bases).alias("_total"))
+    ranked = ranked.join(totals, keys) if keys else ranked.withColumn("_total", totals.scalar())
     measures = []
     for share in thresholds:
         target = F.col("_total") * (share / 100)
@@ -89,6 +91,25 @@ def nx_statistics(df: DataFrame, keys: Sequence[str], length: str, thresholds: S
     return ranked.groupBy(*keys).agg(*measures)
 
 
+def benjamini_hochberg(df: DataFrame, p: str, q: str, sets: Sequence[str] = ()) -> DataFrame:
+    """Add false-discovery-rate values ``q`` to ``df``, one correction per combination of ``sets``.
+
+    Equal p-values share one q-value, so the distinct p-values with their counts are scanned: ranks as a
+    running sum, then the minimum of p m / rank from the largest p-value down. The rows are worked out
+    once and kept, since counts and result both read them.
+    """
+    keys = list(sets)
+    df = durable(df)
+    levels = df.groupBy(*keys, p).agg(F.count(F.lit(1)).alias("_ties"))
+    parts = range_parts(levels, [p], keys)
+    ranked = running(parts, [p], {"_rank": F.col("_ties")}, keys)
+    totals = parts.groupBy(*keys).agg(F.sum("_ties").alias("_m"))
+    ranked = ranked.join(totals, keys) if keys else ranked.withColumn("_m", totals.scalar())
+    rates = ranked.withColumn("_rate", F.col(p) * F.col("_m") / F.col("_rank"))
+    lowest = running(rates, [F.col(p).desc()], {"_low": F.col("_rate")}, keys, "min", backwards=True)
+    return df.join(lowest.select(*keys, p, F.least(F.lit(1.0), "_low").alias(q)), [*keys, p])
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
     """First row per key in ``order``: an aggregate with map-side combine instead of a window."""
     return df.groupBy(*keys).agg(F.min_by(F.struct(*values), order).alias("_r")).select(*keys, "_r.*")

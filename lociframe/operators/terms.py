@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import benjamini_hochberg, hypergeometric_tail
+from ..functions.stats import hypergeometric_tail
 from ..functions.text import first_present, present, split_terms, to_long
-from .summaries import last_by
+from .summaries import benjamini_hochberg, last_by
 
 # One-letter functional categories of clusters of orthologous groups.
 COG_NAMES = {

@@ -7,8 +7,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lociframe.operators import terms
-from lociframe.functions.stats import benjamini_hochberg, hypergeometric_tail
-from lociframe.operators.summaries import grouped_median, length_histogram, nx_statistics
+from lociframe.functions.stats import hypergeometric_tail
+from lociframe.operators.scans import range_parts, running
+from lociframe.operators.summaries import benjamini_hochberg, grouped_median, length_histogram, nx_statistics
 
 
 def exact_tail(a, b, c, d):
@@ -67,3 +68,63 @@ def test_counts_of_a_group_of_many_members(spark):
     assert rows(terms.term_counts(pairs)) == [("big", 200_000), ("small", 1)]
     assert rows(terms.architecture_frequency(pairs.select(pairs.term_id.alias("domain_architecture"), pairs.gene_id.alias("query_id"))), "domain_architecture", "gene_count") == [("big", 200_000), ("small", 2)]
     assert terms.unmapped_terms(pairs.withColumnRenamed("term_id", "ko_id"), spark.createDataFrame([("small",)], "ko_id string")).count() == 200_000
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Adaptive execution would put these few rows into one range."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("how", ["sum", "min", "max"])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_running_over_ranges(spark, many_ranges, how, keys):
+    r = random.Random(4)
+    data = [(r.choice("aaab"), x, r.randrange(-50, 50)) for x in r.sample(range(10**6), 900)]
+    parts = range_parts(spark.createDataFrame(data, "k string, x bigint, v bigint").repartition(3), ["x"], keys)
+    assert parts.select("_part").distinct().count() > 1
+    fold = {"sum": sum, "min": min, "max": max}[how]
+    for backwards in (False, True):
+        for exclusive in (False, True):
+            order = [F.col("x").desc() if backwards else F.col("x")]
+            out = running(parts, order, {"a": F.col("v"), "b": F.col("v") * 2}, keys, how, backwards, exclusive).collect()
+            got = {(d.k, d.x): (d.a, d.b) for d in out}
+            assert len(got) == 900
+            seen = {}
+            for k, x, v in sorted(data, key=lambda d: d[1], reverse=backwards):
+                past = seen.setdefault(k if keys else None, [])
+                if not exclusive:
+                    past.append(v)
+                want = fold(past) if past else 0 if how == "sum" else None
+                assert got[k, x] == (want, want if want is None else 2 * want)
+                if exclusive:
+                    past.append(v)
+
+
+def test_rates_of_many_levels_and_sets(spark, many_ranges):
+    r = random.Random(5)
+    data = [(i, r.choice("xxy"), r.choice([r.random(), 0.25, 1e-300])) for i in range(3000)]
+    out = benjamini_hochberg(spark.createDataFrame(data, "i int, s string, p double"), "p", "q", ["s"]).collect()
+    assert len(out) == 3000
+    for s in "xy":
+        mine = sorted((d for d in data if d[1] == s), key=lambda d: -d[2])
+        low, expected = 1.0, {}
+        for rank, d in zip(range(len(mine), 0, -1), mine):
+            low = min(low, d[2] * len(mine) / rank)
+            expected[d[0]] = low
+        assert {d.i: pytest.approx(d.q) for d in out if d.s == s} == expected
+
+
+def test_scans_of_no_rows(spark):
+    none = spark.createDataFrame([], "p double")
+    assert benjamini_hochberg(none, "p", "q").count() == 0
+    assert nx_statistics(none, [], "p").collect()[0].N50 is None
+
+
+def test_no_ordered_window_over_a_whole_table(spark):
+    df = spark.createDataFrame([(x / 100,) for x in range(100)], "p double")
+    for plan in (benjamini_hochberg(df, "p", "q"), nx_statistics(df, [], "p")):
+        windows = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+        assert windows and all("_part" in line for line in windows)
