@@ -9,35 +9,43 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .scans import range_parts, running
 
-BUCKETS = 4096
+#: Distance of the cuts around the middle, as a share of the rows, and the sketch's accuracy (errors of one row in so many).
+MARGIN, ACCURACY = 1 / 256, 10_000
+
+
+def median_candidates(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values (keys, ``_v``, ``_n``) that may be a group's middle ones, with the group's ``_total`` and the rows ``_before`` them.
+
+    A sketch of ranks, combined before the shuffle, gives two cuts just below and above the middle of each
+    group; exact counts then tell in which of the three zones the middle ranks lie. The cuts are kept, so
+    counts and values are held against the same ones. A zone between the cuts has about one row in
+    ``1 / MARGIN / 2``, however the values are spread; a sketch that misses costs work, not exactness.
+    """
+    keys = list(keys)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    cuts = durable(rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_cuts"), F.count(F.lit(1)).alias("_total")))
+    zone = F.when(F.col("_v") < F.get("_cuts", F.lit(0)), 0).when(F.col("_v") <= F.get("_cuts", F.lit(1)), 1).otherwise(2)
+    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = counted.join(cuts, keys).select(*keys, "_v", "_n", "_total", zone.alias("_zone"))
+    inside = [F.sum(F.when(F.col("_zone") == z, F.col("_n")).otherwise(0)) for z in range(3)]
+    sizes = placed.groupBy(*keys, "_total").agg(F.array(*inside).alias("_in"))
+    zones = sizes.select(*keys, "_total", F.posexplode("_in").alias("_zone", "_size"), F.aggregate(
+        F.slice("_in", F.lit(1), F.col("_zone")), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("_before"))
+    first, second = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+    middle = zones.filter((F.col("_before") < second) & (F.col("_before") + F.col("_size") >= first)).select(*keys, "_zone", "_before")
+    return placed.join(middle, [*keys, "_zone"])
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Exact median per group, averaging the two middle values of an even count.
 
-    Equal values are counted first. Each group's value range is then cut into buckets, bucket
-    totals locate the middle, and only the middle bucket's values are put in order, so no task
-    sorts or holds a whole group.
+    Only the candidates around the middle rank are put in order, so no task sorts or holds a whole group.
     """
     keys = list(keys)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    extent = counted.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
-    spread = F.col("_hi") - F.col("_lo")
-    bucket = F.when(spread > 0, F.floor((F.col("_v") - F.col("_lo")) / spread * (BUCKETS - 1))).otherwise(0)
-    placed = counted.join(extent, keys).withColumn("_bucket", bucket.cast("int"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "_zone").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = median_candidates(df, keys, value).withColumn("_rank", F.col("_before") + F.sum("_n").over(inside))
     first, second = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
-    middle = (
-        placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_all"))
-        .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-        .filter((F.col("_before") < F.floor((F.col("_all") + 2) / 2))
-                & (F.col("_before") + F.col("_in") >= F.floor((F.col("_all") + 1) / 2)))
-        .select(*keys, "_bucket", "_before")
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(middle, [*keys, "_bucket"]).withColumn("_rank", F.col("_before") + F.sum("_n").over(inside))
     return ranked.groupBy(*keys).agg(
         ((F.min(F.when(F.col("_rank") >= first, F.col("_v"))) + F.min(F.when(F.col("_rank") >= second, F.col("_v")))) / 2)
         .alias(out)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import terms
 from lociframe.functions.stats import hypergeometric_tail
 from lociframe.operators.scans import range_parts, running
-from lociframe.operators.summaries import benjamini_hochberg, grouped_median, length_histogram, nx_statistics
+from lociframe.operators.summaries import benjamini_hochberg, grouped_median, length_histogram, median_candidates, nx_statistics
 
 
 def exact_tail(a, b, c, d):
@@ -128,3 +128,19 @@ def test_no_ordered_window_over_a_whole_table(spark):
     for plan in (benjamini_hochberg(df, "p", "q"), nx_statistics(df, [], "p")):
         windows = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
         assert windows and all("_part" in line for line in windows)
+
+
+@pytest.mark.parametrize("outlier", [1e12, -1e300, 0.5])
+def test_median_orders_few_values_of_a_skewed_group(spark, outlier):
+    df = spark.range(300_000).select(F.lit("big").alias("k"), F.rand(3).alias("v")).union(spark.createDataFrame([("big", outlier), ("small", 2.0)], "k string, v double"))
+    df = df.repartition(4, "v")
+    few = median_candidates(df, ["k"], "v").filter("k = 'big'")
+    assert 0 < few.count() <= 300_000 / 16
+    got = dict(rows(grouped_median(df, ["k"], "v", "m")))
+    assert got == {"big": statistics.median(r.v for r in df.filter("k = 'big'").collect()), "small": 2.0}
+
+
+def test_median_of_few_and_equal_values(spark):
+    data = [("a", 1.0)] * 4 + [("b", 1.0), ("b", 3.0), ("c", None), ("d", 1.0), ("d", 1.0), ("d", 9.0), ("d", 10.0)] + [("e", float(x)) for x in range(7)]
+    got = dict(rows(grouped_median(spark.createDataFrame(data, "k string, v double"), ["k"], "v", "m")))
+    assert got == {"a": 1.0, "b": 2.0, "d": 5.0, "e": 3.0}
