@@ -105,12 +105,12 @@ def interval_pieces(intervals: DataFrame, chunks: DataFrame, lengths: DataFrame,
 def interval_at_share(intervals: DataFrame, genome: DataFrame) -> DataFrame:
     """A+T share of the A, C, G and T bases of each distinct interval (species, seqid, start0, end0); NULL without such bases.
 
-    ``genome`` has species, seqid, seq.
+    ``genome`` has species, seqid, seq, and start0 if it comes in pieces.
     """
-    from .sequences import chunk_sequences
+    from .sequences import chunk_sequences, without_text
 
     joint = F.concat_ws("\t", "species", "seqid")
-    keyed = genome.select(joint.alias("seqid"), "seq")
+    keyed = without_text(genome.withColumn("seqid", joint), "seqid")
     own = intervals.select("species", F.col("seqid").alias("_seqid"), joint.alias("seqid"), "start0", "end0")
     cut = interval_pieces(own, chunk_sequences(keyed), keyed.select("seqid").distinct())
     counts = cut.groupBy("species", "_seqid", "start0", "end0").agg(
@@ -307,16 +307,16 @@ def coding_sequences(features: DataFrame, transcripts: DataFrame, genome: DataFr
     """Coding sequence, peptide and checks of each given transcript that has CDS parts.
 
     Parts are cut from genome chunks, so no task holds a whole chromosome; only the parts of one
-    transcript come together. ``genome`` has species, seqid, seq.
+    transcript come together. ``genome`` has species, seqid, seq, and start0 if it comes in pieces.
     """
-    from .sequences import chunk_sequences
+    from .sequences import chunk_sequences, without_text
 
     parts = features.filter("type = 'CDS'").select(
         "species", "seqid", (F.col("start") - 1).alias("start0"), F.col("end").alias("end0"), "_row", F.explode("parents").alias("transcript_id"))
     own = parts.join(transcripts.select("species", "transcript_id"), ["species", "transcript_id"], "left_semi")
     # Species and sequence travel as one key through the chunk lookup.
     joint = F.concat_ws("\t", "species", "seqid")
-    keyed = genome.select(joint.alias("seqid"), "seq")
+    keyed = without_text(genome.withColumn("seqid", joint), "seqid")
     cut = interval_pieces(own.withColumn("seqid", joint), chunk_sequences(keyed, size), keyed.select("seqid").distinct(), size)
     ordered = F.array_sort(F.collect_list(F.struct("start0", "_row", "piece_start", "piece")))
     joined = cut.groupBy("species", "transcript_id").agg(F.upper(F.array_join(F.transform(ordered, lambda p: p["piece"]), "")).alias("_seq"))

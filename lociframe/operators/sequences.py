@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import count_bases, pieces, reverse_complement
+from ..functions.sequence import count_bases, pieces as pieces_of, reverse_complement
 from .intervals import merge_intervals
 from .scans import range_parts, running
 from .summaries import nx_statistics
@@ -14,24 +14,57 @@ from .summaries import nx_statistics
 CHUNK = 1 << 16
 
 
+def sequence_keys(sequences: DataFrame) -> list[str]:
+    """Columns that name a sequence, in a table of whole sequences or of pieces (with ``start0``)."""
+    return [c for c in sequences.columns if c not in ("seq", "start0", "header", "length")]
+
+
+def split_pieces(pieces: DataFrame, size: int) -> DataFrame:
+    """Pieces cut at multiples of ``size``: keys, ``chunk_no``, ``_from`` (place in the sequence), ``seq``."""
+    head = (F.lit(size) - F.col("start0") % size).cast("int")
+    parts = F.filter(F.concat(F.array(F.substring(F.col("seq"), F.lit(1), head)), pieces_of(F.substring(F.col("seq"), head + 1, F.length("seq")), size)), lambda p: p != "")
+    cut = pieces.select(*sequence_keys(pieces), F.col("start0").alias("_start"), F.posexplode(F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))).alias("_i", "seq"))
+    number = F.floor(F.col("_start") / size) + F.col("_i")
+    return cut.select(*sequence_keys(pieces), number.cast("int").alias("chunk_no"), F.greatest("_start", number * size).alias("_from"), "seq")
+
+
 def chunk_sequences(sequences: DataFrame, size: int = CHUNK, overlap: int = 0) -> DataFrame:
-    """Sequences cut into chunks (seqid, chunk_no, start0, seq); each chunk also carries the next ``overlap`` characters."""
-    extra = [c for c in sequences.columns if c not in ("seqid", "seq", "header", "length")]
+    """Sequences cut into chunks (seqid, chunk_no, start0, seq); each chunk also carries the next ``overlap`` characters.
+
+    Whole sequences are cut where they stand. Pieces (with ``start0``, as ``read_fasta_pieces`` gives them) are
+    brought together by chunk, so a row never holds more than a chunk.
+    """
     if overlap > size:
         raise ValueError("overlap cannot exceed the chunk size")
-    cut = pieces(F.col("seq"), size)
+    keys = sequence_keys(sequences)
+    if "start0" in sequences.columns:
+        parts = split_pieces(sequences, size).groupBy(*keys, "chunk_no").agg(F.array_sort(F.collect_list(F.struct("_from", "seq"))).alias("_p"))
+        rows = parts.select(*keys, "chunk_no", F.array_join(F.transform("_p", lambda p: p["seq"]), "").alias("seq"))
+        if overlap:
+            following = rows.select(*keys, (F.col("chunk_no") - 1).alias("chunk_no"), F.substring("seq", 1, overlap).alias("_more"))
+            rows = rows.join(following, [*keys, "chunk_no"], "left").select(*keys, "chunk_no", F.concat("seq", F.coalesce("_more", F.lit(""))).alias("seq"))
+        return rows.withColumn("start0", F.col("chunk_no").cast("bigint") * size)
+    cut = pieces_of(F.col("seq"), size)
     if overlap:
         # The outer transform cuts the sequence once; the inner one reads neighbours from the result.
         cut = F.flatten(F.transform(F.array(cut), lambda p: F.transform(
             p, lambda x, i: F.concat(x, F.substring(F.coalesce(F.get(p, i + 1), F.lit("")), 1, overlap)))))
-    rows = sequences.select("seqid", *extra, F.posexplode(cut).alias("chunk_no", "seq"))
+    rows = sequences.select(*keys, F.posexplode(cut).alias("chunk_no", "seq"))
     return rows.withColumn("start0", F.col("chunk_no").cast("bigint") * size)
 
 
+def without_text(sequences: DataFrame, *columns: str) -> DataFrame:
+    """The columns named, the sequence and, of pieces, their place."""
+    return sequences.select(*columns, *[c for c in ("start0", "seq") if c in sequences.columns])
+
+
 def sequence_composition(sequences: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Length, GC and N counts per sequence."""
+    """Length, GC and N counts per sequence, whole or in pieces."""
     seq = F.col("seq")
-    return sequences.select(*keys, "seqid", F.length(seq).cast("bigint").alias("length"), count_bases(seq, "GC").alias("gc"), count_bases(seq, "N").alias("n"))
+    rows = sequences.select(*keys, "seqid", F.length(seq).cast("bigint").alias("length"), count_bases(seq, "GC").alias("gc"), count_bases(seq, "N").alias("n"))
+    if "start0" not in sequences.columns:
+        return rows
+    return rows.groupBy(*keys, "seqid").agg(*[F.sum(c).alias(c) for c in ("length", "gc", "n")])
 
 
 def assembly_stats(sequences: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -57,29 +90,39 @@ def gc_windows(sequences: DataFrame, size: int = 5_000, compat: bool = False) ->
     """GC share of the A, C, G and T bases per window; zero where a window has none.
 
     Windows are clipped to the sequence. ``compat`` keeps unclipped ends and the empty window
-    after a sequence whose length is a multiple of the window.
+    after a sequence whose length is a multiple of the window. Of pieces, each window's counts are added
+    up over the pieces that reach into it.
     """
-    windows = chunk_sequences(sequences.select("seqid", "seq"), size)
     gc, at = count_bases(F.col("seq"), "GC"), count_bases(F.col("seq"), "AT")
-    rows = windows.select("seqid", F.col("start0").alias("start"), F.length("seq").alias("_n"), gc.alias("_gc"), at.alias("_at"))
+    n = F.length("seq").cast("bigint")
+    if "start0" in sequences.columns:
+        split = split_pieces(without_text(sequences, "seqid"), size).filter("seq <> ''")
+        rows = split.groupBy("seqid", (F.col("chunk_no").cast("bigint") * size).alias("start")).agg(F.sum(n).alias("_n"), F.sum(gc).alias("_gc"), F.sum(at).alias("_at"))
+        lengths = sequences.groupBy("seqid").agg(F.sum(n).alias("_length"))
+    else:
+        rows = chunk_sequences(sequences.select("seqid", "seq"), size).select("seqid", F.col("start0").alias("start"), n.alias("_n"), gc.alias("_gc"), at.alias("_at"))
+        lengths = sequences.select("seqid", n.alias("_length"))
     share = F.when(F.col("_gc") + F.col("_at") > 0, F.col("_gc") / (F.col("_gc") + F.col("_at"))).otherwise(F.lit(0.0))
     if not compat:
         return rows.select("seqid", "start", (F.col("start") + F.col("_n")).alias("end"), share.alias("gc"))
     full = rows.select("seqid", "start", (F.col("start") + size - 1).alias("end"), share.alias("gc"))
-    length = F.length("seq").cast("bigint")
-    empty = sequences.filter(length % size == 0).select("seqid", length.alias("start"), length.alias("end"), F.lit(0.0).alias("gc"))
+    empty = lengths.filter(F.col("_length") % size == 0).select("seqid", F.col("_length").alias("start"), F.col("_length").alias("end"), F.lit(0.0).alias("gc"))
     return full.unionByName(empty)
 
 
 def kmer_counts(sequences: DataFrame, k: int = 21, chunk: int = 256) -> DataFrame:
     """Occurrences of each canonical k-mer (the smaller of a k-mer and its reverse complement).
 
-    Only k-mers of A, C, G and T count, so sequences are first reduced to such runs. Both
-    strands of a chunk are prepared once and every k-mer is cut from them; counts are combined
-    per task before the shuffle, so a k-mer that fills a genome travels as few rows.
+    Only k-mers of A, C, G and T count, so sequences are first reduced to such runs; pieces are brought into
+    chunks first, each with the k - 1 characters that follow. Both strands of a chunk are prepared once and
+    every k-mer is cut from them; counts are combined per task before the shuffle, so a k-mer that fills a
+    genome travels as few rows.
     """
     if chunk < k:
         raise ValueError("chunk must hold at least one k-mer")
+    if "start0" in sequences.columns:
+        names = [c for c in ("path", "record", "seqid") if c in sequences.columns]
+        sequences = chunk_sequences(without_text(sequences, *names), overlap=k - 1)
     runs = sequences.select(F.explode(F.regexp_extract_all(F.upper("seq"), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("seq"))
     strands = chunk_sequences(runs.withColumn("seqid", F.lit(0)), chunk, k - 1).select(
         "seq", reverse_complement(F.col("seq")).alias("_rc"), F.length("seq").alias("_n")).filter(F.col("_n") >= k)
@@ -109,7 +152,7 @@ def soft_mask(sequences: DataFrame, repeats: DataFrame, size: int = CHUNK) -> Da
     Repeats are united and cut at chunk borders, so a chunk receives only disjoint stretches
     inside it; ``rebuild_sequences`` puts chunks together again.
     """
-    chunks = chunk_sequences(sequences.select("seqid", "seq"), size)
+    chunks = chunk_sequences(without_text(sequences, "seqid"), size)
     merged = merge_intervals(repeats.select("seqid", F.greatest("start0", F.lit(0)).alias("start0"), "end0"))
     cut = merged.select("seqid", "start0", "end0", F.explode(F.sequence(
         F.floor(F.col("start0") / size).cast("int"), F.floor((F.col("end0") - 1) / size).cast("int"))).alias("chunk_no"))

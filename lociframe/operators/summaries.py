@@ -92,7 +92,7 @@ def nx_statistics(df: DataFrame, keys: Sequence[str], length: str, thresholds: S
         target = F.col("_total") * (share / 100)
         reached = F.col("_acc") >= target
         # Sequences of this length still needed once the longer ones are spent.
-        needed = F.ceil((target - (F.col("_acc") - bases)) / F.col(length))
+        needed = F.ceil((target - (F.col("_acc") - bases)) / F.nullif(F.col(length), F.lit(0)))
         count = F.col("_rank") - F.col("_n") + F.greatest(needed, F.lit(1))
         measures.append(F.max(F.when(reached, F.col(length))).alias(f"N{share}"))
         measures.append(F.min(F.when(reached, count)).cast("bigint").alias(f"L{share}"))

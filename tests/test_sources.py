@@ -1,11 +1,13 @@
 import gzip
+import random
 
 import pytest
 from conftest import rows
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from lociframe.functions.text import general_format, split_terms, to_long
-from lociframe.operators import coverage, hits, regions, terms
+from lociframe.operators import coverage, hits, regions, sequences, terms
 from lociframe.sources import fasta, gff, lines, reports, sinks
 
 
@@ -22,12 +24,89 @@ def test_fasta(spark, put):
     df = fasta.read_fasta(spark, path, upper=True)
     assert rows(df, "seqid", "header", "seq", "length") == [("a->b", "a->b desc", "GG", 2), ("s1", "s1 first gene=x", "ACGTN", 5), ("s2", "s2", "NN", 2)]
     twice = put("b.fa", ">s\nA\n>s\nC\n")
-    with pytest.raises(ValueError, match="repeated"):
-        fasta.read_fasta(spark, twice)
+    with pytest.raises(SparkRuntimeException, match="repeated sequence id: s"):
+        fasta.read_fasta(spark, twice).count()
     assert rows(fasta.read_fasta(spark, twice, "last"), "seq") == [("C",)]
     assert fasta.read_fasta(spark, twice, "keep").count() == 2
-    with pytest.raises(ValueError, match="before the first header"):
-        fasta.read_fasta(spark, put("c.fa", "ACGT\n>s\nA\n"))
+    headless = put("c.fa", "ACGT\n>s\nA\n")
+    with pytest.raises(SparkRuntimeException, match="before the first header"):
+        fasta.read_fasta(spark, headless).count()
+    with pytest.raises(SparkRuntimeException, match="before the first header"):
+        fasta.read_fasta_pieces(spark, headless).count()
+    with pytest.raises(SparkRuntimeException, match="repeated sequence id: s"):
+        fasta.read_fasta_pieces(spark, twice).count()
+    assert rows(fasta.read_fasta_pieces(spark, twice, "last"), "seq", "start0") == [("C", 0)]
+    assert rows(fasta.read_fasta_pieces(spark, headless, "keep"), "seqid", "seq") == [("s", "A")]
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def whole(pieces):
+    """Sequences by (path, record) from pieces that must cover them once."""
+    held = {}
+    for r in sorted(pieces.collect(), key=lambda r: r.start0):
+        name, seq = held.get((r.path, r.record), (r.seqid, ""))
+        assert r.start0 == len(seq) and name == r.seqid
+        held[r.path, r.record] = (name, seq + r.seq)
+    return sorted(held.values())
+
+
+@pytest.mark.parametrize("size", [64, 1000])
+def test_fasta_pieces_over_many_splits(spark, small_splits, put, size):
+    r = random.Random(3)
+    records = [(f"r{i}", "".join(r.choice("ACGTNacgt") for _ in range(r.choice([0, 5, 60, 600, 5000])))) for i in range(40)]
+    for i in range(2):
+        put(f"pieces/f{i}.fa", "".join(f">{n} file {i}\n" + "".join(s[k : k + 60] + "\n" for k in range(0, len(s), 60)) + "\n" * (len(s) % 2) for n, s in records[i::2]))
+    folder = put("pieces/f0.fa.note", "").rsplit("/", 1)[0]
+    paths = [f"{folder}/f0.fa", f"{folder}/f1.fa"]
+    pieces = fasta.read_fasta_pieces(spark, paths, size=size)
+    assert pieces.rdd.getNumPartitions() > 20 and max(len(p.seq) for p in pieces.select("seq").collect()) <= size
+    assert whole(pieces) == sorted(records)
+    as_lines = lines.read_lines(spark, paths).repartition(5)
+    assert whole(fasta.read_fasta_pieces(spark, as_lines, size=size)) == sorted(records)
+    assert whole(fasta.read_fasta_pieces(spark, paths, "keep", upper=True, size=size)) == sorted((n, s.upper()) for n, s in records)
+    if size == 1000:
+        compare(pieces, spark.createDataFrame([(n, s) for n, s in records if s], "seqid string, seq string"))
+
+
+def compare(pieces, plain):
+    """Operators give the same on pieces as on whole sequences."""
+    for options in ({}, {"compat": True}):
+        some = sequences.gc_windows(pieces, 100, **options).filter("start > 0 or end > 0")
+        assert rows(some) == rows(sequences.gc_windows(plain, 100, **options))
+    assert rows(sequences.kmer_counts(pieces, 9)) == rows(sequences.kmer_counts(plain, 9))
+    assert rows(sequences.sequence_composition(pieces).filter("length > 0")) == rows(sequences.sequence_composition(plain))
+    assert rows(sequences.assembly_stats(pieces).select("N50", "L50", "total_length")) == rows(sequences.assembly_stats(plain).select("N50", "L50", "total_length"))
+    masks = plain.select("seqid", F.lit(3).cast("bigint").alias("start0"), F.lit(777).cast("bigint").alias("end0"))
+    masked = sequences.rebuild_sequences(sequences.soft_mask(pieces, masks, 50)).filter("seq <> ''")
+    assert rows(masked) == rows(sequences.rebuild_sequences(sequences.soft_mask(plain, masks, 50)))
+
+
+def test_one_long_record_never_stands_in_one_row(spark, tmp_path):
+    path = tmp_path / "long.fa"
+    unit = "ACGTTGCAAC" * 6 + "\n"
+    with open(path, "w") as f:
+        f.write(">long one\n")
+        for _ in range(170):
+            f.write(unit * 10_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(8 << 20))
+    try:
+        pieces = fasta.read_fasta_pieces(spark, str(path))
+        longest, total, n = pieces.select(F.max(F.length("seq")), F.sum(F.length("seq")), F.count("seq")).first()
+        assert longest == fasta.PIECE and total == 102_000_000 and n > 1500
+        windows = sequences.gc_windows(pieces).agg(F.count("gc"), F.min("gc"), F.max("gc"), F.max("end")).first()
+        assert windows == (20_400, 0.5, 0.5, 102_000_000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_fasta_pieces_of_an_empty_file(spark, put):
+    assert fasta.read_fasta_pieces(spark, put("none.fa", "\n\n")).count() == 0
 
 
 def test_fasta_over_many_splits(spark, put):
