@@ -1,19 +1,20 @@
-"""Rule table matched against annotation rows, similarity hits and seed lists.
-
-A rule table is written by hand. Token and exact rules join on the term, whatever their number.
-Pattern rules (contains, regex) cannot be joined on equality, so they are compared row by row
-in blocks of ``RULE_BLOCK`` rules, one pass over the data per block.
+"""Rule tables matched against annotation rows, similarity hits and seed lists.
+
+Every rule has one key under which a value can meet it: its lower-cased pattern (exact rules and tokens), or,
+for patterns that may stand anywhere, a part of three characters that a match must contain, the one
+that the fewest patterns share. Values are spread over their own keys, joined with the rules on equality in
+one pass whatever the number of rules, and the few that meet are compared in full. Only patterns without
+such a part (shorter ones, and expressions with choices or groups) meet every value of their field. Rules
+stay a table throughout.
 """
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import first_present, split_terms
 
-RULE_BLOCK = 500
+GRAM = 3
 ANNOTATION_TYPES = ("keyword", "pfam", "interpro", "ko", "go", "annotation")
 TOKEN_TYPES = ("pfam", "interpro", "ko", "go")
 HIT_TYPES = ("blast", "diamond")
@@ -47,43 +48,50 @@ def _effective_mode() -> Column:
     return F.when(termlike, "token").otherwise(known)
 
 
-def _listed(rules: DataFrame) -> list[Row]:
-    """The hand-written rules, read in one streaming job."""
-    return list(rules.coalesce(1).toLocalIterator())
+def grams(text: Column) -> Column:
+    """Distinct parts of three characters."""
+    c = F.split(text, "")
+    n = F.size(c)
+    shifted = F.zip_with(F.zip_with(c, F.slice(c, 2, n), lambda x, y: F.concat(x, y)), F.slice(c, 3, n), lambda xy, z: F.concat(xy, z))
+    return F.array_distinct(F.filter(shifted, lambda g: F.length(g) == GRAM))
+
+
+def needed_text(pattern: Column, mode: Column) -> Column:
+    """Lower-cased stretches, parted by line breaks, that every match of a pattern contains; NULL where that is not plain to see."""
+    literal = F.regexp_replace(pattern, r"\\.|\[[^\]]*\]", "\n")  # escapes and character classes
+    plain = ~literal.rlike(r"[|()\[\]\\]") & ~pattern.rlike(r"\\Q|[^\x00-\x7F]")
+    literal = F.regexp_replace(literal, r"(?s).(?:\?|\*|\{[^}]*\})", "\n")  # characters that may be absent or repeated
+    literal = F.regexp_replace(literal, r"[.^$+]", "\n")
+    return F.lower(F.when(mode == "contains", pattern).when(plain, literal))
+
+
+def indexed(rules: DataFrame) -> DataFrame:
+    """Rules with ``_key``, the text under which a value can meet them; its first character tells the kind."""
+    patterns = rules.filter(F.col("mode").isin("contains", "regex")).select("pattern", "mode").distinct()
+    parts = F.filter(F.flatten(F.transform(F.split(needed_text(F.col("pattern"), F.col("mode")), "\n"), grams)), lambda g: F.length(g) == GRAM)
+    listed = patterns.select("pattern", "mode", F.explode(F.array_distinct(parts)).alias("_gram"))
+    shared = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = listed.join(shared, "_gram").groupBy("pattern", "mode").agg(F.min(F.struct("_n", "_gram")).alias("_rarest"))
+    kind = F.when(F.col("mode") == "exact", F.concat(F.lit("="), F.lower("pattern"))).when(F.col("mode") == "token", F.concat(F.lit(","), F.lower("pattern")))
+    return rules.join(rarest, ["pattern", "mode"], "left").withColumn("_key", F.coalesce(kind, F.concat(F.lit("%"), F.coalesce("_rarest._gram", F.lit(""))))).drop("_rarest")
 
 
-def _matches(values: DataFrame, rules: DataFrame, listed: list[Row]) -> DataFrame:
-    """Rows of ``values`` (field, value, ...) with the rules that match them on the same field.
+def _matches(values: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of ``values`` (_place, value, ...) with the rules of the same ``_place`` that match them.
 
-    ``values`` must not carry the names of rule columns except ``field``; ``listed`` holds the
-    rows of ``rules``.
+    Besides ``_place``, ``values`` must not carry names of rule columns.
     """
-    modes = {r["mode"] for r in listed}
-    parts = []
+    index = indexed(rules)
+    wanted = values.join(index.select("_place").distinct(), "_place", "left_semi")
     whole = F.lower(F.coalesce("value", F.lit("")))
-    if "exact" in modes:
-        exact = rules.filter("mode = 'exact'").withColumn("_k", F.lower("pattern"))
-        parts.append(values.withColumn("_k", whole).join(exact, ["field", "_k"]).drop("_k"))
-    if "token" in modes:
-        token = rules.filter("mode = 'token'").withColumn("_k", F.lower("pattern"))
-        terms = values.withColumn("_k", F.explode(split_terms(F.lower(F.col("value")), drop=("na",))))
-        parts.append(terms.join(token, ["field", "_k"]).drop("_k"))
-    if "contains" in modes or "regex" in modes:
-        ordered = [r for r in listed if r["mode"] in ("contains", "regex")]
-        for start in range(0, len(ordered), RULE_BLOCK):
-            block = ordered[start:start + RULE_BLOCK]
-            tests = []
-            for r in block:
-                hit = F.col("value").rlike("(?i)" + r["pattern"]) if r["mode"] == "regex" else F.contains(whole, F.lit(r["pattern"].lower()))
-                row = F.struct(*[F.lit(r[c]).alias(c) for c in (*RULE_COLUMNS, "mode") if c != "field"])
-                tests.append(F.when((F.col("field") == r["field"]) & hit, row))
-            fields = sorted({r["field"] for r in block})
-            found = values.filter(F.col("field").isin(*fields)).select("*", F.explode(F.array_compact(F.array(*tests))).alias("_r"))
-            parts.append(found.select(*values.columns, "_r.*"))
-    if not parts:
-        return values.join(rules, "field").limit(0)
-    columns = [*values.columns, *[c for c in (*RULE_COLUMNS, "mode") if c != "field"]]
-    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+    keys = F.concat(
+        F.array(F.concat(F.lit("="), whole), F.lit("%")), F.transform(split_terms(F.lower(F.col("value")), drop=("na",)), lambda t: F.concat(F.lit(","), t)),
+        F.transform(grams(whole), lambda g: F.concat(F.lit("%"), g)))
+    met = wanted.withColumn("_key", F.explode(keys)).join(index, ["_place", "_key"])
+    text = F.coalesce(F.col("value"), F.lit(""))
+    found = F.when(F.col("mode") == "contains", F.contains(F.lower(text), F.lower("pattern"))).when(
+        F.col("mode") == "regex", F.rlike(text, F.concat(F.lit("(?i)"), F.col("pattern")))).otherwise(True)
+    return met.filter(found).drop("_place", "_key")
 
 
 def _evidence(rows: DataFrame, source: Column, matched: Column, score: Column, status: Column) -> DataFrame:
@@ -101,12 +109,9 @@ def annotation_evidence(annotation: DataFrame, rules: DataFrame, id_column: str
         **text, "description": F.concat_ws("\t", *text.values()),
         "ko": F.concat_ws(";", *[text[c] for c in ("KEGG_ko", "Kofam_ko", "KO_ids") if c in text]),
     }
-    listed = _listed(used)
-    fields = {r["field"] for r in listed} & named.keys()
-    values = [F.struct(F.lit(f).alias("field"), named[f].alias("value")) for f in sorted(fields)] or [
-        F.struct(F.lit("").alias("field"), F.lit("").alias("value"))]
+    values = [F.struct(F.lit(f).alias("_place"), value.alias("value")) for f, value in named.items()]
     rows = annotation.select(gene.alias("gene_id"), F.inline(F.array(*values))).filter("gene_id is not null and gene_id <> 'NA'")
-    return _evidence(_matches(rows, used, listed), F.col("field"), F.col("pattern"), F.col("score"), F.lit("matched"))
+    return _evidence(_matches(rows, used.withColumn("_place", F.col("field"))), F.col("field"), F.col("pattern"), F.col("score"), F.lit("matched"))
 
 
 def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1e-5, min_bitscore: float | None = None) -> DataFrame:
@@ -118,22 +123,21 @@ def hit_evidence(hits: DataFrame, rules: DataFrame, max_evalue: float | None = 1
         kept = kept.filter(F.col("evalue") <= max_evalue)
     if min_bitscore is not None:
         kept = kept.filter(F.col("bitscore") >= min_bitscore)
-    listed = _listed(used)
-    fields = sorted({r["field"] for r in listed}) or [""]
     subject = F.col("subject_id").cast("string")
     line = F.col("line") if "line" in hits.columns else F.concat_ws("\t", *[F.col(c).cast("string") for c in hits.columns])
-    values = [F.struct(F.lit(f).alias("field"), (subject if f in ("subject", "subject_id", "description") else line).alias("value")) for f in fields]
+    values = [F.struct(F.lit(p).alias("_place"), v.alias("value")) for p, v in (("subject", subject), ("line", line))]
     rows = kept.select(F.col("query_id").cast("string").alias("gene_id"), subject.alias("_subject"), "evalue", "bitscore", F.inline(F.array(*values)))
-    return _evidence(_matches(rows, used, listed), F.col("field"), F.col("_subject"), F.format_string("%.6f", "bitscore"),
+    place = F.when(F.col("field").isin("subject", "subject_id", "description"), "subject").otherwise("line")
+    return _evidence(_matches(rows, used.withColumn("_place", place)), F.col("field"), F.col("_subject"), F.format_string("%.6f", "bitscore"),
                      F.concat(F.lit("evalue="), F.col("evalue").cast("string")))
 
 
 def seed_evidence(seeds: DataFrame, rules: DataFrame) -> DataFrame:
     """Seed genes under each seed rule; a seed rule without a pattern takes every seed."""
-    used = rules.filter(F.col("evidence_type").isin(*SEED_TYPES)).withColumn("mode", F.when(
-        F.col("match_mode").isin("regex", "exact", "token") & (F.col("pattern") != ""), F.col("match_mode")).otherwise("contains")).withColumn("field", F.lit("seed_ids"))
-    ids = seeds.select(F.col("gene_id").cast("string")).distinct().select("gene_id", F.col("gene_id").alias("value"), F.lit("seed_ids").alias("field"))
-    return _evidence(_matches(ids, used, _listed(used)), F.col("field"), F.col("gene_id"), F.col("score"), F.lit("seed_list"))
+    mode = F.when(F.col("match_mode").isin("regex", "exact", "token") & (F.col("pattern") != ""), F.col("match_mode")).otherwise("contains")
+    used = rules.filter(F.col("evidence_type").isin(*SEED_TYPES)).withColumns({"mode": mode, "_place": F.lit("seed_ids")})
+    ids = seeds.select(F.col("gene_id").cast("string")).distinct().select("gene_id", F.col("gene_id").alias("value"), F.lit("seed_ids").alias("_place"))
+    return _evidence(_matches(ids, used), F.lit("seed_ids"), F.col("gene_id"), F.col("score"), F.lit("seed_list"))
 
 
 def family_evidence(

@@ -1,3 +1,5 @@
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -104,11 +106,42 @@ def test_rules_from_file(spark, put):
         ("AT1", "F3", "AT1"), ("AT1", "F4", "AT1"), ("AT1", "F5", "AT1"), ("t1", "F1", "pf1"), ("t1", "F2", "kinase"), ("x", "F4", "x"), ("x", "F5", "x")]
 
 
-def test_many_pattern_rules(spark, monkeypatch):
-    monkeypatch.setattr(rules, "RULE_BLOCK", 3)
-    table = rules.normalize_rules(spark.createDataFrame([(f"F{i}", f"w{i}x") for i in range(8)], "family_id string, pattern string"))
-    ann = spark.createDataFrame([("t1", "w0x w7x"), ("t2", "w3x")], "transcript_id string, note string")
-    assert rows(rules.annotation_evidence(ann, table), "gene_id", "family_id") == [("t1", "F0"), ("t1", "F7"), ("t2", "F3")]
+PATTERNS = [
+    "ab+c", "ab*c", "a[bx]c?de", "colou?r", r"\bkinase\d", "^heat.shock$", "x{2,3}yz", "(foo|bar)baz", "foo|bar", "a.c", "", "zz", r"p\.q", r"\Qa.b\E", "[a[b]c]xyz", "Straße", "heat(?: shock)?",
+    "kin.se", r"a\|b", "[^a]bcd", "abc$|^xyz", "end+ing", "(?x) a b c",
+]
+
+
+def test_every_pattern_form_matches_as_a_scan_does(spark):
+    r = random.Random(6)
+    words = ["abbc", "ac", "abc", "axcde", "abde", "color", "colour", "kinase7", "heat shock", "heat", "xxyz", "xyz", "foobaz", "bar", "zz", "p.q", "pxq", "a.b", "STRASSE", "strasse", "STRAßE", "a|b", "xbcd", "enddding", "KINASE9", "AB\nC"]
+    values = [" ".join(r.sample(words, r.randint(0, 4))).title() if i % 3 else r.choice(words) for i in range(150)] + [None, ""]
+    table = [(f"r{i}", "F", m, p) for m in ("regex", "contains", "exact") for i, p in enumerate(PATTERNS) if p or m == "contains"]
+    rule_table = rules.normalize_rules(spark.createDataFrame(table, "rule_id string, family_id string, match_mode string, pattern string")).withColumn(
+        "evidence_type", F.lit("seed"))
+    seeds = spark.createDataFrame([(v,) for v in values if v], "gene_id string")
+    got = rows(rules.seed_evidence(seeds, rule_table), "gene_id", "rule_id")
+    plain = seeds.distinct().crossJoin(rule_table).filter(F.when(F.col("match_mode") == "regex", F.rlike("gene_id", F.concat(F.lit("(?i)"), "pattern"))).when(
+        F.col("match_mode") == "exact", F.lower("gene_id") == F.lower("pattern")).otherwise(F.contains(F.lower("gene_id"), F.lower("pattern"))))
+    assert got == rows(plain, "gene_id", "rule_id") and len(got) > 300
+
+
+def test_thousands_of_pattern_rules_in_one_pass(spark):
+    n = 5000
+    table = spark.createDataFrame([(f"F{i}", f"word{i:05d}x" if i % 2 else f"^.*wo.d{i:05d}x", "contains" if i % 2 else "regex", "note") for i in range(n)],
+                                  "family_id string, pattern string, match_mode string, field string")
+    ann = spark.createDataFrame([(f"t{k}", f"a Word{k * 3:05d}X, and word{k:05d}x") for k in range(400)] + [("none", None)], "transcript_id string, note string")
+    found = rules.annotation_evidence(ann, rules.normalize_rules(table))
+    scans = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "note#" in x and "LogicalRDD" in x]
+    assert len(scans) == 1
+    assert rows(found, "gene_id", "family_id") == sorted({(f"t{k}", f"F{x}") for k in range(400) for x in (k, 3 * k)})
+
+
+def test_rules_of_no_rows(spark):
+    none = rules.normalize_rules(spark.createDataFrame([], "family_id string, pattern string"))
+    ann = spark.createDataFrame([("t", "x")], "transcript_id string, note string")
+    assert rules.annotation_evidence(ann, none).count() == 0
+    assert rules.evidence_summary(rules.annotation_evidence(ann.limit(0), none)).count() == 0
 
 
 def test_missing_inputs_are_named(spark):
