@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 POSITION_BIN = 1 << 16
-OVERLAP_BIN = 1 << 14
+
+#: Levels of cells for joins of intervals: the shortest cells have 2**9 bases, each level's are 2**3 times as long.
+CELL_BITS, LEVEL_BITS, LEVELS = 9, 3, 12
 
 
 def overlap_length(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
@@ -113,36 +115,53 @@ def covered_length(
     return edges.groupBy(*(keys if by is None else by)).agg(F.sum(signed).alias("covered_bp"))
 
 
+def _level(start: str, end: str) -> Column:
+    """The finest level whose cells are at least as long as the interval."""
+    length = F.col(end) - F.col(start)
+    return sum(((length > (1 << (CELL_BITS + LEVEL_BITS * k))).cast("int") for k in range(LEVELS)), F.lit(0))
+
+
+def _cells(start: str, end: str, levels: Column, role: str) -> Column:
+    """Cells that an interval touches at each of ``levels``: no more than two at its own level and above."""
+    def at(level: Column) -> Column:
+        cell = lambda pos: F.call_function("shiftright", pos.cast("bigint"), CELL_BITS + LEVEL_BITS * level)
+        return F.transform(F.sequence(cell(F.col(start)), cell(F.col(end) - 1)), lambda c: F.struct(level.alias("_level"), c.alias("_cell"), F.lit(role).alias("_role")))
+
+    return F.flatten(F.transform(levels, at))
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
     left_range: tuple[str, str] = ("start0", "end0"),
     right_range: tuple[str, str] = ("other_start0", "other_end0"),
     on: Sequence[str] = ("seqid",),
-    bin_size: int = OVERLAP_BIN,
 ) -> DataFrame:
     """Every pair of overlapping intervals, with ``overlap_bp``.
 
-    Both sides are repeated once per bin they touch and joined on sequence and bin; a pair
-    sharing several bins is kept only in the first one, so no duplicate removal is needed.
-    The key holds a bin, so a long sequence spreads over many tasks and adaptive execution can
-    split a crowded bin further.
+    Cells come in levels, each eight times as long as the one below, and every interval has the level of its
+    length. A pair meets at the level of its longer interval, where both touch at most two cells: the
+    longer one is there with its own copies, the shorter one with copies for those levels that the
+    other side has at all. Copies that wait for the left side and for the right side have keys of their own, so
+    short intervals never meet each other in a long cell; whatever meets there lies within a few lengths
+    of the longer interval. A pair in two common cells is kept in the first.
     """
     on = list(on)
     (ls, le), (rs, re_) = left_range, right_range
-
-    def spread(df: DataFrame, start: str, end: str) -> DataFrame:
-        last = _bin(F.col(end) - 1, bin_size)
-        return df.filter(F.col(end) > F.col(start)).withColumn(
-            "_bin", F.explode(F.sequence(_bin(F.col(start), bin_size), last))
-        )
-
-    pairs = spread(left, ls, le).join(spread(right, rs, re_), [*on, "_bin"])
-    first_shared = _bin(F.greatest(ls, rs), bin_size)
+    left = left.filter(F.col(le) > F.col(ls)).withColumn("_left_level", _level(ls, le))
+    right = right.filter(F.col(re_) > F.col(rs)).withColumn("_right_level", _level(rs, re_))
+    levels_left, levels_right = left.agg(F.collect_set("_left_level")).scalar(), right.agg(F.collect_set("_right_level")).scalar()
+    mine, other, present = F.col("_left_level"), F.col("_right_level"), F.col("_present")
+    left_cells = F.concat(_cells(ls, le, F.array(mine), "left is longer"), _cells(ls, le, F.filter(present, lambda v: v > mine), "right is longer"))
+    right_cells = F.concat(_cells(rs, re_, F.filter(present, lambda v: v >= other), "left is longer"), _cells(rs, re_, F.array(other), "right is longer"))
+    copies = left.withColumn("_present", levels_right).select("*", F.inline(left_cells)).drop("_present")
+    others = right.withColumn("_present", levels_left).select("*", F.inline(right_cells)).drop("_present")
+    pairs = copies.join(others, [*on, "_level", "_cell", "_role"])
+    first_shared = F.call_function("shiftright", F.greatest(ls, rs).cast("bigint"), CELL_BITS + LEVEL_BITS * F.col("_level"))
     return (
-        pairs.filter((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_bin") == first_shared))
+        pairs.filter((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_cell") == first_shared))
         .withColumn("overlap_bp", F.least(le, re_) - F.greatest(ls, rs))
-        .drop("_bin")
+        .drop("_level", "_cell", "_role", "_left_level", "_right_level")
     )
 
 

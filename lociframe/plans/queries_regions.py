@@ -71,7 +71,7 @@ def region_coverage_shared_ids(t: Source) -> DataFrame:
 
 @query(PAIRS)
 def region_enrichment_details(t: Source) -> DataFrame:
-    return regions.region_enrichment_details(t.regions, t.features, bin_size=512)
+    return regions.region_enrichment_details(t.regions, t.features)
 
 
 @query(islands("select seqid, start0, end0 from {features} f", "seqid"))
@@ -275,7 +275,7 @@ def region_synteny(t: Source) -> DataFrame:
 
 @query(SYNTENY + "select * from pairs")
 def region_synteny_details(t: Source) -> DataFrame:
-    return regions.region_synteny_details(t.regions, _genes(t), synteny.links_per_gene(t.links), bin_size=512)
+    return regions.region_synteny_details(t.regions, _genes(t), synteny.links_per_gene(t.links))
 
 
 @query("""

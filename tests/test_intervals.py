@@ -53,16 +53,36 @@ def brute_pairs(left, right):
     return [(a, b) for a in left for b in right if a[0] == b[0] and a[1] < b[2] and b[1] < a[2] and a[2] > a[1] and b[2] > b[1]]
 
 
-@pytest.mark.parametrize("bin_size", [16, 1024])
-def test_overlap_join_equals_inequality_join(spark, bin_size):
-    left, right = random_spans(3, 120), random_spans(4, 150)
-    found = intervals.overlap_join(
-        make(spark, left), make(spark, right, "seqid string, other_start0 bigint, other_end0 bigint"), bin_size=bin_size)
-    expected = [(a[0], a[1], a[2], b[1], b[2], min(a[2], b[2]) - max(a[1], b[1])) for a, b in brute_pairs(left, right)]
+def mixed_spans(seed, n, size):
+    """Lengths from 1 to 10 ** 7 in one table, a third of them on one spot."""
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        start = size // 2 if r.random() < 0.33 else r.randrange(-1000, size)
+        out.append((r.choice(["a", "b"]), start, start + int(10 ** r.uniform(0, 7)) - r.choice([0, 0, 1])))
+    return out + [("a", 5, 5), ("a", 9, 3), (None, 1, 50), ("b", 511, 512), ("b", 512, 1024), ("b", 0, 512), ("b", 0, 4096), ("b", 4095, 4097)]
+
+
+@pytest.mark.parametrize("spans", [(random_spans(3, 120), random_spans(4, 150)), (mixed_spans(1, 300, 20_000_000), mixed_spans(2, 300, 20_000_000)),
+                                   (mixed_spans(3, 200, 5000), random_spans(5, 200)), (random_spans(6, 200), mixed_spans(4, 200, 5000))])
+def test_overlap_join_equals_inequality_join(spark, spans):
+    left, right = spans
+    found = intervals.overlap_join(make(spark, left), make(spark, right, "seqid string, other_start0 bigint, other_end0 bigint"))
+    expected = [(a[0], a[1], a[2], b[1], b[2], min(a[2], b[2]) - max(a[1], b[1])) for a, b in brute_pairs([x for x in left if x[0]], right)]
     got = [(r.seqid, r.start0, r.end0, r.other_start0, r.other_end0, r.overlap_bp) for r in found.collect()]
     assert sorted(got) == sorted(expected)
 
 
+def test_long_intervals_touch_few_cells(spark):
+    """A chromosome-long interval beside many short ones: two cells for itself, and short ones wait only where it is."""
+    whole = [("a", 0, 10_000_000)]
+    short = [("a", k * 1000, k * 1000 + 10) for k in range(2000)]
+    found = intervals.overlap_join(make(spark, whole + short), make(spark, short, "seqid string, other_start0 bigint, other_end0 bigint"))
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in joined
+    assert found.count() == 2000 + 2000
+
+
 @pytest.mark.parametrize("bin_size", [32, 1 << 16])
 def test_overlap_totals_equal_pair_sums(spark, bin_size):
     left = [(q, s, e + 1) for q, s, e in random_spans(5, 100)]
