@@ -121,11 +121,11 @@ def _level(start: str, end: str) -> Column:
     return sum(((length > (1 << (CELL_BITS + LEVEL_BITS * k))).cast("int") for k in range(LEVELS)), F.lit(0))
 
 
-def _cells(start: str, end: str, levels: Column, role: str) -> Column:
-    """Cells that an interval touches at each of ``levels``: no more than two at its own level and above."""
+def _cells(start: str, end: str, levels: Column, role: int, first: str) -> Column:
+    """Cells that an interval touches at each of ``levels``, as one number each, and whether it is the interval's first there."""
     def at(level: Column) -> Column:
         cell = lambda pos: F.call_function("shiftright", pos.cast("bigint"), CELL_BITS + LEVEL_BITS * level)
-        return F.transform(F.sequence(cell(F.col(start)), cell(F.col(end) - 1)), lambda c: F.struct(level.alias("_level"), c.alias("_cell"), F.lit(role).alias("_role")))
+        return F.transform(F.sequence(cell(F.col(start)), cell(F.col(end) - 1)), lambda c, i: F.struct((c * 32 + level * 2 + role).alias("_cell"), (i == 0).alias(first)))
 
     return F.flatten(F.transform(levels, at))
 
@@ -144,24 +144,25 @@ def overlap_join(
     longer one is there with its own copies, the shorter one with copies for those levels that the
     other side has at all. Copies that wait for the left side and for the right side have keys of their own, so
     short intervals never meet each other in a long cell; whatever meets there lies within a few lengths
-    of the longer interval. A pair in two common cells is kept in the first.
+    of the longer interval. Of two common cells, the pair is kept in the first.
     """
     on = list(on)
     (ls, le), (rs, re_) = left_range, right_range
-    left = left.filter(F.col(le) > F.col(ls)).withColumn("_left_level", _level(ls, le))
-    right = right.filter(F.col(re_) > F.col(rs)).withColumn("_right_level", _level(rs, re_))
-    levels_left, levels_right = left.agg(F.collect_set("_left_level")).scalar(), right.agg(F.collect_set("_right_level")).scalar()
-    mine, other, present = F.col("_left_level"), F.col("_right_level"), F.col("_present")
-    left_cells = F.concat(_cells(ls, le, F.array(mine), "left is longer"), _cells(ls, le, F.filter(present, lambda v: v > mine), "right is longer"))
-    right_cells = F.concat(_cells(rs, re_, F.filter(present, lambda v: v >= other), "left is longer"), _cells(rs, re_, F.array(other), "right is longer"))
-    copies = left.withColumn("_present", levels_right).select("*", F.inline(left_cells)).drop("_present")
-    others = right.withColumn("_present", levels_left).select("*", F.inline(right_cells)).drop("_present")
-    pairs = copies.join(others, [*on, "_level", "_cell", "_role"])
-    first_shared = F.call_function("shiftright", F.greatest(ls, rs).cast("bigint"), CELL_BITS + LEVEL_BITS * F.col("_level"))
+    left = left.filter(F.col(le) > F.col(ls)).withColumn("_own", _level(ls, le))
+    right = right.filter(F.col(re_) > F.col(rs)).withColumn("_own", _level(rs, re_))
+    levels_left, levels_right = left.agg(F.collect_set("_own")).scalar(), right.agg(F.collect_set("_own")).scalar()
+    own, present = F.col("_own"), F.col("_present")
+    # Role 0: the left interval is the longer one or of the same level; role 1: the right one is.
+    itself = lambda met: F.filter(F.array(own), lambda o: F.exists(present, met))
+    left_cells = F.concat(_cells(ls, le, itself(lambda v: v <= own), 0, "_first"), _cells(ls, le, F.filter(present, lambda v: v > own), 1, "_first"))
+    right_cells = F.concat(_cells(rs, re_, F.filter(present, lambda v: v >= own), 0, "_other_first"), _cells(rs, re_, itself(lambda v: v < own), 1, "_other_first"))
+    copies = left.withColumn("_present", levels_right).select("*", F.inline(left_cells)).drop("_present", "_own")
+    others = right.withColumn("_present", levels_left).select("*", F.inline(right_cells)).drop("_present", "_own")
+    pairs = copies.join(others, [*on, "_cell"])
     return (
-        pairs.filter((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_cell") == first_shared))
+        pairs.filter((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)) & (F.col("_first") | F.col("_other_first")))
         .withColumn("overlap_bp", F.least(le, re_) - F.greatest(ls, rs))
-        .drop("_level", "_cell", "_role", "_left_level", "_right_level")
+        .drop("_cell", "_first", "_other_first")
     )
 
 
