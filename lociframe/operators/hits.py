@@ -257,6 +257,51 @@ def donor_group_table(classified: DataFrame, groups: Sequence[str]) -> DataFrame
     return classified.groupBy("query_id").agg(*measures)
 
 
+def group_scores(classified: DataFrame) -> DataFrame:
+    """Best e-value and bitscore and the distinct subjects of each query and taxon group, one row each."""
+    return classified.filter("taxon_group is not null").groupBy("query_id", "taxon_group").agg(
+        F.min("evalue").alias("evalue"), F.max("bitscore").alias("bitscore"), F.countDistinct("subject_id").alias("subjects"))
+
+
+def lineage_from_scores(scores: DataFrame, ingroup_group: str, excluded: Sequence[str] = (), species: Column | None = None, digits: int = 6) -> DataFrame:
+    """Per-query table of hits by taxon group, in the shape of ``sources.reports.read_lineage_table``, from ``group_scores``.
+
+    One aggregate over the long scores: groups become the keys of two maps, and each query keeps its two best
+    groups by e-value and by bitscore, so the winners and what sets them apart from the runner-up need no
+    column per group. ``alien_index`` is the log10 distance of the best e-values of ingroup and donors (floor
+    1e-300, a missing side counts zero), ``bitscore_delta`` that of the bitscores; ``h_taxon`` is the donor
+    group of the best bitscore, ``unknown`` without one. Ties go to the first group by name. Figures are text,
+    rounded to ``digits``. ``excluded`` groups (names in any case) are neither ingroup nor donor.
+    """
+    name = F.lower(F.col("taxon_group"))
+    inner = name == ingroup_group.lower()
+    donor = ~inner & ~name.isin(*[x.lower() for x in excluded]) if excluded else ~inner
+    entry = lambda c: F.when(donor, F.struct("taxon_group", F.col(c).cast("string")))
+    ranks = {
+        "_by_e": F.when(donor, F.struct(F.col("evalue").alias("at"), "taxon_group", "evalue")),
+        "_by_b": F.when(donor, F.struct((-F.col("bitscore")).alias("at"), "taxon_group", "bitscore")),
+    }
+    best = scores.groupBy("query_id").agg(
+        F.min(F.when(inner, F.col("evalue"))).alias("_self_e"), F.max(F.when(inner, F.col("bitscore"))).alias("_self_b"),
+        F.array_sort(F.collect_list(entry("evalue"))).alias("_e"), F.array_sort(F.collect_list(entry("bitscore"))).alias("_b"),
+        *[F.slice(F.array_sort(F.collect_list(r)), 1, 2).alias(n) for n, r in ranks.items()], F.sum(F.when(donor, F.col("subjects"))).alias("_n"))
+
+    def strength(evalue: Column) -> Column:
+        return F.when(evalue.isNotNull(), -F.log10(F.greatest(evalue, F.lit(1e-300)))).otherwise(F.lit(0.0))
+
+    first_e, first_b, second_b = F.get("_by_e", F.lit(0)), F.get("_by_b", F.lit(0)), F.get("_by_b", F.lit(1))
+    delta = F.coalesce(first_b["bitscore"], F.lit(0.0)) - F.coalesce("_self_b", F.lit(0.0))
+    text = lambda c: F.round(c, digits).cast("string")
+    return best.select(
+        (F.lit(None).cast("string") if species is None else species).alias("species"), "query_id", F.col("_self_e").cast("string").alias("self_evalue"),
+        F.map_from_entries("_e").alias("donor_evalues"), text(strength(first_e["evalue"]) - strength(F.col("_self_e"))).alias("alien_index"),
+        first_e["taxon_group"].alias("alien_index_taxon"), F.col("_self_b").cast("string").alias("self_bitscore"), F.map_from_entries("_b").alias("donor_bitscores"),
+        text(delta).alias("bitscore_delta"), text(F.when(F.col("_self_b") > 0, delta / F.col("_self_b") * 100)).alias("bitscore_delta_percent"),
+        text(F.when(F.col("_self_b") > 0, first_b["bitscore"] / F.col("_self_b"))).alias("bit_ratio"), F.coalesce(first_b["taxon_group"], F.lit("unknown")).alias("h_taxon"),
+        first_b["bitscore"].cast("string").alias("donor_bitscore"), F.coalesce("_n", F.lit(0)).cast("string").alias("donor_taxon_count"),
+        second_b["taxon_group"].alias("runner_up_taxon"), text(first_b["bitscore"] - second_b["bitscore"]).alias("runner_up_delta"))
+
+
 def validation_set(
     candidates: DataFrame, classified: DataFrame, top: int = 5, tie_break: Sequence[str] = ("subject_id",)
 ) -> DataFrame:

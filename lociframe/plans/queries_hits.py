@@ -176,34 +176,48 @@ LINEAGE = CLASSIFIED + """,
 
 
 def lineage(t: Source) -> DataFrame:
-    """Per-query table of the group winners, in the shape of the wide lineage file."""
-    donor = F.col("hit_class") == "donor"
-    inner = F.col("hit_class") == "ingroup"
-    best = classified(t).groupBy("query_id").agg(
-        F.max(F.when(donor, F.col("bitscore"))).alias("db"), F.min(F.when(donor, F.col("evalue"))).alias("de"),
-        F.min(F.when(inner, F.col("evalue"))).alias("ie"), F.max(F.when(inner, F.col("bitscore"))).alias("ib"),
-        F.countDistinct(F.when(donor, F.col("subject_id"))).alias("donor_taxon_count"),
-        F.min_by("taxon_group", F.when(donor, F.struct("evalue", "taxon_group"))).alias("alien_index_taxon"),
-        F.min_by("taxon_group", F.when(donor, F.struct(-F.col("bitscore"), "taxon_group"))).alias("h_taxon"))
-    digits = lambda c: F.coalesce(-F.log10(c), F.lit(0.0))
-    return best.select(
-        F.when(F.col("query_id") % 2 == 0, "F").otherwise("O").alias("species"), "query_id",
-        F.round(digits("de") - digits("ie"), 6).cast("string").alias("alien_index"), "alien_index_taxon", F.coalesce("h_taxon", F.lit("unknown")).alias("h_taxon"),
-        F.col("db").cast("string").alias("donor_bitscore"), F.round(F.coalesce("db", F.lit(0.0)) - F.coalesce("ib", F.lit(0.0)), 6).cast("string").alias("bitscore_delta"),
-        text("donor_taxon_count").alias("donor_taxon_count"), F.col("ie").cast("string").alias("self_evalue"), F.col("ib").cast("string").alias("self_bitscore"),
-        F.map_from_arrays(F.array(F.lit("donor_A")), F.array(F.col("de").cast("string"))).alias("donor_evalues"))
+    """Per-query table of hits by taxon group, from the classified hits; excluded groups are no donors."""
+    species = F.when(F.col("query_id") % 2 == 0, "F").otherwise("O")
+    return hits.lineage_from_scores(hits.group_scores(classified(t)), "ingroup_a", ["excluded_a"], species)
+
+
+@query(CLASSIFIED + """,
+    g as (select query_id, taxon_group, min(evalue) as e, max(bitscore) as b, count(distinct subject_id) as n from classified where taxon_group is not null group by all),
+    d as (select *, row_number() over (partition by query_id order by e, taxon_group) as by_e, row_number() over (partition by query_id order by b desc, taxon_group) as by_b
+          from g where taxon_group not in ('ingroup_a', 'excluded_a')),
+    w as (select query_id, max(case when by_e = 1 then taxon_group end) as ai_taxon, min(e) as de, max(case when by_b = 1 then taxon_group end) as h, max(b) as db,
+                 max(case when by_b = 2 then taxon_group end) as h2, max(case when by_b = 2 then b end) as db2, sum(n) as n, count(*) as groups from d group by query_id),
+    s as (select query_id, e as ie, b as ib from g where taxon_group = 'ingroup_a')
+    select q.query_id, case when q.query_id % 2 = 0 then 'F' else 'O' end as species, round(coalesce(-log10(de), 0) - coalesce(-log10(ie), 0), 6) as alien_index, ai_taxon as alien_index_taxon,
+           coalesce(h, 'unknown') as h_taxon, db as donor_bitscore, ib as self_bitscore, round(coalesce(db, 0) - coalesce(ib, 0), 6) as bitscore_delta,
+           round((coalesce(db, 0) - coalesce(ib, 0)) / ib * 100, 6) as bitscore_delta_percent, round(db / ib, 6) as bit_ratio, cast(coalesce(n, 0) as bigint) as donor_taxon_count,
+           coalesce(groups, 0) as donor_groups, h2 as runner_up_taxon, round(db - db2, 6) as runner_up_delta
+    from (select distinct query_id from g) q left join w using (query_id) left join s using (query_id)
+""")
+def lineage_table(t: Source) -> DataFrame:
+    numbers = ("alien_index", "donor_bitscore", "self_bitscore", "bitscore_delta", "bitscore_delta_percent", "bit_ratio", "runner_up_delta")
+    return lineage(t).select(
+        "query_id", "species", "alien_index_taxon", "h_taxon", *[F.col(c).cast("double").alias(c) for c in numbers], F.col("donor_taxon_count").cast("bigint").alias("donor_taxon_count"),
+        F.size("donor_bitscores").cast("bigint").alias("donor_groups"), "runner_up_taxon")
 
 
 @query(LINEAGE + """, grouped as (select *, case when h_taxon <> 'unknown' then h_taxon else coalesce(ai_taxon, 'NA') end as grp from lineage),
-    judged as (select query_id, grp, concat_ws(';', case when grp not in ('donor_a') then 'donor_group_not_selected' end,
+    judged as (select *, concat_ws(';', case when grp not in ('donor_a') then 'donor_group_not_selected' end,
                case when alien_index < 5 then 'low_alien_index' end, case when delta < 0 then 'low_bitscore_delta' end,
                case when coalesce(db, 0) < 50 then 'low_donor_bitscore' end, case when nd < 2 then 'low_donor_taxon_count' end) as why from grouped)
-    select query_id, grp as best_donor_group, case when why = '' then 'candidate' else 'rejected' end as candidate_status,
-           case when why = '' then 'pass' else why end as filter_reason from judged
+    select query_id, null::varchar as best_donor_hit, grp as best_donor_taxon, grp as best_donor_group, round(-log10(ge.e), 6) as best_donor_digits, db as best_donor_bitscore,
+           null::varchar as best_ingroup_hit, 'ingroup_a' as best_ingroup_taxon, round(-log10(ie), 6) as best_ingroup_digits, ib as best_ingroup_bitscore,
+           alien_index, delta as bitscore_delta, case when why = '' then 'candidate' else 'rejected' end as candidate_status,
+           case when why = '' then 'pass' else why end as filter_reason
+    from judged left join (select query_id, taxon_group as grp, min(evalue) as e from classified group by all) ge using (query_id, grp)
 """)
 def filter_lineage_table(t: Source) -> DataFrame:
+    """E-values are compared by their digits: power and parsing differ in the last bit between engines."""
     found = hits.filter_lineage_table(lineage(t), "ingroup_a", ["Donor_A"], 5.0, 0.0, 50.0, 2)
-    return found.select("query_id", "best_donor_group", "candidate_status", "filter_reason")
+    digits = lambda c: F.round(-F.log10(F.col(c).cast("double")), 6)
+    numbers = ("best_donor_bitscore", "best_ingroup_bitscore", "alien_index", "bitscore_delta")
+    found = found.withColumns({"best_donor_digits": digits("best_donor_evalue"), "best_ingroup_digits": digits("best_ingroup_evalue")})
+    return found.withColumns({c: F.col(c).cast("double") for c in numbers}).drop("best_donor_evalue", "best_ingroup_evalue")
 
 
 CONDITIONS = LINEAGE + """,
