@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import wrapped
+from ..operators.scans import PART, range_parts, running
 
 # Drawing colours of repeat classes, by the text that marks the class in a line.
 REPEAT_COLOURS = {
@@ -37,9 +38,40 @@ def fasta_text(seqid: Column, seq: Column, width: int = 60) -> Column:
     return F.concat(F.lit(">"), seqid.cast("string"), F.lit("\n"), wrapped(seq, width))
 
 
-def write_fasta(sequences: DataFrame, path: str, width: int = 60, mode: str = "errorifexists") -> None:
-    """Records wrapped at ``width``, in the order of the rows given."""
-    sequences.select(fasta_text(F.col("seqid"), F.col("seq"), width)).write.mode(mode).text(path)
+def natural_order(name: str) -> list[Column]:
+    """Sort columns that put chr2 before chr10: text before the first number, that number, then the whole name."""
+    number = F.regexp_extract(name, r"^\D*0*(\d{1,38})", 1)
+    return [F.regexp_extract(name, r"^(\D*)", 1), F.when(number != "", number.cast("decimal(38,0)")).otherwise(-1), F.col(name)]
+
+
+def genomic_order(df: DataFrame, natural: bool = False) -> list[Column]:
+    """Sort columns of located rows: sequence, start, end and the names the table has."""
+    sequence = natural_order("seqid") if natural else [F.col("seqid")]
+    return sequence + [F.col(c) for c in ("start0", "start", "end0", "end", "region_id", "feature_id", "transcript_id", "id", "name") if c in df.columns]
+
+
+def count_order(count: str, *keys: str) -> list[Column]:
+    """Sort columns of a tally: largest counts first, then the keys."""
+    return [F.col(count).desc(), *[F.col(k) for k in keys]]
+
+
+def numbered(df: DataFrame, order: Sequence[str | Column], name: str = "row_number") -> DataFrame:
+    """Rows with their number in the order, from 1: counted by ranges of the order, so no task holds the table.
+
+    The order must settle every pair of rows; of equal rows either may come first.
+    """
+    return running(range_parts(df, order), order, {name: F.lit(1).cast("bigint")}).drop(PART)
+
+
+def in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Rows in a total order over part files: each part is sorted, and the parts' names follow the order."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_fasta(sequences: DataFrame, path: str, width: int = 60, mode: str = "errorifexists", order: Sequence[str | Column] | None = None) -> None:
+    """Records wrapped at ``width``, in ``order`` across part files or as the rows are given; part files concatenated are one file."""
+    rows = in_order(sequences, order) if order else sequences
+    rows.select(fasta_text(F.col("seqid"), F.col("seq"), width)).write.mode(mode).text(path)
 
 
 def bed_text(df: DataFrame, name: Column, score: Column, strand: Column | None = None) -> DataFrame:
@@ -52,9 +84,14 @@ def intron_bed(introns: DataFrame) -> DataFrame:
     return bed_text(introns, F.concat(F.col("transcript_id"), F.lit(".intron"), F.col("intron_number").cast("string")), F.col("length"))
 
 
-def write_bed(df: DataFrame, path: str, name: str = "region_id", score: Column | None = None, mode: str = "errorifexists") -> None:
-    """BED6, sorted by place across part files."""
-    ordered = df.orderBy("seqid", "start0", "end0", name)
+def write_counts(df: DataFrame, path: str, count: str, keys: Sequence[str], columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
+    """A tally as text table, largest counts first across part files."""
+    write_table(in_order(df, count_order(count, *keys)), path, columns, mode=mode)
+
+
+def write_bed(df: DataFrame, path: str, name: str = "region_id", score: Column | None = None, mode: str = "errorifexists", natural: bool = False) -> None:
+    """BED6, sorted by place across part files; ``natural`` sorts chr2 before chr10."""
+    ordered = in_order(df, [*(natural_order("seqid") if natural else ["seqid"]), "start0", "end0", name])
     bed_text(ordered, F.col(name), F.lit(0) if score is None else score).write.mode(mode).text(path)
 
 
@@ -70,7 +107,7 @@ def write_lists(df: DataFrame, keys: Sequence[str], line: Column, path: str, mod
 
 def write_ordered_lines(df: DataFrame, line: str, order: str, path: str, mode: str = "errorifexists") -> None:
     """Lines in a given order across part files."""
-    df.orderBy(order).select(F.col(line).alias("value")).write.mode(mode).text(path)
+    in_order(df, [order]).select(F.col(line).alias("value")).write.mode(mode).text(path)
 
 
 def partition_lines(partitions: DataFrame) -> DataFrame:
@@ -95,3 +132,8 @@ def repeat_gff(repeats: DataFrame) -> DataFrame:
     colours = F.array_compact(F.array(*[F.when(plain.contains(mark), F.lit(colour)) for mark, colour in REPEAT_COLOURS.items()]))
     used = F.when(F.size(colours) == 0, F.array(F.lit(OTHER_REPEAT_COLOUR))).otherwise(colours)
     return repeats.select(plain.alias("_p"), F.explode(used).alias("_c")).select(F.concat("_p", F.lit(";color="), "_c").alias("value"))
+
+
+def trim_read_names(regions: DataFrame, name: str = "region_id") -> DataFrame:
+    """Regions of paired reads under the read's name: the mate suffix, two characters, is cut off."""
+    return regions.withColumn(name, F.substring(F.col(name), F.lit(1), F.greatest(F.length(name) - 2, F.lit(0))))

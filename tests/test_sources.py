@@ -1,3 +1,4 @@
+import glob
 import gzip
 import random
 
@@ -288,3 +289,56 @@ def test_text_sinks(spark, tmp_path):
     bed = spark.createDataFrame([("c", 5, 9, "r", None)], "seqid string, start0 bigint, end0 bigint, region_id string, strand string")
     sinks.write_bed(bed, str(tmp_path / "bed"))
     assert "".join(p.read_text() for p in (tmp_path / "bed").glob("part-*")) == "c\t5\t9\tr\t0\tNA\n"
+
+
+def files(path):
+    """Lines of the part files one after the other, and how many files have some."""
+    parts = [open(f).read().split("\n")[:-1] for f in sorted(glob.glob(f"{path}/part-*"))]
+    return [x for p in parts for x in p], sum(bool(p) for p in parts)
+
+
+@pytest.fixture
+def eight_files(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_concatenated_part_files_are_in_order(spark, eight_files, tmp_path):
+    r = random.Random(2)
+    spans = [(f"chr{r.choice([1, 2, 10, 11, 'X'])}", r.randrange(10**6), 10**6 + i, f"r{i}") for i in range(3000)]
+    df = spark.createDataFrame(spans, "seqid string, start0 bigint, end0 bigint, region_id string").withColumn("strand", F.lit("+")).repartition(5)
+    sinks.write_bed(df, str(tmp_path / "plain"))
+    got, n = files(tmp_path / "plain")
+    assert n == 8 and [x.split("\t")[3] for x in got] == [s[3] for s in sorted(spans)]
+    sinks.write_bed(df, str(tmp_path / "natural"), natural=True)
+    rank = {"chr1": 1, "chr2": 2, "chr10": 10, "chr11": 11}
+    natural = sorted(spans, key=lambda s: (s[0] == "chrX", rank.get(s[0], 0), s[1], s[2], s[3]))
+    got, n = files(tmp_path / "natural")
+    assert n == 8 and [x.split("\t")[0] for x in got][:1] in (["chr1"], ["chrX"])
+    numeric = [x.split("\t")[3] for x in got if not x.startswith("chrX")]
+    assert numeric == [s[3] for s in natural if s[0] != "chrX"]
+    numbers = {x.region_id: x.row_number for x in sinks.numbered(df, ["seqid", "start0", "end0", "region_id"]).collect()}
+    assert numbers == {s[3]: i for i, s in enumerate(sorted(spans), 1)}
+
+
+def test_sequences_and_counts_in_order_over_files(spark, eight_files, tmp_path):
+    r = random.Random(3)
+    records = [(f"s{i}", "ACGT" * r.randint(1, 40), r.randrange(100)) for i in range(400)]
+    df = spark.createDataFrame(records, "seqid string, seq string, start0 bigint").repartition(7)
+    sinks.write_fasta(df, str(tmp_path / "fa"), order=sinks.genomic_order(df, natural=True))
+    got, n = files(tmp_path / "fa")
+    assert n == 8 and [x[1:] for x in got if x.startswith(">")] == [f"s{i}" for i in range(400)]
+    back = fasta.read_fasta(spark, str(tmp_path / "fa"))
+    assert rows(back, "seqid", "seq") == sorted((s[0], s[1]) for s in records)
+    sinks.write_counts(df, str(tmp_path / "counts"), "start0", ["seqid"], ["start0", "seqid"])
+    got, _ = files(tmp_path / "counts")
+    lines_only = [tuple(x.split("\t")) for x in got if x != "start0\tseqid"]
+    assert lines_only == [(str(s[2]), s[0]) for s in sorted(records, key=lambda s: (-s[2], s[0]))]
+
+
+def test_read_names_without_mate(spark):
+    df = spark.createDataFrame([("r1/1",), ("x",), (None,)], "region_id string")
+    assert [r[0] for r in sinks.trim_read_names(df).collect()] == ["r1", "", None]
