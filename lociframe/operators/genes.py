@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.sequence import cds_checks, count_bases, reverse_complement, translate_codons
 from .intervals import POSITION_BIN
 from .sequences import CHUNK
+from ..session import durable
 from .summaries import grouped_median, last_by, length_histogram
 
 PRIMARY = r"(^|\.)t1($|\.)"
@@ -344,13 +345,20 @@ def gff_subset(features: DataFrame, transcripts: DataFrame, keep_seqids: DataFra
 
 
 def gene_models(
-    features: DataFrame, genome: DataFrame, keep_seqids: DataFrame | None = None, transcript_regex: str | None = None, filter_bad: bool = True,
+    features: DataFrame, genome: DataFrame, keep_seqids: DataFrame | None = None, transcript_regex: str | None = None, filter_bad: bool = True, keep: bool = False,
 ) -> dict[str, DataFrame]:
-    """Primary transcripts with coding sequences: raw and final checks, sequences, annotation subset and a summary per species."""
+    """Primary transcripts with coding sequences: raw and final checks, sequences, annotation subset and a summary per species.
+
+    All four read the spliced sequences; with ``keep`` these and the annotation are written once to the shared folder.
+    """
+    if keep:
+        features = durable(features)
     chosen = primary_transcripts(features, transcript_regex)
     if keep_seqids is not None:
         chosen = chosen.join(keep_seqids.select("seqid").distinct(), "seqid", "left_semi")
     raw = coding_sequences(features, chosen, genome)
+    if keep:
+        raw = durable(raw)
     final = raw.filter("phase_ok = 1 and internal_stop = 0") if filter_bad else raw
     lines = gff_subset(features, final, keep_seqids)
     good = (F.col("phase_ok") == 1) & (F.col("internal_stop") == 0) if filter_bad else F.lit(True)
