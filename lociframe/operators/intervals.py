@@ -28,11 +28,11 @@ def _bin(pos: Column, size: int) -> Column:
 
 
 def running_totals(
-    deltas: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str], bin_size: int = POSITION_BIN
+    deltas: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str], bin_size: int = POSITION_BIN, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``before_<v>``: the total of each value over smaller positions of the same keys.
 
-    ``deltas`` holds one row per keys and position. Two levels: a window inside each bin, plus
+    ``deltas`` holds one row per keys and position; its ``carry`` columns are kept as they are. Two levels: a window inside each bin, plus
     the bin's starting total, which comes from a window over one row per bin. Both levels read
     the same columns and filters, so Spark shuffles the deltas once and reuses the exchange.
     """
@@ -48,7 +48,7 @@ def running_totals(
     earlier = Window.partitionBy(*keys, "_bin").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
     inside = binned.select("*", *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_in_{v}") for v in values])
     return inside.join(starts, [*keys, "_bin"], "left").select(
-        *keys, pos, "_bin", *values, *[(F.col(f"_from_{v}") + F.col(f"_in_{v}")).alias(f"before_{v}") for v in values]
+        *keys, pos, "_bin", *values, *carry, *[(F.col(f"_from_{v}") + F.col(f"_in_{v}")).alias(f"before_{v}") for v in values]
     )
 
 

@@ -89,8 +89,8 @@ def region_context(target_regions: DataFrame, features: DataFrame, sites: DataFr
     """Feature enrichment of regions and the methylation along the target regions."""
     out = {"enrichment": regions.region_enrichment(target_regions, features), "details": regions.region_enrichment_details(target_regions, features)}
     if sites is not None:
-        profile = regions.methylation_profile(target_regions.filter("region_set = 'target'"), sites, scheme, flank)
-        out |= {"profile": profile, "profile_summary": regions.methylation_summary(profile)}
+        chosen = target_regions.filter("region_set = 'target'")
+        out |= {"profile": regions.methylation_profile(chosen, sites, scheme, flank), "profile_summary": regions.methylation_totals(chosen, sites, scheme, flank)}
     return out
 
 

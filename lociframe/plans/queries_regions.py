@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import coverage, intervals, regions, sequences, summaries, synteny
-from .catalogue import Source, query, rounded, text
+from .catalogue import CHECKS, Source, query, rounded, text
 
 PAIRS = """
     select r.region_set, r.region_id, r.seqid, r.start0 as region_start0, r.end0 as region_end, f.feature_id,
@@ -243,6 +243,15 @@ def methylation_profile(t: Source) -> DataFrame:
     from profile group by context
 """)
 def methylation_summary(t: Source) -> DataFrame:
+    return rounded(regions.methylation_totals(t.regions, t.sites, (2, 5, 2)), "methylation_level")
+
+
+CHECKS["methylation_profile_summary"] = CHECKS["methylation_summary"]
+
+
+@query()
+def methylation_profile_summary(t: Source) -> DataFrame:
+    """The same totals from the rows of a profile."""
     return rounded(regions.methylation_summary(regions.methylation_profile(t.regions, t.sites, (2, 5, 2))), "methylation_level")
 
 

@@ -157,3 +157,17 @@ def test_plans_have_no_nested_loops(spark):
     for df in (intervals.overlap_join(left, right), intervals.merge_intervals(left), intervals.overlap_totals(left, left, {"n": F.lit(1)})):
         plan = df._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("scheme", [(2, 5, 2), (0, 1, 3), (4, 2, 0), (0, 1, 0)])
+def test_methylation_totals_equal_the_profile(spark, scheme):
+    r = random.Random(8)
+    spans = [(q, s, e, i // 2, r.choice("+-.")) for i, (q, s, e) in enumerate(random_spans(9, 120))]
+    table = spark.createDataFrame(spans, "seqid string, start0 bigint, end0 bigint, region_id int, strand string")
+    sites = [(r.choice("abc"), r.randrange(5000), r.choice(["CG", "CHG", "CHH", "x"]), m := r.randrange(9), m + r.randrange(5)) for _ in range(2000)]
+    points = spark.createDataFrame(sites, "seqid string, pos0 bigint, context string, methylated bigint, total bigint")
+    columns = ("context", "regions", "covered_sites", "methylated_counts", "total_counts", "methylation_level", "qc_note", "region_set")
+    for contexts in (("CG", "CHG", "CHH"), ("CG", "none")):
+        profile = regions.methylation_profile(table, points, scheme, 300, 2, contexts)
+        assert rows(regions.methylation_totals(table, points, scheme, 300, 2, contexts), *columns) == rows(regions.methylation_summary(profile), *columns)
+    assert regions.methylation_totals(table.limit(0), points, scheme).count() == 0
