@@ -11,15 +11,14 @@ from .hits import source_rank
 
 METRICS = ("gain", "loss", "expansion", "contraction")
 EVENTS = (*METRICS, "total")
-WIDE_LIMIT = 10_000
 
 
 def column_values(df: DataFrame, column: str) -> list[str]:
-    """Distinct values that are to become output columns; refuses more than a table can have."""
-    rows = df.select(column).distinct().limit(WIDE_LIMIT + 1).collect()
-    if len(rows) > WIDE_LIMIT:
-        raise ValueError(f"{column} has more than {WIDE_LIMIT} values, too many for columns")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    """Distinct values that are to become output columns, for callers without a manifest of them.
+
+    A plan has to know its columns, so these names, and nothing else, come to the driver.
+    """
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().toLocalIterator())
 
 
 def to_long_counts(wide: DataFrame, species: Sequence[str] | None = None) -> DataFrame:

@@ -1,13 +1,15 @@
 """Sequence tables (seqid, seq): statistics, windows, k-mers, masking and clean-up."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import count_bases, pieces as pieces_of, reverse_complement
-from .intervals import merge_intervals
+from .intervals import merge_intervals, running_totals
 from .scans import range_parts, running
 from .summaries import nx_statistics
 
@@ -205,26 +207,65 @@ def quality_reads(reads: DataFrame, min_base_quality: int = 15, max_low_percent:
     return rated.filter((F.length("seq") >= min_length) & (low * 100 / n <= max_low_percent) & (mean >= min_mean_quality)).drop("_q")
 
 
+def gap_runs(alignment: DataFrame, keys: Sequence[str] = ("alignment",), gap: str = "-") -> DataFrame:
+    """Stretches of gaps of each row as intervals (keys, start0, end0), in characters."""
+    keys = list(keys)
+    kinds = ", ".join(f"`{k}` {alignment.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, ends, rows = [], [], []
+            for row, seq in enumerate(batch.column(len(keys)).to_pylist()):
+                here = np.frombuffer((seq or "").encode("utf-32-le"), np.uint32) == ord(gap)
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], here, [False]]).astype(np.int8)))
+                starts.append(edges[::2])
+                ends.append(edges[1::2])
+                rows.append(np.full(len(edges) // 2, row))
+            of = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64), pa.int64())
+            runs = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (starts, ends)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(of) for i in range(len(keys))], *runs], names=[*keys, "start0", "end0"])
+
+    return alignment.select(*keys, "seq").mapInArrow(run, f"{kinds}, start0 bigint, end0 bigint")
+
+
 def trim_alignment_columns(alignment: DataFrame, max_gap_percent: float, keys: Sequence[str] = ("alignment",)) -> DataFrame:
     """Alignment rows (keys, species, seq) without the columns whose gap share reaches the limit.
 
-    Only gap positions are listed and counted. Each alignment's dropped columns become one mask
-    as long as the alignment, which its rows then apply to themselves.
+    Gaps travel as stretches. How many rows have a gap in a column is a running sum of where stretches begin
+    and end, so work and rows go with the stretches, not with the characters; stretches of columns above
+    the limit are united and each row leaves them out.
     """
     keys = list(keys)
-    letters = F.split("seq", "")
-    gaps = alignment.select(*keys, F.explode(F.array_compact(F.transform(letters, lambda c, i: F.when(c == "-", i)))).alias("pos")).groupBy(*keys, "pos").agg(
-        F.count(F.lit(1)).alias("_gaps"))
+    runs = gap_runs(alignment, keys)
+    edges = runs.select(*keys, F.inline(F.array(*[F.struct(F.col(c).alias("pos"), F.lit(v).cast("bigint").alias("change")) for c, v in (("start0", 1), ("end0", -1))])))
+    depth = running_totals(edges.groupBy(*keys, "pos").agg(F.sum("change").alias("change")), keys, "pos", ["change"])
     sizes = alignment.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    dropped = gaps.join(sizes, keys).filter(F.col("_gaps") / F.col("_rows") * 100 >= max_gap_percent)
-    ordered = dropped.groupBy(*keys).agg(F.array_sort(F.collect_list("pos")).alias("_d"))
-    # A run of 0 up to each dropped column, then 1.
-    marks = F.transform("_d", lambda d, i: F.concat(F.repeat(F.lit("0"), d - F.when(i == 0, -1).otherwise(F.get("_d", i - 1)) - 1), F.lit("1")))
-    masks = ordered.select(*keys, F.split(F.array_join(marks, ""), "").alias("_mask"))
-    kept = F.filter(letters, lambda c, i: F.coalesce(F.get("_mask", i), F.lit("0")) != "1")
-    rows = alignment.join(masks, keys, "left")
-    whole = F.col("seq") if max_gap_percent > 0 else F.lit("")
-    return rows.select(*keys, "species", F.when(F.col("_mask").isNull(), whole).otherwise(F.array_join(kept, "") if max_gap_percent > 0 else F.lit("")).alias("seq"))
+    # Stretches of equal depth, from each position to the next of its alignment.
+    in_bin = Window.partitionBy(*keys, "_bin").orderBy("pos")
+    firsts = depth.groupBy(*keys, "_bin").agg(F.min("pos").alias("_first"))
+    following = firsts.select(*keys, "_bin", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bin")).alias("_next_bin"))
+    stretches = depth.select(*keys, "_bin", "pos", (F.col("before_change") + F.col("change")).alias("_gaps"), F.lead("pos").over(in_bin).alias("_next")).join(
+        following, [*keys, "_bin"], "left").join(sizes, keys)
+    dropped = stretches.filter((F.col("_gaps") > 0) & (F.col("_gaps") / F.col("_rows") * 100 >= max_gap_percent)).select(
+        *keys, F.col("pos").alias("start0"), F.coalesce("_next", "_next_bin").alias("end0"))
+    masks = merge_intervals(dropped, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("start0", "end0"))).alias("_mask"))
+    rows = alignment.select(*keys, "species", "seq").join(masks, keys, "left")
+    kinds = ", ".join(f"`{c}` {alignment.schema[c].dataType.simpleString()}" for c in (*keys, "species"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for seq, mask in zip(batch.column(len(keys) + 1).to_pylist(), batch.column(len(keys) + 2).to_pylist(), strict=True):
+                kept, at = [], 0
+                for stretch in mask or []:
+                    kept.append(seq[at : stretch["start0"]])
+                    at = stretch["end0"]
+                out.append("".join([*kept, seq[at:]]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keys) + 1)], pa.array(out, pa.large_string())], names=[*keys, "species", "seq"])
+
+    if max_gap_percent <= 0:  # every column reaches the limit
+        return alignment.select(*keys, "species", F.lit("").alias("seq"))
+    return rows.withColumn("seq", F.coalesce("seq", F.lit(""))).mapInArrow(cut, f"{kinds}, seq string")
 
 
 def supermatrix(alignments: DataFrame, species: DataFrame) -> dict[str, DataFrame]:

@@ -19,9 +19,13 @@ def rename_tips(trees: DataFrame, labels: DataFrame) -> DataFrame:
     """Trees with tips relabelled (labels: tip_id, label); unknown tips keep their name.
 
     Trees are taken apart into tokens, tips join their labels, and each tree is put together
-    again in order. A label loses the characters that have a meaning in tree text.
+    again in order. A label loses the characters that have a meaning in tree text. The text made is taken
+    apart again and its tips are held against those before: a tree that has lost or gained one, or in which a
+    name has become a number that reads as a branch length, is an error when the plan runs.
+    ``repeated_tips`` lists names that stand more than once in a tree now.
     """
-    tokens = trees.select("tree_id", F.regexp_extract_all(F.trim("newick"), F.lit(r"[:(),]|[^:(),]+"), F.lit(0)).alias("_t"))
+    token = r"[:(),]|[^:(),]+"
+    tokens = trees.select("tree_id", F.regexp_extract_all(F.trim("newick"), F.lit(token), F.lit(0)).alias("_t"))
     rows = tokens.select("tree_id", F.posexplode("_t").alias("position", "token"), "_t").select(
         "tree_id", "position", "token", F.get("_t", F.col("position") - 1).isin("(", ",").alias("_after"),
         F.get("_t", F.col("position") + 1).isin(":", ")", ",").alias("_before"))
@@ -29,10 +33,22 @@ def rename_tips(trees: DataFrame, labels: DataFrame) -> DataFrame:
     names = labels.select(F.col("tip_id").alias("_tip"), F.regexp_replace(F.coalesce(present(F.col("label"), ("",)), F.col("tip_id")), r"[\s,:();]+", "_").alias("_new"))
     names = names.groupBy("_tip").agg(F.max("_new").alias("_new"))
     keyed = rows.withColumn("_is_tip", is_tip).withColumn("_tip", spread_missing(F.when(is_tip, F.col("token")), "tree_id", "position"))
-    renamed = keyed.join(names, "_tip", "left").select("tree_id", "position", F.coalesce("_new", "token").alias("token"), "_is_tip")
-    return renamed.groupBy("tree_id").agg(
-        F.array_sort(F.collect_list(F.struct("position", "token"))).alias("_p"), F.count_if("_is_tip").alias("tips")).select(
-        "tree_id", F.array_join(F.transform("_p", lambda p: p["token"]), "").alias("newick"), "tips")
+    renamed = keyed.join(names, "_tip", "left").select("tree_id", "position", "token", F.coalesce("_new", "token").alias("_made"), "_is_tip")
+    number = lambda c: c.rlike(r"^[0-9. Ee+-]+$")
+    rebuilt = renamed.groupBy("tree_id").agg(
+        F.array_sort(F.collect_list(F.struct("position", "_made"))).alias("_p"), F.count_if("_is_tip").alias("tips"),
+        F.count_if(F.col("_is_tip") & ~number(F.col("token")) & number(F.col("_made"))).alias("_numbers"))
+    again = rebuilt.select("*", F.array_join(F.transform("_p", lambda p: p["_made"]), "").alias("newick")).withColumn("_t", F.regexp_extract_all("newick", F.lit(token), F.lit(0)))
+
+    def tip_at(x: Column, i: Column) -> Column:
+        return F.get("_t", i - 1).isin("(", ",") & F.get("_t", i + 1).isin(":", ")", ",") & ~x.isin(":", "(", ")", ",")
+
+    found = again.withColumn("_tips", F.filter("_t", tip_at))
+    kept = (F.size("_tips") == F.col("tips")) & (F.col("_numbers") == 0)
+    lost = F.raise_error(F.concat(F.lit("relabelling changed the tips of tree "), F.col("tree_id").cast("string")))
+    ordered = F.array_sort("_tips")
+    repeated = F.array_distinct(F.filter(ordered, lambda x, i: (i > 0) & (x == F.get(ordered, i - 1))))
+    return found.filter(F.when(kept, True).otherwise(lost.cast("boolean"))).select("tree_id", "newick", "tips", repeated.alias("repeated_tips"))
 
 
 def tip_annotation(annotation: DataFrame, id_map: DataFrame | None = None) -> DataFrame:

@@ -150,7 +150,7 @@ def prefix_id_resolution(t: Source) -> DataFrame:
 
 
 @query("""
-    select tree_id, '(' || string_agg(coalesce(c_mktsegment || '_' || c_custkey, tip) || ':' || len, ',' order by k) || ');' as newick, count(*) as tips
+    select tree_id, '(' || string_agg(coalesce(c_mktsegment || '_' || c_custkey, tip) || ':' || len, ',' order by k) || ');' as newick, count(*) as tips, '' as repeated
     from (select o_custkey as tree_id, cast(o_orderkey as varchar) as tip, o_orderkey as k, o_orderkey % 10 as len from orders) o
     left join customer on c_mktsegment <> 'BUILDING' and cast(c_custkey as varchar) = o.tip group by tree_id
 """)
@@ -159,7 +159,7 @@ def rename_tips(t: Source) -> DataFrame:
     corpus = t.orders.groupBy(F.col("o_custkey").alias("tree_id")).agg(part.alias("p")).select(
         "tree_id", F.concat(F.lit("("), F.array_join(F.transform("p", lambda i: i["x"]), ","), F.lit(");")).alias("newick"))
     labels = t.customer.select(keyed(F.col("c_mktsegment") != "BUILDING", text("c_custkey")).alias("tip_id"), F.concat_ws(" ", "c_mktsegment", text("c_custkey")).alias("label"))
-    return trees.rename_tips(corpus, labels)
+    return trees.rename_tips(corpus, labels).select("tree_id", "newick", "tips", F.array_join("repeated_tips", ";").alias("repeated"))
 
 
 @query("""

@@ -200,3 +200,24 @@ def test_alignment_columns(spark):
     df = spark.createDataFrame([("a", "s1", "A-C-T"), ("a", "s2", "A--GT"), ("b", "s1", "AC")], "alignment string, species string, seq string")
     assert rows(sequences.trim_alignment_columns(df, 60.0)) == [("a", "s1", "AC-T"), ("a", "s2", "A-GT"), ("b", "s1", "AC")]
     assert rows(sequences.trim_alignment_columns(df, 50.0)) == [("a", "s1", "AT"), ("a", "s2", "AT"), ("b", "s1", "AC")]
+    assert rows(sequences.trim_alignment_columns(df, 0.0), "seq") == [("",)] * 3
+
+
+def test_gap_columns_of_long_rows_match_a_loop(spark):
+    r = random.Random(12)
+    data = []
+    for alignment, n in (("long", 70_000), ("short", 40), ("empty", 0)):
+        for k in range(9):
+            seq = "".join(("-" if r.random() < 0.5 else r.choice("ACGTé")) * r.randint(1, 9) for _ in range(n // 5))[: n - (k == 8) * 3]
+            data.append((alignment, f"s{k}", seq))
+    df = spark.createDataFrame(data, "alignment string, species string, seq string").repartition(3)
+    for limit in (30.0, 55.0, 100.0):
+        expected = []
+        for name in ("long", "short", "empty"):
+            mine = [d for d in data if d[0] == name]
+            width = max(len(d[2]) for d in mine)
+            gaps = [sum(c < len(d[2]) and d[2][c] == "-" for d in mine) for c in range(width)]
+            expected += [(name, s, "".join(x for c, x in enumerate(seq) if not gaps[c] or gaps[c] / 9 * 100 < limit)) for _, s, seq in mine]
+        assert rows(sequences.trim_alignment_columns(df, limit)) == sorted(expected)
+    plan = sequences.trim_alignment_columns(df, 50.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(seq" not in plan

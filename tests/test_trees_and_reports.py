@@ -1,6 +1,8 @@
 import random
 
+import pytest
 from conftest import rows
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from lociframe.operators import coverage, families, hits, matrices, qc, rules, trees
@@ -10,11 +12,20 @@ from lociframe.sources import fasta, lines, reports
 def test_rename_tips(spark):
     corpus = spark.createDataFrame([("t1", "((a:0.1,b x:0.2)0.99:1,(c,d));"), ("t2", "(a,(z:1,b x:2):3);")], "tree_id string, newick string")
     labels = spark.createDataFrame([("a", "new (a)"), ("b x", ""), ("d", "D")], "tip_id string, label string")
-    assert rows(trees.rename_tips(corpus, labels)) == [
+    assert rows(trees.rename_tips(corpus, labels), "tree_id", "newick", "tips") == [
         ("t1", "((new_a_:0.1,b_x:0.2)0.99:1,(c,D));", 4), ("t2", "(new_a_,(z:1,b_x:2):3);", 3)]
     assert rows(trees.newick_tips(spark.createDataFrame([("t", "((sp1:0.1,sp2:1e-5)0.9,sp3);")], "tree_id string, newick string")), "tip") == [("sp1",), ("sp2",), ("sp3",)]
 
 
+def test_a_tree_that_loses_a_tip_fails(spark):
+    corpus = spark.createDataFrame([("good", "(a:1,b:2);"), ("bad", "(c:1,77:2);")], "tree_id string, newick string")
+    one = spark.createDataFrame([("a", "b"), ("77", "88")], "tip_id string, label string")
+    assert rows(trees.rename_tips(corpus, one), "tree_id", "newick", "repeated_tips") == [("bad", "(c:1,88:2);", []), ("good", "(b:1,b:2);", ["b"])]
+    number = spark.createDataFrame([("c", "1e-5")], "tip_id string, label string")
+    with pytest.raises(SparkRuntimeException, match="relabelling changed the tips of tree bad"):
+        trees.rename_tips(corpus, number).count()
+
+
 def test_truncated_ids(spark):
     full = spark.createDataFrame([(x,) for x in ("gene_alpha_1", "gene_alpha_2", "gene_beta", "exact", "exact_not", "longshared_X1")], "seqid string")
     tips = spark.createDataFrame([(x,) for x in ("exact", "gene_be", "gene_alpha", "longshared_Y", "gene_gamma", "zzz")], "tip string")
