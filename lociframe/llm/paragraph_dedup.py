@@ -7,21 +7,26 @@ whose shingle has the lowest hash of some window of ``PASSAGE - MIN_WORDS + 1``
 wherever it starts and whatever its marks.
 
 1. Sentences get band keys from MinHash values, anchors their digest; keys that two documents hold mark candidates.
-2. Candidates' shingle sets are looked up in a second pass. Equal paragraphs are one from here on.
+2. A second pass places the candidates, and looks up the shingle sets of those whose key several different
+   paragraphs hold. Equal paragraphs are one from here on.
 3. Different paragraphs of one key are verified exactly on Jaccard similarity: keys of few paragraphs by
    their pairs, keys of many by a set join in blocks, whose pairs never become rows. Links give components.
-4. A component that reaches several documents stays in one; the spans in the others grow word by word as
-   long as the words around them are those around the one that stays. Merged within each document, they are
-   the removals. ``PASSAGE - MIN_WORDS`` words to each side suffice: further on lies the next anchor.
+4. A component that reaches several documents stays in one; its spans in the others are merged within each
+   document. Only at the two ends of a merged run the texts are read again: the run grows word by word as
+   long as the words there are those at the place that stays. ``PASSAGE - MIN_WORDS`` words to each side
+   suffice: further on lies the next anchor.
 
 Bands and rows per band follow from the similarity and the recall asked for.
 """
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +45,8 @@ FEW = 16
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LOWER = bytes(W.LOWER)
 _AROUND = np.dtype([("word", "<u4"), ("way", "<u4")])
 _SEEDS = W.mix(np.arange(1, 65, dtype=np.uint64))
 
@@ -127,17 +134,6 @@ class Paragraphs:
         out.append(W.mix(self.digest[n:].view(np.uint64) ^ _SEEDS[63]))
         return np.concatenate(out).view(np.int64), np.concatenate([np.tile(np.arange(n), n_bands), np.arange(n, len(self.first))])
 
-    def around(self, k: int, most: int, point: np.ndarray) -> tuple[bytes, bytes]:
-        """Words before a paragraph, nearest first, and after it: at most ``most`` hashes with the code points from the paragraph to the word's far end."""
-        first, stop, row = self.first[k], self.stop[k], self.owner[k]
-        before = np.arange(first - 1, max(self.rows[row], first - most) - 1, -1)
-        after = np.arange(stop, min(self.rows[row + 1], stop + most))
-        left, right = np.empty(len(before), _AROUND), np.empty(len(after), _AROUND)
-        left["word"], right["word"] = self.words[before] >> np.uint64(32), self.words[after] >> np.uint64(32)
-        left["way"] = point[self.starts[first]] - point[self.starts[before]]
-        right["way"] = point[self.ends[after]] - point[self.ends[stop - 1]]
-        return left.tobytes(), right.tobytes()
-
     def hashes(self, k: int) -> np.ndarray:
         """Distinct shingle hashes of a paragraph."""
         return np.unique(self.shingles[self.low[k] : self.high[k]]).view(np.int64)
@@ -173,44 +169,58 @@ def _candidates(docs: DataFrame, n_bands: int, n_rows: int, min_words: int, size
     return written(held.filter("low <> high or marks > 0").select("key", "digest").distinct(), "dedup-candidates")
 
 
-def _occurrences(docs: DataFrame, candidates: DataFrame, min_words: int, size: int) -> DataFrame:
-    """(row_id, doc_id, start, end, n_words, digest, left, right, hashes) of candidates' paragraphs; hashes of sentences once per batch and digest."""
+def _mask(digests: DataFrame) -> bytes:
+    """Bits at the digests' places of a mask; what else falls on a set bit is left out later or does no harm."""
     position = F.pmod("digest", F.lit(MASK_BITS))
-    cells = candidates.select("digest").distinct().select(position.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).collect()
+    cells = digests.select(position.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).collect()
     mask = np.zeros(MASK_BITS // 64, np.int64)
     for r in cells:  # at most MASK_BITS / 64 rows
         mask[r.cell] = r.bits
-    held = docs.sparkSession.sparkContext.broadcast(mask.tobytes())
+    return mask.tobytes()
+
+
+def _occurrences(docs: DataFrame, candidates: DataFrame, shared: DataFrame, min_words: int, size: int) -> DataFrame:
+    """(row_id, text_id, doc_id, start, end, digest, hashes) of candidates' paragraphs, and some others that occur once.
+
+    hashes are there for sentences that share a key with different ones, once per batch and digest.
+    """
+    context = docs.sparkSession.sparkContext
+    wanted, compared = context.broadcast(_mask(candidates)), context.broadcast(_mask(shared))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(held.value, np.int64)
+        any_bits, set_bits = np.frombuffer(wanted.value, np.int64), np.frombuffer(compared.value, np.int64)
+        kinds = [pa.int64(), pa.list_(pa.int64())]
         for batch in batches:
             seen: set[int] = set()
-            row_ids, doc_ids = batch.column("row_id").to_pylist(), batch.column("doc_id").to_pylist()
-            out = []
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            sets: list[np.ndarray | None] = []
             for row, _, data, offsets in W.slices(batch):
                 p = Paragraphs(data, offsets, min_words, size)
                 at = p.digest % MASK_BITS
                 point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                for k in np.flatnonzero((bits[at // 64] >> (at % 64)) & 1):
-                    owner, digest = int(p.owner[k]), int(p.digest[k])
-                    base = point[offsets[owner]]
-                    new = digest not in seen and k < len(p.first) - p.n_anchors
+                at_all = np.flatnonzero((any_bits[at // 64] >> (at % 64)) & 1)
+                needed = ((set_bits[at[at_all] // 64] >> (at[at_all] % 64)) & 1) & (at_all < len(p.first) - p.n_anchors)
+                base = point[offsets[p.owner[at_all]]]
+                for out, values in zip(columns, (p.owner[at_all] + row, point[p.starts[p.first[at_all]]] - base, point[p.ends[p.stop[at_all] - 1]] - base, p.digest[at_all]), strict=True):
+                    out.append(values)
+                for k, need in zip(at_all.tolist(), needed.tolist(), strict=True):
+                    digest = int(p.digest[k])
+                    new = need and digest not in seen
                     if new:
                         seen.add(digest)
-                    out.append((row_ids[row + owner], doc_ids[row + owner], int(point[p.starts[p.first[k]]] - base), int(point[p.ends[p.stop[k] - 1]] - base), int(p.stop[k] - p.first[k]), digest, *p.around(k, PASSAGE - min_words, point), p.hashes(k) if new else None))
-            kinds = [*[pa.int64()] * 6, pa.binary(), pa.binary(), pa.list_(pa.int64())]
-            columns = zip(*out, strict=True) if out else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)], names=["row_id", "doc_id", "start", "end", "n_words", "digest", "left", "right", "hashes"])
+                    sets.append(p.hashes(k) if new else None)
+            rows, start, end, digest = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns)
+            at_rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(at_rows) for c in ("row_id", "text_id", "doc_id")], *[pa.array(x, kinds[0]) for x in (start, end, digest)], pa.array(sets, kinds[1])],
+                names=["row_id", "text_id", "doc_id", "start", "end", "digest", "hashes"])
 
-    found = docs.select("row_id", "doc_id", "text").mapInArrow(again, "row_id long, doc_id long, start long, end long, n_words long, digest long, left binary, right binary, hashes array<long>")
-    return written(found.join(candidates.select("digest").distinct(), "digest"), "dedup-occurrences")
+    found = docs.select("row_id", "text_id", "doc_id", "text").mapInArrow(again, "row_id long, text_id long, doc_id long, start long, end long, digest long, hashes array<long>")
+    return written(found, "dedup-occurrences")
 
 
-def _links(candidates: DataFrame, sets: DataFrame, percent: int, few: int = FEW) -> DataFrame:
-    """(a, b) of different paragraphs that share a key and reach the similarity, at least a spanning set of them."""
-    sizes = candidates.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = written(candidates.join(sizes, "key"), "dedup-shared")
+def _links(shared: DataFrame, sets: DataFrame, percent: int, few: int = FEW) -> DataFrame:
+    """(a, b) of different paragraphs that share a key (key, digest, m: how many do) and reach the similarity, at least a spanning set of them."""
     small = shared.filter(F.col("m") <= few)
     pairs = small.select("key", F.col("digest").alias("a")).join(small.select("key", F.col("digest").alias("b")), "key").filter("a < b").select("a", "b").distinct()
     left, right = (sets.select(F.col("id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
@@ -230,18 +240,77 @@ def _common(a: bytes, b: bytes) -> int:
     return int(x["way"][n - 1]) if n else 0
 
 
-def _grown(removed: DataFrame, stays: DataFrame) -> DataFrame:
-    """Removed spans, once per surroundings of their component where it stays, grown over the words equal there."""
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _around(text: str, point: int, forward: bool, most: int) -> bytes:
+    """Up to ``most`` words of a text after or before a code point, nearest first: 32 bits of each word's hash and the code points from the point to its far end."""
+    reach = 256
+    while True:
+        low, high = (point, min(len(text), point + reach)) if forward else (max(0, point - reach), point)
+        whole = high == len(text) if forward else low == 0
+        found = [m.span() for m in _WORD.finditer(text[low:high])]
+        if not whole and len(found) <= most:
+            reach *= 4  # the outermost word may be cut
+            continue
+        near = found[:most] if forward else found[: -most - 1 : -1]
+        out = np.empty(len(near), _AROUND)
+        for i, (a, b) in enumerate(near):
+            out[i] = (zlib.crc32(text[low + a : low + b].encode().translate(_LOWER)), (b if forward else high - low - a))
+        return out.tobytes()
+
+
+def _surroundings(docs: DataFrame, places: DataFrame, most: int) -> DataFrame:
+    """``places`` (row_id, text_id, point, forward, ...) with the words around each, read from the texts of their documents."""
+    rest = [c for c in places.columns if c not in ("row_id", "text_id", "point", "forward")]
+    listed = places.groupBy("row_id", "text_id").agg(F.collect_list(F.struct("point", "forward", *rest)).alias("places"))
+    texts = docs.select("row_id", "text_id", "text").filter("text is not null").dropDuplicates(["row_id", "text_id"])
+    kinds = ", ".join(f"{c} {places.schema[c].dataType.simpleString()}" for c in rest)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right, stay_left, stay_right = (batch.column(c).to_pylist() for c in ("left", "right", "stay_left", "stay_right"))
-            low = batch.column("first_point").to_numpy() - np.array([*map(_common, left, stay_left)], np.int64)
-            high = batch.column("end_point").to_numpy() + np.array([*map(_common, right, stay_right)], np.int64)
-            kept = ["row_id", "doc_id", "component", "other_doc_id", "first_point", "end_point"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(low), pa.array(high)], names=[*kept, "start", "end"])
+            lists = batch.column(2)
+            flat, rows = lists.flatten(), pc.list_parent_indices(lists)
+            texts, now = batch.column(1), -1
+            around = []
+            for row, point, forward in zip(rows.to_pylist(), flat.field("point").to_pylist(), flat.field("forward").to_pylist(), strict=True):
+                if row != now:
+                    now, text = row, texts[row].as_py()
+                around.append(_around(text, point, forward, most))
+            columns = [batch.column(0).take(rows), *[flat.field(c) for c in ("point", "forward", *rest)], pa.array(around, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row_id", "point", "forward", *rest, "around"])
+
+    joined = texts.join(listed, ["row_id", "text_id"]).select("row_id", "text", "places")
+    return joined.mapInArrow(look, f"row_id long, point long, forward boolean, {kinds}, around binary")
+
+
+def _runs(spans: DataFrame) -> DataFrame:
+    """``spans`` (row_id, start, end, ...) with ``run``, the number of the stretch that they and their neighbours make."""
+    order = Window.partitionBy("row_id").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return spans.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach + 1), 1).otherwise(0)).withColumn("run", F.sum("new").over(order)).drop("new")
+
+
+def _grown(docs: DataFrame, runs: DataFrame, stays: DataFrame, most: int) -> DataFrame:
+    """Runs with ``start`` and ``end`` moved over the words that are equal where the paragraph at that end stays."""
+    ends = runs.select("row_id", "run", F.inline(F.array(
+        F.struct(F.col("first.text_id").alias("text_id"), F.col("first.component").alias("component"), F.col("start").alias("point"), F.lit(False).alias("forward")),
+        F.struct(F.col("last.text_id").alias("text_id"), F.col("last.component").alias("component"), F.col("end").alias("point"), F.lit(True).alias("forward")))))
+    named = ends.select("component", "forward").distinct()
+    kept = stays.select("row_id", "text_id", "component", F.inline(F.array(
+        F.struct(F.col("start").alias("point"), F.lit(False).alias("forward")), F.struct(F.col("end").alias("point"), F.lit(True).alias("forward"))))).join(named, ["component", "forward"])
+    places = ends.select("row_id", "text_id", "point", "forward", "component", "run").unionByName(
+        kept.select("row_id", "text_id", "point", "forward", "component", F.lit(None).cast("long").alias("run")))
+    seen = written(_surroundings(docs, places, most), "dedup-ends")
+    standing = seen.filter("run is null").select("component", "forward", F.col("around").alias("stay")).distinct()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            way = np.fromiter(map(_common, batch.column(3).to_pylist(), batch.column(4).to_pylist()), np.int64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, range(3)), pa.array(way)], names=["row_id", "run", "forward", "way"])
 
-    named = removed.withColumnsRenamed({"start": "first_point", "end": "end_point"}).join(stays, "component")
-    return named.mapInArrow(grow, "row_id long, doc_id long, component long, other_doc_id long, first_point long, end_point long, start long, end long")
+    met = seen.filter("run is not null").join(standing, ["component", "forward"]).select("row_id", "run", "forward", "around", "stay")
+    ways = met.mapInArrow(compare, "row_id long, run long, forward boolean, way long").groupBy("row_id", "run").agg(
+        F.coalesce(F.max(F.when(~F.col("forward"), F.col("way"))), F.lit(0)).alias("left"), F.coalesce(F.max(F.when(F.col("forward"), F.col("way"))), F.lit(0)).alias("right"))
+    grown = runs.join(ways, ["row_id", "run"], "left")
+    return grown.withColumns({"start": F.col("start") - F.coalesce("left", F.lit(0)), "end": F.col("end") + F.coalesce("right", F.lit(0))}).drop("left", "right", "first", "last", "run")
 
 
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
@@ -256,21 +325,23 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     doc_id are one document, null ids are documents by their text. An empty table gives no rows.
     """
     n_bands, n_rows = bands(percent / 100, recall)
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_id", F.coalesce("doc_id", F.xxhash64("text")))
+    text = F.col("text").cast("string")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_id")).withColumn("row_id", F.coalesce("doc_id", "text_id"))
     candidates = _candidates(named, n_bands, n_rows, min_words, size)
-    found = _occurrences(named, candidates, min_words, size)
-    sets = found.filter("hashes is not null").groupBy(F.col("digest").alias("id")).agg(F.first("hashes").alias("hashes"))
-    sets = written(sets, "dedup-sets")
-    links = _links(candidates, sets, percent)
-    groups = components(links).select(F.col("id").alias("digest"), F.col("label").alias("component"))
-    placed = written(found.drop("hashes").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "dedup-placed")
-    kept = placed.groupBy("component").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"), F.min("doc_id").alias("other_doc_id")).filter("first <> last")
-    marked = placed.join(kept, "component")
-    stays = marked.filter("row_id = first").select("component", F.col("left").alias("stay_left"), F.col("right").alias("stay_right")).distinct()
-    removed = _grown(marked.filter("row_id <> first"), stays)
-    order = Window.partitionBy("row_id").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = removed.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach + 1), 1).otherwise(0)).withColumn("run", F.sum("new").over(order))
-    return runs.groupBy("row_id", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.size(F.collect_set(F.struct("first_point", "end_point"))).cast("long").alias("n_paragraphs"),
-        F.array_sort(F.collect_set("component")).alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")).drop("row_id", "run")
+    sizes = candidates.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = written(candidates.join(sizes, "key"), "dedup-shared")
+    found = _occurrences(named, candidates, shared, min_words, size)
+    sets = written(found.filter("hashes is not null").groupBy(F.col("digest").alias("id")).agg(F.first("hashes").alias("hashes")), "dedup-sets")
+    groups = components(_links(shared, sets, percent)).select(F.col("id").alias("digest"), F.col("label").alias("component"))
+    placed = found.drop("hashes").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    kept = placed.groupBy("component").agg(F.min("row_id").alias("stay"), F.max("row_id").alias("highest"), F.min("doc_id").alias("other_doc_id")).filter("stay <> highest")
+    marked = written(placed.join(kept, "component").select("row_id", "text_id", "doc_id", "start", "end", "component", "stay", "other_doc_id"), "dedup-marked")
+    spans = _runs(marked.filter("row_id <> stay"))
+    at = lambda point: F.struct(point, "component", "text_id")
+    runs = written(spans.groupBy("row_id", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min(at("start")).alias("first"), F.max(at("end")).alias("last"),
+        F.count_distinct("start", "end").alias("n_paragraphs"), F.collect_set("component").alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")), "dedup-runs")
+    grown = _grown(named, runs, marked.filter("row_id = stay"), PASSAGE - min_words)
+    return _runs(grown).groupBy("row_id", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_paragraphs").alias("n_paragraphs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("component_ids")))).alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")).drop("row_id", "run")
