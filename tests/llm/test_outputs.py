@@ -281,3 +281,21 @@ def test_pipeline_query(spark):
 
     got = p.run(spark, FOLDER)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 100
+
+
+def test_latin_words_get_the_ids_of_whole_texts():
+    """Words of ASCII and Latin-1 letters take a short way to the model; combining marks and other scripts beside them do not."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, ids = Tokenizer.from_file(path), bitplanes._Ids(Tokenizer.from_file(path))
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0xC0, 0x100)] + list("abcdefgXYZ") * 6
+    odd = [*letters, *"̌́.,'-1ªµİǅẞ日"]
+    for k in range(3000):
+        pool = odd if k % 3 else letters
+        text = " ".join("".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", ",", "..."]) for _ in range(rng.randint(1, 9)))
+        assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
