@@ -35,12 +35,27 @@ def _features(t: Source) -> DataFrame:
     return whole.unionByName(transcripts).unionByName(exons)
 
 
-@query(SEGMENTS + """
-    select i.seqid, start0, end0, length, 'g' || o_custkey as gene_id, tx as transcript_id, k as intron_number, length between 40 and 65 as is_short_intron
+INTRONS = """
+    select 'sp' as species, i.seqid, start0, end0, start0 + 1 as start1, end0 as end1, length, '+' as strand, 'g' || o_custkey as gene_id, tx as transcript_id, k as intron_number, 'exon' as source_feature,
+           length between 40 and 65 as is_short_intron, {at} as at_content, {rich} as is_at_rich
     from introns i left join orders on cast(o_orderkey as varchar) = tx
-""")
+"""
+
+
+@query(SEGMENTS + INTRONS.format(at="null::double", rich="null::boolean"))
 def introns(t: Source) -> DataFrame:
-    return genes.introns(_features(t)).select("seqid", "start0", "end0", "length", "gene_id", "transcript_id", "intron_number", "is_short_intron")
+    return genes.introns(_features(t))
+
+
+@query(SEGMENTS.rstrip() + """,
+    places as (select distinct seqid, start0, end0, length from introns),
+    bases as (select p.seqid, start0, end0, substring(g.seq, start0 + 1, length) as s from places p join {dna} g on p.seqid = 'chr' || g.seqid),
+    shares as (select seqid, start0, end0, length(s) - length(replace(replace(s, 'A', ''), 'T', '')) as at, length(s) as n from bases)
+""" + INTRONS.format(at="round(sh.at / nullif(sh.n, 0), 6)", rich="round(sh.at / nullif(sh.n, 0), 6) >= 0.7") + " left join shares sh using (seqid, start0, end0)")
+def introns_with_at_share(t: Source) -> DataFrame:
+    """A+T share of every intron, cut from the recoded documents; NULL beyond the end of a sequence."""
+    genome = t.dna.select(F.lit("sp").alias("species"), F.concat(F.lit("chr"), text("seqid")).alias("seqid"), "seq")
+    return rounded(genes.introns(_features(t), genome=genome), "at_content")
 
 
 @query(SEGMENTS + """
@@ -114,12 +129,15 @@ def structure_sequences(t: Source) -> DataFrame:
 
 @query(SEGMENTS + """,
     values_t as (select 'exon_length' as category, e - s + 1 as v, 10 as w from seg union all select 'intron_length', length, 10 from introns
-                 union all select 'mRNA_length', o_orderkey % 900 + 100, 50 from orders),
+                 union all select 'mRNA_length', o_orderkey % 900 + 100, 50 from orders
+                 union all select 'exon_number', coalesce(n, 0), 1 from orders left join (select tx, count(*) as n from seg group by tx) x on x.tx = cast(o_orderkey as varchar)),
     c as (select category, v // w * w as bin_start, count(*) as raw_count, w as bin_size from values_t group by all)
+    select category, 0::bigint as bin_start, 0::bigint as raw_count, 1 as bin_size, cast(sum(raw_count) as bigint) as total_count, 0.0::double as percent from c where category = 'exon_number' group by category
+    union all
     select *, cast(sum(raw_count) over (partition by category) as bigint) as total_count, round(raw_count / sum(raw_count) over (partition by category) * 100, 5) as percent from c
 """)
 def structure_histograms(t: Source) -> DataFrame:
-    found = genes.gff_structure(_features(t))["histograms"].drop("species").filter("category in ('exon_length', 'intron_length', 'mRNA_length')")
+    found = genes.gff_structure(_features(t))["histograms"].drop("species")
     return rounded(found, "percent", digits=5)
 
 

@@ -26,15 +26,17 @@ def assembly_stats(t: Source) -> DataFrame:
 
 
 @query(f"""
-    with s as (select lang, seqid, length(seq) as n from {{dna}} d join documents on doc_id = seqid),
-    acc as (select lang, n, sum(n) over (partition by lang order by n desc, seqid) as acc, row_number() over (partition by lang order by n desc, seqid) as rk,
+    with s as (select lang, seqid, length(seq) as n, {BASES} as gc, length(seq) - length(replace(seq, 'N', '')) as ns from {{dna}} d join documents on doc_id = seqid),
+    acc as (select lang, n, gc, ns, sum(n) over (partition by lang order by n desc, seqid) as acc, row_number() over (partition by lang order by n desc, seqid) as rk,
                    sum(n) over (partition by lang) as total from s)
-    select lang, cast(max(n) filter (where acc >= total * 0.5) as bigint) as "N50", min(rk) filter (where acc >= total * 0.5) as "L50",
-           cast(max(n) filter (where acc >= total * 0.9) as bigint) as "N90", min(rk) filter (where acc >= total * 0.9) as "L90" from acc group by lang
+    select lang, count(*) as seq_count, cast(sum(n) as bigint) as total_length, cast(min(n) as bigint) as min_length, cast(max(n) as bigint) as max_length,
+           cast(max(n) filter (where acc >= total * 0.5) as bigint) as "N50", min(rk) filter (where acc >= total * 0.5) as "L50",
+           cast(max(n) filter (where acc >= total * 0.9) as bigint) as "N90", min(rk) filter (where acc >= total * 0.9) as "L90",
+           cast(sum(gc) as bigint) as "GC_count", round(sum(gc) / sum(n) * 100, 6) as "GC_percent", cast(sum(ns) as bigint) as "N_count", round(sum(ns) / sum(n) * 100, 6) as "N_percent" from acc group by lang
 """)
 def assembly_stats_by_group(t: Source) -> DataFrame:
     rows = t.dna.join(t.documents.select(F.col("doc_id").alias("seqid"), "lang"), "seqid")
-    return sequences.assembly_stats(rows, ["lang"]).select("lang", "N50", "L50", "N90", "L90")
+    return rounded(sequences.assembly_stats(rows, ["lang"]), "GC_percent", "N_percent")
 
 
 @query(f"select seqid, cast(length(seq) as bigint) as length, cast({BASES} as bigint) as gc, cast(length(seq) - length(replace(seq, 'N', '')) as bigint) as n from {{dna}} d")
@@ -134,12 +136,12 @@ def translate_sequences(t: Source) -> DataFrame:
 @query(PEPTIDES + """
     select seqid as id, length(pep) as old_len, length(case when pep like '%*' then pep[:-2] else pep end) as new_len, (pep like '%*')::int as terminal_stop_removed,
            length((case when pep like '%*' then pep[:-2] else pep end)[:-2]) - length(replace((case when pep like '%*' then pep[:-2] else pep end)[:-2], '*', '')) as internal_stop,
-           case when length(case when pep like '%*' then pep[:-2] else pep end) = 0 then 'dropped_empty' else 'kept' end as status
+           case when length(case when pep like '%*' then pep[:-2] else pep end) = 0 then 'dropped_empty' else 'kept' end as status, case when pep like '%*' then pep[:-2] else pep end as seq
     from both_p
 """)
 def clean_peptides(t: Source) -> DataFrame:
     peptides = t.dna.select("seqid", translate_codons(F.col("seq")).alias("seq"))
-    return sequences.clean_peptides(peptides).drop("seq")
+    return sequences.clean_peptides(peptides)
 
 
 @query("select seqid, reverse(translate(seq, 'ACGT', 'TGCA')) as seq from {dna} d")
