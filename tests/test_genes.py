@@ -184,6 +184,23 @@ def test_kmers_match_a_loop(spark):
         assert dict(rows(sequences.kmer_counts(df, 5, chunk))) == expected
 
 
+@pytest.mark.parametrize("k", [1, 31, 32, 70])
+def test_kmers_travel_as_numbers(spark, k):
+    from collections import Counter
+    r = random.Random(k)
+    seqs = ["".join(r.choice("ACGT" * 60 + "nN") for _ in range(400)) for _ in range(4)] * 2 + ["", None, "é" * 80, "ACGT" * 40]
+    complement = str.maketrans("ACGT", "TGCA")
+    expected = Counter(min(w, w.translate(complement)[::-1]) for s in seqs if s for w in (s[i:i + k] for i in range(len(s) - k + 1)) if set(w) <= set("ACGT"))
+    df = spark.createDataFrame(list(enumerate(seqs)), "seqid int, seq string")
+    pieces = df.selectExpr("seqid", "0L as start0", "substring(seq, 1, 150) as seq").unionByName(df.selectExpr("seqid", "150L as start0", "substring(seq, 151) as seq")).filter("seq is not null")
+    for table in (df, pieces):
+        counts = sequences.kmer_counts(table, k, 97)
+        assert dict(rows(counts)) == expected
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_w0" in plan and "hashpartitioning(kmer" not in plan
+    assert "Join" not in sequences.kmer_counts(pieces, k)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gc_windows_compat(spark):
     df = spark.createDataFrame([("s", "GGCCAATTNN")], "seqid string, seq string")
     assert rows(sequences.gc_windows(df, 5), "start", "end", "gc") == [(0, 5, 0.8), (5, 10, 0.0)]
