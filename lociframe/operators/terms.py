@@ -73,9 +73,25 @@ def gene_pathways(gene_kos: DataFrame, ko_map: DataFrame, names: DataFrame | Non
     return rows
 
 
+def _pathway_genes(gene_kos: DataFrame, mapping: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Genes of each pathway, counted by ``measures`` over one row per pathway and gene.
+
+    Rows are dealt by gene before they meet their pathways, so that the many rows of a gene become one per pathway where
+    they stand; only counts travel after that.
+    """
+    carried = [c for c in gene_kos.columns if c != "ko_id"]
+    # A given number of parts is kept as it is; parts merged by their size on arrival would be too large once pathways are met.
+    parts = int(gene_kos.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = gene_kos.repartition(parts, "gene_id").join(mapping.select("ko_id", "pathway_id").distinct(), "ko_id").select("pathway_id", *carried).distinct()
+    return once.groupBy("pathway_id").agg(*[c.alias(n) for n, c in measures.items()])
+
+
 def pathway_counts(gene_kos: DataFrame, ko_map: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Distinct genes and KOs per pathway; the genes and KOs themselves are the rows of ``gene_pathways``."""
-    out = gene_pathways(gene_kos, ko_map).groupBy("pathway_id").agg(F.count_distinct("gene_id").alias("gene_count"), F.count_distinct("ko_id").alias("ko_count"))
+    mapped = ko_map.select("ko_id", "pathway_id").distinct()
+    out = _pathway_genes(gene_kos.select("gene_id", "ko_id"), mapped, {"gene_count": F.count("gene_id")})
+    kos = mapped.join(gene_kos.select("ko_id").distinct(), "ko_id", "left_semi").groupBy("pathway_id").agg(F.count("ko_id").alias("ko_count"))
+    out = out.join(kos, F.equal_null(out["pathway_id"], kos["pathway_id"])).select(out["pathway_id"], "gene_count", "ko_count")
     if names is not None:
         out = out.join(names.select("pathway_id", "pathway_name", "level1", "level2"), "pathway_id", "left")
     return out
@@ -210,11 +226,10 @@ def pathway_enrichment(
     Both tables have gene_id and ko_id (NULL for a gene without KO, which still counts as a
     gene). Only titled pathways hit by the foreground are tested.
     """
-    titled = ko_map.select("ko_id", "pathway_id").distinct().join(titles, "pathway_id")
+    titled = ko_map.select("ko_id", "pathway_id").distinct().join(titles.select("pathway_id").distinct(), "pathway_id", "left_semi")
 
     def per_pathway(table: DataFrame, count: str) -> DataFrame:
-        return table.join(titled.select("ko_id", "pathway_id"), "ko_id").select("pathway_id", "gene_id").distinct().groupBy(
-            "pathway_id").agg(F.count(F.lit(1)).alias(count))
+        return _pathway_genes(table.select("gene_id", "ko_id"), titled, {count: F.count(F.lit(1))})
 
     n_fg = foreground.select("gene_id").distinct().agg(F.count(F.lit(1)))
     n_bg = background.select("gene_id").distinct().agg(F.count(F.lit(1)))

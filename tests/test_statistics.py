@@ -144,3 +144,22 @@ def test_median_of_few_and_equal_values(spark):
     data = [("a", 1.0)] * 4 + [("b", 1.0), ("b", 3.0), ("c", None), ("d", 1.0), ("d", 1.0), ("d", 9.0), ("d", 10.0)] + [("e", float(x)) for x in range(7)]
     got = dict(rows(grouped_median(spark.createDataFrame(data, "k string, v double"), ["k"], "v", "m")))
     assert got == {"a": 1.0, "b": 2.0, "d": 5.0, "e": 3.0}
+
+
+def test_pathways_of_a_gene_meet_where_the_gene_is(spark):
+    r = random.Random(8)
+    kos = [(f"g{r.randrange(40)}", f"K{r.randrange(12)}") for _ in range(300)]
+    mapping = [(f"K{r.randrange(14)}", f"P{r.randrange(6)}") for _ in range(40)]
+    genes = spark.createDataFrame([*kos, ("g0", None)], "gene_id string, ko_id string")
+    ko_map = spark.createDataFrame(mapping, "ko_id string, pathway_id string")
+    counts = terms.pathway_counts(genes, ko_map)
+    expected = {}
+    for g, k in kos:
+        for k2, p in mapping:
+            if k == k2:
+                expected.setdefault(p, (set(), set()))
+                expected[p][0].add(g)
+                expected[p][1].add(k)
+    assert rows(counts, "pathway_id", "gene_count", "ko_count") == sorted((p, len(g), len(k)) for p, (g, k) in expected.items())
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "hashpartitioning(gene_id" in plan
