@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_present, present, split_members, to_double, to_long
+from ..operators.scans import PART, range_parts
 from ..operators.synteny import pair_label
 from .lines import Paths, cell, data_lines, header_of, path_list, read_lines, read_table, split_tabs, text_cell, with_line_numbers
 
@@ -246,35 +247,43 @@ def _species(pair: str | None, ref: str | None, query: str | None) -> tuple[str,
     return ref or first, query or second
 
 
+def _stretches(lines: DataFrame, ranged: bool) -> DataFrame:
+    """Lines with ``_b``, the stretch of the file they stand in: its splits, or, for lines given as a frame, whose splits may be of any size, kept ranges of the order."""
+    if not ranged:
+        return lines.withColumn("_b", F.col("_row.block"))
+    return range_parts(lines, ["_row"], ["path"]).withColumnRenamed(PART, "_b")
+
+
 def read_synteny(
     spark: SparkSession, paths: Paths, form: str, pair: str | None = None, ref_species: str | None = None, query_species: str | None = None
 ) -> DataFrame:
     """Synteny links of anchor, simple or table files in one shape.
 
     Anchor blocks are separated by comment lines. Block numbers come from counting separators
-    per split first and inside the split second, so a large file is numbered by many tasks.
+    per split first and inside the split second, so a large file is numbered by many tasks; lines
+    given as a frame are counted by ranges of their order, which are kept.
     """
     ref, query = _species(pair, ref_species, query_species)
     lines = read_lines(spark, paths).filter(F.trim("line") != "")
+    ranged = isinstance(paths, DataFrame)
     if form == "anchor":
-        marked = lines.withColumn("_mark", F.col("line").startswith("#").cast("int")).withColumn("_block", F.col("_row.block"))
-        earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-        starts = marked.groupBy("path", "_block").agg(F.sum("_mark").alias("_marks")).withColumn("_before", F.coalesce(F.sum("_marks").over(earlier), F.lit(0)))
-        inside = Window.partitionBy("path", "_block").orderBy("_row.line").rowsBetween(Window.unboundedPreceding, 0)
-        numbered = marked.withColumn("_in", F.sum("_mark").over(inside)).join(starts.select("path", "_block", "_before"), ["path", "_block"])
+        marked = _stretches(lines, ranged).withColumn("_mark", F.col("line").startswith("#").cast("int"))
+        earlier = Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        starts = marked.groupBy("path", "_b").agg(F.sum("_mark").alias("_marks")).withColumn("_before", F.coalesce(F.sum("_marks").over(earlier), F.lit(0)))
+        inside = Window.partitionBy("path", "_b").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+        numbered = marked.withColumn("_in", F.sum("_mark").over(inside)).join(starts.select("path", "_b", "_before"), ["path", "_b"])
         rows = numbered.filter("_mark = 0").withColumn("c", F.split(F.trim("line"), r"\s+")).filter(F.size("c") >= 2)
         c = F.col("c")
         block = F.greatest(F.col("_before") + F.col("_in"), F.lit(1)).cast("string")
         first, second, score = cell(c, 0), cell(c, 1), cell(c, 2)
     elif form == "simple":
-        rows = split_tabs(lines.filter(~F.col("line").startswith("#")), 4)
         # Only usable lines carry a block number.
-        order = Window.partitionBy("path", "_row.block").orderBy("_row.line")
-        rows = rows.withColumn("_k", F.row_number().over(order))
-        counts = rows.groupBy("path", F.col("_row.block").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        rows = split_tabs(_stretches(lines.filter(~F.col("line").startswith("#")), ranged), 4)
+        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("path", "_b").orderBy("_row")))
+        counts = rows.groupBy("path", "_b").agg(F.count(F.lit(1)).alias("_n"))
         before = Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("path", "_b", "_before")
-        rows = rows.withColumn("_b", F.col("_row.block")).join(offsets, ["path", "_b"])
+        rows = rows.join(offsets, ["path", "_b"])
         c = F.col("c")
         block = (F.col("_before") + F.col("_k")).cast("string")
         first, second, score = F.concat_ws("..", cell(c, 0), cell(c, 1)), F.concat_ws("..", cell(c, 2), cell(c, 3)), cell(c, 4)

@@ -342,3 +342,29 @@ def test_sequences_and_counts_in_order_over_files(spark, eight_files, tmp_path):
 def test_read_names_without_mate(spark):
     df = spark.createDataFrame([("r1/1",), ("x",), (None,)], "region_id string")
     assert [r[0] for r in sinks.trim_read_names(df).collect()] == ["r1", "", None]
+
+
+def test_one_large_split_is_numbered_by_many_tasks(spark):
+    """Lines given as a frame may all stand in one split; no task holds them all."""
+    def frame(some):
+        return spark.createDataFrame([(t, i) for i, t in enumerate(some)], "line string, i bigint").repartition(5).selectExpr(
+            "'f' as path", "line", "named_struct('path', 'f', 'block', 0L, 'line', i * 64) as _row")
+
+    text, blocks, n = [], [], 0
+    for i in range(3000):
+        if i % 7 == 0:
+            n += 1
+            text.append("###")
+        text.append(f"a{i}\tb{i}\t1")
+        blocks.append((f"a{i}", f"block_{n}"))
+    some = frame(text)
+    anchors = reports.read_synteny(spark, some, "anchor", "x.y")
+    assert rows(anchors, "ref_gene", "block_id") == sorted(blocks)
+    simple = reports.read_synteny(spark, frame([f"{'#' if i % 3 == 0 else ''}a{i}\tb\tc\td\t1" for i in range(3000)]), "simple", "x.y")
+    assert rows(simple, "ref_gene", "block_id") == sorted((f"a{i}..b", f"block_{k + 1}") for k, i in enumerate(i for i in range(3000) if i % 3))
+    for found in (anchors, simple):
+        assert "_b#" in found._jdf.queryExecution().executedPlan().toString() and "_row#" not in "".join(
+            x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning" in x)
+    numbered = lines.with_line_numbers(frame([f"l{i}" for i in range(500)]))
+    assert rows(numbered.select("line", "line_number")) == sorted((f"l{i}", i * 64 + 1) for i in range(500))
+    assert "_share" in numbered._jdf.queryExecution().executedPlan().toString()
