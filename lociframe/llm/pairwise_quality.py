@@ -5,8 +5,9 @@ preference pairs, a good one over a bad one, and the logistic loss on feature di
 weights. The threshold is the quantile of the training scores at the share of bad documents; the score
 is a logistic function of the distance to it, so that a fixed cut stands for that quantile.
 
-The fit uses at most ``PER_LABEL`` documents of each label, those of the lowest hash of the doc_id, and
-``PARTNERS`` partners each; only their feature vectors reach the driver.
+The fit uses every labelled document. They are dealt into groups with documents of both labels, pairs are formed
+inside a group, and each Newton step adds up the gradients and curvatures of all groups; only such sums, and
+the few scores around the threshold, reach the driver.
 """
 from __future__ import annotations
 
@@ -19,8 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .store import written
 
-PER_LABEL = 10_000
+#: About how many documents of the rarer label a group has, and at most twice as many of the other.
+GROUP = 10_000
+#: Scores that are put in order on the driver, once counts have told which ones surround the threshold.
+BRACKET = 10_000
 PARTNERS = 8
 CUT = 0.3
 
@@ -85,52 +90,114 @@ class Ranking:
     offset: float
 
 
-def fit_pairs(good: np.ndarray, bad: np.ndarray, share_bad: float, partners: int = PARTNERS, penalty: float = 1e-3, cut: float = CUT) -> Ranking:
-    """Newton steps on the logistic loss of good minus bad features, each document in ``partners`` pairs.
+def _pair_sums(good: np.ndarray, bad: np.ndarray, w: np.ndarray, scale: np.ndarray, partners: int) -> np.ndarray:
+    """Number, gradient and curvature of the pairs of a group at weights ``w``, each document in ``partners`` pairs, as one vector."""
+    k = len(w)
+    n = max(len(good), len(bad)) if len(good) and len(bad) else 0
+    step = np.arange(n)
+    out = np.zeros(1 + k + k * k)
+    for j in range(partners if n else 0):
+        pairs = (good[step % len(good)] - bad[(step * 7919 + j * 104_729 + j) % len(bad)]) / scale
+        p = 1 / (1 + np.exp(-np.clip(pairs @ w, -500, 500)))
+        out += np.concatenate([[n], pairs.T @ (p - 1), ((pairs * (p * (1 - p))[:, None]).T @ pairs).ravel()])
+    return out
+
+
+def _groups(labelled: DataFrame, n_good: int, n_bad: int, group: int) -> DataFrame:
+    """(group, quality, place, features): every document, in as many groups as the rarer label fills; where the other label is much
+    more frequent its documents are dealt further, and the rarer ones come to each of these parts."""
+    rare, frequent = sorted((n_good, n_bad))
+    groups = max(1, rare // group)
+    parts = max(1, -(-frequent // (groups * 2 * group)))
+    of = F.pmod(F.xxhash64("place"), F.lit(groups))
+    # The rarer label's rows are copied, the other's are dealt.
+    is_rare = F.col("quality") == int(n_good <= n_bad)
+    part = F.when(is_rare, F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).otherwise(F.array(F.pmod(F.xxhash64("place", F.lit(1)), F.lit(parts))))
+    return labelled.select(of.alias("g"), F.explode(part).alias("p"), "quality", "place", "features").select((F.col("g") * parts + F.col("p")).alias("group"), "quality", "place", "features")
+
+
+def _sums(groups: DataFrame, w: np.ndarray, scale: np.ndarray, partners: int) -> np.ndarray:
+    """``_pair_sums`` of all groups together."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("place", "ascending")])
+        features = np.array(table["features"].combine_chunks().flatten()).reshape(-1, len(w))
+        quality = np.array(table["quality"])
+        return pa.table({"at": np.arange(1 + len(w) + len(w) ** 2), "v": _pair_sums(features[quality == 1], features[quality == 0], w, scale, partners)})
 
-    Without both labels nothing can be ranked: the weights are zero and every score is 0.5.
+    found = groups.groupBy("group").applyInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").collect()
+    return np.array([r.v for r in found])
+
+
+def _threshold(scores: DataFrame, n_good: int, n_bad: int, share_bad: float, bracket: int) -> float:
+    """Middle between the score at which the weight of all scores from below reaches ``share_bad`` and the one before it.
+
+    Weights restore the share of bad documents among all labels. Counts of ever finer ranges lead to the few distinct scores that are read.
+    """
+    mass = np.array([(1 - share_bad) / n_good, share_bad / n_bad])
+    counted = written(scores.groupBy("s").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")), "quality-scores")
+    ends = counted.agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    low, high, n, before = ends.low, ends.high, ends.n, np.zeros(2)
+    inside = counted
+    while n > bracket and low < high:
+        width = (high - low) / 1024
+        if low + width <= low:
+            break
+        at = F.least(F.lit(1023), F.floor((F.col("s") - low) / width)).alias("b")
+        bins = inside.groupBy(at).agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("b").collect()
+        reached = np.cumsum([[r.good, r.bad] for r in bins], axis=0) + before
+        hit = min(int(np.searchsorted(reached @ mass, share_bad + 1e-12)), len(bins) - 1)
+        before = reached[hit - 1] if hit else before
+        if bins[hit].n == n:
+            break
+        low, high, n = bins[hit].low, bins[hit].high, bins[hit].n
+        inside = counted.filter((F.col("s") >= low) & (F.col("s") <= high))
+    rows = inside.orderBy("s").collect()
+    reached = np.cumsum([[r.good, r.bad] for r in rows], axis=0) + before
+    at = min(int(np.searchsorted(reached @ mass, share_bad + 1e-12)), len(rows) - 1)
+    # Equal scores follow each other: the one before is the same unless the first of its kind crosses the share.
+    earlier = reached[at - 1] if at else before
+    one = mass[0] if rows[at].good else mass[1]
+    if earlier @ mass + one < share_bad + 1e-12:
+        return rows[at].s
+    previous = rows[at - 1].s if at else counted.filter(F.col("s") < rows[at].s).agg(F.max("s")).first()[0]
+    return rows[at].s if previous is None else (rows[at].s + previous) / 2
+
+
+def fit(features: DataFrame, labels: DataFrame, group: int = GROUP, partners: int = PARTNERS, penalty: float = 1e-3, cut: float = CUT, bracket: int = BRACKET) -> Ranking:
+    """The ranking learned from (doc_id, quality) labels of featurized documents: Newton steps on the logistic loss of good minus bad features.
+
+    Repeated labels of a document count once, at their lowest; labels other than 0 and 1 are left out,
+    as are null ids. Without both labels nothing can be ranked: the weights are zero and every score is 0.5.
     """
     k = len(FEATURES)
-    if not len(good) or not len(bad):
+    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    shares = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
+    labelled = written(features.join(known, "doc_id").select("quality", F.xxhash64("doc_id", "features").alias("place"), "features"), "quality-labelled")
+    found = {r.quality: r["count"] for r in labelled.groupBy("quality").count().collect()}
+    n_good, n_bad = found.get(1, 0), found.get(0, 0)
+    if not n_good or not n_bad:
         return Ranking((0.0,) * k, 0.0)
-    n = max(len(good), len(bad))
-    step = np.arange(n)
-    scale = np.maximum(np.concatenate([good, bad]).std(axis=0), 1e-6)
-    pairs = np.concatenate([(good[step % len(good)] - bad[(step * 7919 + j * 104_729 + j) % len(bad)]) / scale for j in range(partners)])
+    value = [F.get("features", F.lit(i)) for i in range(k)]
+    spread = labelled.agg(*[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(value)]).first()
+    scale = np.maximum(np.array(spread, float), 1e-6)
+    groups = _groups(labelled, n_good, n_bad, group)
     w = np.zeros(k)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(pairs @ w, -500, 500)))
-        gradient = pairs.T @ (p - 1) / len(pairs) + penalty * w
-        curvature = (pairs * (p * (1 - p))[:, None]).T @ pairs / len(pairs) + penalty * np.eye(k)
+        sums = _sums(groups, w, scale, partners)
+        gradient = sums[1 : 1 + k] / sums[0] + penalty * w
+        curvature = sums[1 + k :].reshape(k, k) / sums[0] + penalty * np.eye(k)
         move = np.linalg.solve(curvature, gradient)
         w -= move
         if np.abs(move).max() < 1e-8:
             break
     w = w / scale
-    scores = np.concatenate([good @ w, bad @ w])
-    # Both labels are sampled apart; their weights restore the share of bad documents.
-    mass = np.concatenate([np.full(len(good), (1 - share_bad) / len(good)), np.full(len(bad), share_bad / len(bad))])
-    order = np.argsort(scores, kind="stable")
-    at = min(int(np.searchsorted(np.cumsum(mass[order]), share_bad + 1e-12)), len(order) - 1)
-    below = max(at - 1, 0)
-    threshold = (scores[order][at] + scores[order][below]) / 2
+    total = F.lit(0.0)
+    for v, x in zip(value, w, strict=True):
+        total = total + v * float(x)
+    threshold = _threshold(labelled.select("quality", total.alias("s")), n_good, n_bad, shares[0] / (shares[0] + shares[1]), bracket)
     return Ranking(tuple(map(float, w)), float(np.log(cut / (1 - cut)) - threshold))
 
 
-def fit(features: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranking:
-    """The ranking learned from (doc_id, quality) labels of featurized documents.
-
-    Repeated labels of a document count once, at their lowest; labels other than 0 and 1 are left out,
-    as are null ids. ``per_label`` bounds the documents of each label that the fit sees.
-    """
-    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    shares = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    labelled = features.join(known, "doc_id")
-    sides = {q: np.array([r.features for r in labelled.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(per_label).select("features").collect()]) for q in (0, 1)}
-    total = sum(shares.values())
-    return fit_pairs(sides[1], sides[0], shares.get(0, 0) / total if total else 0.0)
-
-
 def score(ranking: Ranking) -> Column:
     """Score of 0 to 1 of a featurized document; at least the cut from the threshold up."""
     if not any(ranking.weights):

@@ -146,3 +146,25 @@ def test_lm_scores_without_targets_or_rows(spark, rows):
     none = spark.createDataFrame([], "doc_id long")
     assert lm_scoring.cross_entropy_difference(spark.createDataFrame([], SCHEMA), none).count() == 0
     assert lm_scoring.cross_entropy_difference(frame(spark, rows), none).filter(F.col("difference").isNotNull()).count() > 0
+
+
+def test_every_labelled_document_teaches(spark):
+    """More labelled documents than a group holds: all of them move the weights, and the threshold is that of all scores."""
+    import numpy as np
+    r = np.random.default_rng(4)
+    k = len(pairwise_quality.FEATURES)
+    for n_good, n_bad in ((700, 300), (1500, 40)):
+        table = np.round(r.random((n_good + n_bad, k)), 3)
+        table[:n_good, 0] *= 0.7
+        features = spark.createDataFrame([(i, [float(x) for x in f]) for i, f in enumerate(table)], "doc_id long, features array<double>")
+        labels = spark.createDataFrame([(i, int(i < n_good)) for i in range(len(table))], "doc_id long, quality int")
+        for group, bracket in ((50, 20), (10_000, 10_000)):
+            ranking = pairwise_quality.fit(features, labels, group, bracket=bracket)
+            scores = table @ np.array(ranking.weights) + ranking.offset
+            below = scores < np.log(0.3 / 0.7)
+            assert abs(int(below.sum()) - n_bad) <= 1
+            assert below[n_good:].mean() > below[:n_good].mean()
+    used = pairwise_quality._groups(features.join(labels, "doc_id").withColumn("place", F.col("doc_id")), n_good, n_bad, 10)
+    assert used.select("place").distinct().count() == n_good + n_bad
+    sides = used.groupBy("group").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")).collect()
+    assert len(sides) > 4 and all(x.good and x.bad for x in sides)
