@@ -31,21 +31,26 @@ def segment_gaps(segments: DataFrame, keys: Sequence[str], bin_size: int = POSIT
     Each gap carries ``start0``/``end0`` (half-open), its number among all consecutive pairs and
     the strand of the segment before it. Equal segments are counted once with their number, and
     order is worked out bin by bin, the next bin's first segment being carried over, so one
-    transcript with very many segments spreads over several tasks.
+    transcript with very many segments spreads over several tasks. Both levels read the same counts and filters, so
+    Spark shuffles them once, and only bins of keys with several bins are joined back. Segments without key or start are left out.
     """
     keys = list(keys)
-    single = segments.groupBy(*keys, "start", "end").agg(F.count(F.lit(1)).alias("_n"), F.min("strand").alias("strand")).withColumn(
-        "_bin", F.floor(F.col("start") / bin_size))
+    place = [*keys, "_bin"]
+    for known in (*keys, "start"):
+        segments = segments.filter(F.col(known).isNotNull())
+    counted = segments.withColumn("_bin", F.floor(F.col("start") / bin_size)).groupBy(*place, "start", "end", "strand").agg(F.count(F.lit(1)).alias("_n"))
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
-    bins = single.groupBy(*keys, "_bin").agg(F.min("start").alias("_first"), F.sum("_n").alias("_count")).select(
-        *keys, "_bin", F.lead("_first").over(by_bin).alias("_next_bin"),
-        F.coalesce(F.sum("_count").over(by_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys, "_bin").orderBy("start", "end")
+    bins = counted.groupBy(*place).agg(F.min("start").alias("_first"), F.sum("_n").alias("_count")).select(
+        *place, F.lead("_first").over(by_bin).alias("_next_bin"),
+        F.coalesce(F.sum("_count").over(by_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")).filter("_next_bin is not null or _before > 0")
+    # The order that the segments of a bin are united in is the one their window needs.
+    single = counted.repartition(*place).groupBy(*place, "start", "end").agg(F.sum("_n").alias("_n"), F.min("strand").alias("strand"))
+    inside = Window.partitionBy(*place).orderBy("start", "end")
     placed = single.select(
         "*", F.lead("start").over(inside).alias("_next"), F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
-    return placed.join(bins, [*keys, "_bin"], "left").select(
+    return placed.join(bins, place, "left").select(
         *keys, F.col("end").alias("start0"), (F.coalesce("_next", "_next_bin") - 1).alias("end0"), "strand",
-        (F.col("_before") + F.col("_upto")).alias("gap_number")).filter("end0 > start0")
+        (F.coalesce("_before", F.lit(0)) + F.col("_upto")).alias("gap_number")).filter("end0 > start0")
 
 
 def transcript_genes(features: DataFrame) -> DataFrame:
@@ -69,11 +74,15 @@ def introns(
     parts = features.filter(F.col("type") == feature).select(
         "species", "seqid", "start", "end", "strand", attribute.alias("_attr"), F.explode("parents").alias("transcript_id"))
     genes = transcript_genes(features)
-    named = parts.join(genes, ["species", "transcript_id"], "left").select(
-        "species", "seqid", "start", "end", "strand", "transcript_id", F.coalesce("_attr", "gene_id").alias("gene_id"))
     if group_by == "gene_pooled":
-        named = named.withColumn("transcript_id", F.coalesce("gene_id", "transcript_id"))
-    of_transcript = named.groupBy("species", "transcript_id").agg(F.min("gene_id").alias("gene_id"))
+        named = parts.join(genes, ["species", "transcript_id"], "left").withColumn("gene_id", F.coalesce("_attr", "gene_id")).withColumn(
+            "transcript_id", F.coalesce("gene_id", "transcript_id"))
+        of_transcript = named.groupBy("species", "transcript_id").agg(F.min("gene_id").alias("gene_id"))
+    else:
+        # The least gene of a transcript's parts: their attributes, or its own gene for parts without one.
+        named = parts
+        of_transcript = parts.groupBy("species", "transcript_id").agg(F.min("_attr").alias("_attr"), F.bool_or(F.col("_attr").isNull()).alias("_plain")).join(
+            genes, ["species", "transcript_id"], "left").select("species", "transcript_id", F.least("_attr", F.when(F.col("_plain"), F.col("gene_id"))).alias("gene_id"))
     found = segment_gaps(named, ["species", "transcript_id", "seqid"]).withColumnRenamed("gap_number", "intron_number")
     rows = found.join(of_transcript, ["species", "transcript_id"]).withColumn("length", F.col("end0") - F.col("start0"))
     rows = rows.withColumn("is_short_intron", F.col("length").between(min_short, max_short)).withColumn("source_feature", F.lit(feature))
@@ -120,11 +129,21 @@ def interval_at_share(intervals: DataFrame, genome: DataFrame) -> DataFrame:
 
 
 def unique_introns(rows: DataFrame) -> DataFrame:
-    """One row per intron locus with the number of its transcripts and genes; ``intron_members`` has their rows."""
+    """One row per intron locus with the number of its transcripts and genes; ``intron_members`` has their rows.
+
+    Ids of all kinds are made distinct in one hash aggregate; what follows from the locus itself is worked out afterwards,
+    so that the rows on the way stay short.
+    """
     keys = ["species", "seqid", "start0", "end0", "strand"]
-    rest = ["start1", "end1", "length", "source_feature", "is_short_intron", "at_content", "is_at_rich"]
-    return rows.groupBy(*keys).agg(
-        *[F.min(c).alias(c) for c in (*rest, "intron_number")], F.count_distinct("transcript_id").alias("transcript_count"), F.count_distinct("gene_id").alias("gene_count"))
+    rest = ["is_short_intron", "at_content", "is_at_rich", "intron_number"]
+    least = [F.min(c).alias(c) for c in rest]
+    kinds = F.array(*[F.struct(F.lit(k).alias("_kind"), F.col(c).alias("_id")) for k, c in enumerate(("transcript_id", "gene_id", "source_feature"))])
+    ids = rows.select(*keys, *rest, F.inline(kinds)).groupBy(*keys, "_kind", "_id").agg(*least)
+    of = lambda k: F.when(F.col("_kind") == k, F.col("_id"))
+    loci = ids.groupBy(*keys).agg(*least, F.min(of(2)).alias("source_feature"), F.count(of(0)).alias("transcript_count"), F.count(of(1)).alias("gene_count"))
+    return loci.select(
+        *keys, (F.col("start0") + 1).alias("start1"), F.col("end0").alias("end1"), (F.col("end0") - F.col("start0")).alias("length"), "source_feature",
+        "is_short_intron", "at_content", "is_at_rich", "intron_number", "transcript_count", "gene_count")
 
 
 def intron_members(rows: DataFrame) -> DataFrame:
@@ -153,11 +172,14 @@ def intron_sequence_summary(unique: DataFrame) -> DataFrame:
         F.sum("length").alias("total_intron_bp"), F.avg("length").alias("mean_intron_length"), F.avg("at_content").alias("mean_at_content"))
 
 
-def gff_structure(features: DataFrame, genome_lengths: DataFrame | None = None, compat: bool = False) -> dict[str, DataFrame]:
+def gff_structure(
+    features: DataFrame, genome_lengths: DataFrame | None = None, compat: bool = False, only: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
     """The six structure tables of every species: metrics, distributions, sequences, feature types, checks, histograms.
 
     Exon and CDS counts are taken over all transcripts, zeros included; ``compat`` counts over
-    every parent that has children instead. ``genome_lengths`` has species, seqid, length.
+    every parent that has children instead. ``genome_lengths`` has species, seqid, length. ``only`` names the
+    tables that are wanted: medians run jobs of their own, which the other tables do without.
     """
     rows = features.filter("start is not null and end is not null").withColumn("length", F.greatest(F.col("end") - F.col("start") + 1, F.lit(0)))
     is_transcript = F.col("type").isin(*TRANSCRIPT_TYPES) | F.col("type").endswith("RNA")
@@ -172,41 +194,42 @@ def gff_structure(features: DataFrame, genome_lengths: DataFrame | None = None,
         F.count_if(F.col("type") == "exon").alias("exons"), F.count_if(F.col("type") == "CDS").alias("cds"))
     with_counts = transcripts.join(per_parent, ["species", "transcript_id"], "left").na.fill(0, ["exons", "cds"])
     counted = per_parent if compat else with_counts
-    chosen = children.filter("type in ('exon', 'CDS')").join(with_counts.select("species", "transcript_id", "exons"), ["species", "transcript_id"]).filter(
-        (F.col("type") == "exon") | (F.col("exons") == 0))
-    gaps = segment_gaps(chosen, ["species", "transcript_id", "seqid"]).select(
-        "species", "transcript_id", "seqid", (F.col("end0") - F.col("start0")).alias("length")).join(
-        transcripts.select("species", "transcript_id", "gene_id"), ["species", "transcript_id"])
+    # Gaps of exons and of CDS parts are found apart; those of CDS parts count where a transcript has no exons.
+    gaps = segment_gaps(children.filter("type in ('exon', 'CDS')"), ["species", "transcript_id", "seqid", "type"]).select(
+        "species", "transcript_id", "seqid", "type", (F.col("end0") - F.col("start0")).alias("length")).join(
+        with_counts.select("species", "transcript_id", "gene_id", "exons"), ["species", "transcript_id"]).filter(
+        (F.col("type") == "exon") | (F.col("exons") == 0)).drop("type", "exons")
     isoforms = transcripts.filter("gene_id is not null").groupBy("species", "gene_id").agg(F.count(F.lit(1)).alias("n"))
 
-    # Every measured number as one long table, so that means and medians come from one pass each.
-    def numbers(df: DataFrame, kind: str, value: str) -> DataFrame:
-        return df.select("species", F.lit(kind).alias("kind"), F.col(value).cast("bigint").alias("v"))
-
-    measured = numbers(genes, "gene", "length").unionByName(numbers(transcripts, "transcript", "length")).unionByName(
-        numbers(rows.filter("type = 'exon'"), "exon", "length")).unionByName(numbers(rows.filter("type = 'CDS'"), "cds", "length")).unionByName(
-        numbers(gaps, "intron", "length")).unionByName(numbers(counted, "exons_per", "exons")).unionByName(numbers(isoforms, "isoforms", "n"))
-    stats = measured.groupBy("species", "kind").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.count_if(F.col("v") == 1).alias("ones"),
-                                                    F.count_if(F.col("v") > 1).alias("more"))
-    medians = grouped_median(measured.filter("kind in ('gene', 'intron')"), ["species", "kind"], "v", "median")
-    joined = stats.join(medians, ["species", "kind"], "left")
-
-    def of(kind: str, column: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.col(column)))
-
-    def count_of(kind: str, column: str = "n") -> Column:
-        return F.coalesce(of(kind, column), F.lit(0)).cast("double")
-
-    records = rows.groupBy("species").agg(F.count(F.lit(1)).cast("double").alias("feature_records"))
-    wide = joined.groupBy("species").agg(
-        count_of("gene").alias("genes"), count_of("transcript").alias("transcripts"), count_of("exon").alias("exons"), count_of("cds").alias("cds_features"),
-        count_of("intron").alias("introns"), count_of("exons_per", "ones").alias("single_exon_transcripts"), count_of("exons_per", "more").alias("multi_exon_transcripts"),
-        count_of("isoforms", "more").alias("genes_with_isoforms"), of("gene", "mean").alias("mean_gene_length"), of("gene", "median").alias("median_gene_length"),
-        of("transcript", "mean").alias("mean_transcript_length"), of("exon", "mean").alias("mean_exon_length"), of("cds", "mean").alias("mean_cds_feature_length"),
-        of("intron", "mean").alias("mean_intron_length"), of("intron", "median").alias("median_intron_length"),
-        of("exons_per", "mean").alias("mean_exons_per_transcript"), of("isoforms", "mean").alias("mean_isoforms_per_gene"))
-    both = records.join(wide, "species", "left")
-    metrics = both.unpivot("species", [c for c in both.columns if c != "species"], "metric", "value")
+    def metric_rows() -> DataFrame:
+        # Every measured number as one long table, so that means and medians come from one pass each.
+        def numbers(df: DataFrame, kind: str, value: str) -> DataFrame:
+            return df.select("species", F.lit(kind).alias("kind"), F.col(value).cast("bigint").alias("v"))
+
+        measured = numbers(genes, "gene", "length").unionByName(numbers(transcripts, "transcript", "length")).unionByName(
+            numbers(rows.filter("type = 'exon'"), "exon", "length")).unionByName(numbers(rows.filter("type = 'CDS'"), "cds", "length")).unionByName(
+            numbers(gaps, "intron", "length")).unionByName(numbers(counted, "exons_per", "exons")).unionByName(numbers(isoforms, "isoforms", "n"))
+        stats = measured.groupBy("species", "kind").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.count_if(F.col("v") == 1).alias("ones"),
+                                                        F.count_if(F.col("v") > 1).alias("more"))
+        medians = grouped_median(measured.filter("kind in ('gene', 'intron')"), ["species", "kind"], "v", "median")
+        joined = stats.join(medians, ["species", "kind"], "left")
+
+        def of(kind: str, column: str) -> Column:
+            return F.max(F.when(F.col("kind") == kind, F.col(column)))
+
+        def count_of(kind: str, column: str = "n") -> Column:
+            return F.coalesce(of(kind, column), F.lit(0)).cast("double")
+
+        records = rows.groupBy("species").agg(F.count(F.lit(1)).cast("double").alias("feature_records"))
+        wide = joined.groupBy("species").agg(
+            count_of("gene").alias("genes"), count_of("transcript").alias("transcripts"), count_of("exon").alias("exons"), count_of("cds").alias("cds_features"),
+            count_of("intron").alias("introns"), count_of("exons_per", "ones").alias("single_exon_transcripts"), count_of("exons_per", "more").alias("multi_exon_transcripts"),
+            count_of("isoforms", "more").alias("genes_with_isoforms"), of("gene", "mean").alias("mean_gene_length"), of("gene", "median").alias("median_gene_length"),
+            of("transcript", "mean").alias("mean_transcript_length"), of("exon", "mean").alias("mean_exon_length"), of("cds", "mean").alias("mean_cds_feature_length"),
+            of("intron", "mean").alias("mean_intron_length"), of("intron", "median").alias("median_intron_length"),
+            of("exons_per", "mean").alias("mean_exons_per_transcript"), of("isoforms", "mean").alias("mean_isoforms_per_gene"))
+        both = records.join(wide, "species", "left")
+        return both.unpivot("species", [c for c in both.columns if c != "species"], "metric", "value")
 
     def histogram(df: DataFrame, category: str, value: str, size: int, zero: bool = False) -> DataFrame:
         return length_histogram(df.select("species", F.lit(category).alias("category"), F.col(value).alias("_v")), ["species", "category"], "_v", size, zero)
@@ -227,15 +250,15 @@ def gff_structure(features: DataFrame, genome_lengths: DataFrame | None = None,
     tx, gene, seq, length = F.col("transcript_id"), F.col("gene_id"), F.col("seqid"), F.col("length")
     parts = rows.filter("type in ('exon', 'CDS')")
     isoform_rows = isoforms.join(genes.select("species", "gene_id", "seqid"), ["species", "gene_id"], "left")
-    tables = [
+    spreads = [
         spread(genes, "gene_length", gene, nothing, seq, length, None), spread(transcripts, "mRNA_length", tx, gene, seq, length, None),
         spread(transcripts, "transcript_length", tx, gene, seq, length, None, "alias_of_mRNA_length"),
         spread(with_counts, "exons_per_transcript", tx, gene, seq, None, F.col("exons")),
         spread(with_counts, "cds_features_per_transcript", tx, gene, seq, None, F.col("cds")),
         *[spread(parts.filter(F.col("type") == t), f"{t}_length", F.col("id"), F.when(F.size("parents") > 0, F.array_join("parents", ";")), seq, length, None) for t in ("exon", "CDS")],
         spread(gaps, "intron_length", tx, gene, seq, length, None), spread(isoform_rows, "isoforms_per_gene", gene, nothing, seq, None, F.col("n"))]
-    distributions = tables[0]
-    for more in tables[1:]:
+    distributions = spreads[0]
+    for more in spreads[1:]:
         distributions = distributions.unionByName(more)
 
     by_seq = genes.groupBy("species", "seqid").agg(
@@ -250,11 +273,14 @@ def gff_structure(features: DataFrame, genome_lengths: DataFrame | None = None,
         "species", "seqid", "gene_count", "transcript_count", "gene_bp", "mean_gene_length",
         F.when(span > 0, F.col("gene_count") / (span / 1000000)).alias("gene_density_per_mb"))
 
-    types = rows.groupBy("species", F.col("type").alias("feature_type")).agg(
-        F.count(F.lit(1)).alias("count"), F.sum("length").alias("total_bp"), F.avg("length").alias("mean_length"))
-    types = types.join(grouped_median(rows.withColumnRenamed("type", "feature_type"), ["species", "feature_type"], "length", "median_length"), ["species", "feature_type"])
-    return {"metrics": metrics, "distributions": distributions, "sequences": sequences, "feature_types": types,
-            "checks": structure_checks(rows, genome_lengths), "histograms": histograms}
+    def feature_types() -> DataFrame:
+        types = rows.groupBy("species", F.col("type").alias("feature_type")).agg(
+            F.count(F.lit(1)).alias("count"), F.sum("length").alias("total_bp"), F.avg("length").alias("mean_length"))
+        return types.join(grouped_median(rows.withColumnRenamed("type", "feature_type"), ["species", "feature_type"], "length", "median_length"), ["species", "feature_type"])
+
+    tables = {"metrics": metric_rows, "distributions": lambda: distributions, "sequences": lambda: sequences, "feature_types": feature_types,
+              "checks": lambda: structure_checks(rows, genome_lengths), "histograms": lambda: histograms}
+    return {name: make() for name, make in tables.items() if only is None or name in only}
 
 
 def failed_names(rows: DataFrame) -> DataFrame:

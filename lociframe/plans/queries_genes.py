@@ -112,7 +112,7 @@ def intron_members(t: Source) -> DataFrame:
         union all select 'mean_isoforms_per_gene', round(avg(n), 6) from iso)
 """)
 def structure_metrics(t: Source) -> DataFrame:
-    metrics = genes.gff_structure(_features(t))["metrics"]
+    metrics = genes.gff_structure(_features(t), only=["metrics"])["metrics"]
     return rounded(metrics.select("metric", "value"), "value")
 
 
@@ -123,7 +123,7 @@ def structure_metrics(t: Source) -> DataFrame:
           union all select o_orderkey, 0, 1, 0, 0 from orders) group by k % 5
 """)
 def structure_sequences(t: Source) -> DataFrame:
-    found = genes.gff_structure(_features(t))["sequences"].drop("species")
+    found = genes.gff_structure(_features(t), only=["sequences"])["sequences"].drop("species")
     return rounded(found, "mean_gene_length", "gene_density_per_mb")
 
 
@@ -137,7 +137,7 @@ def structure_sequences(t: Source) -> DataFrame:
     select *, cast(sum(raw_count) over (partition by category) as bigint) as total_count, round(raw_count / sum(raw_count) over (partition by category) * 100, 5) as percent from c
 """)
 def structure_histograms(t: Source) -> DataFrame:
-    found = genes.gff_structure(_features(t))["histograms"].drop("species")
+    found = genes.gff_structure(_features(t), only=["histograms"])["histograms"].drop("species")
     return rounded(found, "percent", digits=5)
 
 
@@ -152,7 +152,7 @@ def structure_histograms(t: Source) -> DataFrame:
         union all select 'seqids_in_genome', 'pass', 'not_tested')
 """)
 def structure_checks(t: Source) -> DataFrame:
-    return genes.gff_structure(_features(t))["checks"].drop("species")
+    return genes.gff_structure(_features(t), only=["checks"])["checks"].drop("species")
 
 
 @query("""

@@ -238,3 +238,43 @@ def test_gap_columns_of_long_rows_match_a_loop(spark):
         assert rows(sequences.trim_alignment_columns(df, limit)) == sorted(expected)
     plan = sequences.trim_alignment_columns(df, 50.0)._jdf.queryExecution().optimizedPlan().toString()
     assert "split(seq" not in plan
+
+
+def test_wanted_tables_run_no_jobs_of_others(spark, models):
+    from lociframe.plans import chains
+
+    features, _ = models
+    context = spark.sparkContext
+    context.setJobGroup("building", "tables named by only")
+    histograms = genes.gff_structure(features, only=["histograms"])
+    introns = chains.intron_features(features, only=["unique", "members"])
+    jobs = context.statusTracker().getJobIdsForGroup("building")
+    context.setJobGroup("", "")
+    assert list(histograms) == ["histograms"] and list(introns) == ["unique", "members"] and not jobs
+
+
+def test_exons_come_before_cds_parts(spark, models):
+    features, _ = models
+    both = features.filter("type <> 'exon'").unionByName(features.filter("type = 'exon'").limit(0))
+    exons = {(r.category, r.bin_start): r.raw_count for r in genes.gff_structure(features, only=["histograms"])["histograms"].collect()}
+    parts = {(r.category, r.bin_start): r.raw_count for r in genes.gff_structure(both, only=["histograms"])["histograms"].collect()}
+    assert exons["intron_length", 10] == 1 and sum(n for (c, _), n in parts.items() if c == "intron_length") == genes.introns(both, "CDS").count()
+
+
+def test_segments_without_a_start_shift_no_numbers(spark):
+    segments = spark.createDataFrame([("t", None, 5, "+"), ("t", 10, 20, "-"), ("t", 10, 20, "+"), ("t", 30, 40, None)], "tx string, start bigint, end bigint, strand string")
+    out = genes.segment_gaps(segments, ["tx"])
+    assert rows(out, "start0", "end0", "strand", "gap_number") == [(20, 29, "+", 2)]
+
+
+def test_unique_introns_of_several_features(spark):
+    columns = ("species string, seqid string, start0 bigint, end0 bigint, strand string, transcript_id string, gene_id string, intron_number bigint, "
+               "source_feature string, is_short_intron boolean, at_content double, is_at_rich boolean")
+    found = spark.createDataFrame([
+        ("sp", "c", 5, 9, "+", "t1", "g1", 2, "exon", False, 0.5, False), ("sp", "c", 5, 9, "+", "t1", "g1", 1, "CDS", False, 0.5, False),
+        ("sp", "c", 5, 9, "+", "t2", None, 3, "exon", False, 0.5, False), ("sp", "c", 5, 9, None, "t2", "g1", 3, "exon", False, None, None)], columns)
+    out = genes.unique_introns(found)
+    assert rows(out, "strand", "start1", "end1", "length", "source_feature", "intron_number", "at_content", "transcript_count", "gene_count") == [
+        (None, 6, 9, 4, "exon", 3, None, 1, 1), ("+", 6, 9, 4, "CDS", 1, 0.5, 2, 1)]
+    # Each row is copied once per id, not once more for the other columns.
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
