@@ -171,3 +171,23 @@ def test_methylation_totals_equal_the_profile(spark, scheme):
         profile = regions.methylation_profile(table, points, scheme, 300, 2, contexts)
         assert rows(regions.methylation_totals(table, points, scheme, 300, 2, contexts), *columns) == rows(regions.methylation_summary(profile), *columns)
     assert regions.methylation_totals(table.limit(0), points, scheme).count() == 0
+
+
+def test_region_synteny_counts_all_pairs(spark):
+    from lociframe.operators import regions
+
+    r = random.Random(5)
+    sets = ["target", "background", "target", "other"]
+    places = [(sets[i % 4], i // 2, r.choice(["c1", "c2", "c3"]), s, s + r.randrange(1, 40)) for i in range(60) for s in [r.randrange(0, 200_000, 17)]]
+    places.append(("target", 999, None, 5, 9))
+    genes = [(r.choice(["c1", "c2"]), s, s + r.randrange(1, 5000), f"g{i % 50}") for i in range(150) for s in [r.randrange(0, 200_000, 13)]]
+    links = {f"g{i}": i % 4 for i in range(45)}
+    found = regions.region_synteny(
+        spark.createDataFrame(places, "region_set string, region_id int, seqid string, start0 bigint, end0 bigint"),
+        spark.createDataFrame(genes, "seqid string, start0 bigint, end0 bigint, gene_id string"), spark.createDataFrame(list(links.items()), "gene_id string, links bigint"))
+    pairs = [(p, g) for p in places for g in genes if links.get(g[3]) and p[2] == g[0] and p[3] < g[2] and g[1] < p[4]]
+    got = {x.region_set: (x.regions, x.synteny_links, x.covered_target_regions, x.syntenic_genes) for x in found.collect()}
+    for name in set(sets):
+        mine = [(p, g) for p, g in pairs if p[0] == name]
+        expected = (sum(p[0] == name for p in places), sum(links[g[3]] for _, g in mine), len({p[1] for p, _ in mine}), len({g[3] for _, g in mine}))
+        assert got[name][:3] == expected[:3] and (name == "other" or got[name][3] == expected[3])
