@@ -13,6 +13,7 @@ document may span chunks; its CRC is combined from the CRCs of its pieces withou
 """
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,13 @@ BLOCK_IDS = 65_536
 #: Words of one generation of a worker's memory; it keeps two, so frequent words stay.
 MEMORY_WORDS = 400_000
 
+#: Letters of ASCII and Latin-1.
+_LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+#: Marks that are a piece of their own after letters: those of ASCII but the apostrophe, which may begin a contraction.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bytes of characters beyond Latin-1, where marks that compose with letters are.
+_BEYOND = re.compile(b"[\xC4-\xFF]")
+
 CHUNKS = "shard int, chunk int, first long, n_ids int, planes array<binary>, pieces array<struct<row: long, doc_id: long, n: int>>"
 _PIECES = pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32())]))
 
@@ -36,25 +44,35 @@ class _Ids(dict):
     """Ids of words as little-endian 32-bit bytes, found once per word while it is remembered.
 
     The tokenizer drops white space and case, so ids of a text are those of its words one after another.
-    ASCII texts are lower-cased at once, unless they may name a special token; in others only ASCII words
-    are, as the tokenizer composes characters before it drops case. A plain ASCII word goes straight
-    to the tokenizer's model, closing marks after it are a piece of their own; all else takes the whole way.
+    Texts of ASCII and Latin-1, where nothing composes, lose the case of ASCII letters at once, unless they may name a special
+    token; in others only ASCII words do, as the tokenizer composes characters before it drops case. A word of such letters alone,
+    where each capital has one small letter, goes straight to the tokenizer's model under
+    its byte names; closing marks after it are a piece of their own; all else takes the whole way.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
+        self.names = {ord(c): "".join(p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+
+    def _plain(self, core: bytes) -> str | None:
+        """A word as the model takes it, where that is plain to see."""
+        if core.isalpha():  # ASCII letters
+            return core.decode() if core.islower() else None
+        text = core.decode() if not core.isascii() else ""
+        return text.lower().translate(self.names) if _LATIN.fullmatch(text) else None
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            core = word.rstrip(b".,") if word[-1] in b".," else word
-            if not (core.isalpha() and core.islower()):
+            core = word.rstrip(_MARKS)
+            plain = self._plain(core)
+            if plain is None:
                 ids = self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
             elif len(core) == len(word):
-                ids = self._packed([t.id for t in self.model.tokenize(word.decode())])
+                ids = self._packed([t.id for t in self.model.tokenize(plain)])
             else:
-                ids = self[core] + self._packed(self.tokenizer.encode(word[len(core) :].decode(), add_special_tokens=False).ids)
+                ids = self[core] + self[word[len(core) :]]
         if len(self) >= MEMORY_WORDS:
             self.older = dict(self)
             self.clear()
@@ -69,7 +87,7 @@ class _Ids(dict):
         """Ids of a whole text."""
         if b"<|" in text:
             words = text.split()
-        elif text.isascii():
+        elif text.isascii() or not _BEYOND.search(text):
             words = text.lower().split()
         else:
             words = [w.lower() if w.isascii() else w for w in text.split()]

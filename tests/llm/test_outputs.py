@@ -299,3 +299,30 @@ def test_latin_words_get_the_ids_of_whole_texts():
         pool = odd if k % 3 else letters
         text = " ".join("".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", ",", "..."]) for _ in range(rng.randint(1, 9)))
         assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_marks_after_letters_are_encoded_once():
+    """Letters with marks behind them take the short way, whatever the marks; a contraction is left to the tokenizer."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.inner, self.model, self.pre_tokenizer, self.calls = tokenizer, tokenizer.model, tokenizer.pre_tokenizer, 0
+
+        def encode(self, *args, **options):
+            self.calls += 1
+            return self.inner.encode(*args, **options)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, counted = Tokenizer.from_file(path), Counted(Tokenizer.from_file(path))
+    ids, rng = bitplanes._Ids(counted), random.Random(6)
+    marks = ["", ".", ",", "***", "$$$", "###", "!!", "),", "<|", "|>", "_", "=", "^", "`", "~"]
+    words = ["".join(rng.choice("abcdeéñÜß") for _ in range(rng.randint(2, 9))) + rng.choice(marks) for _ in range(2000)]
+    text = " ".join(w for w in words if "<" not in w)
+    assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert counted.calls <= len(marks)
+    for text in [*words, "it's", "ABC's.", "l'É'", "x'.", "É'S***", "≠", "a<|x|>", "<|endoftext|>...", "ÀB'll", "¿Qué?", "«Él»", "º1ª.", "µ.", "Å.", "Å."]:
+        assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
