@@ -9,8 +9,9 @@ wherever it starts and whatever its marks.
 1. Sentences get band keys from MinHash values, anchors their digest; keys that two documents hold mark candidates.
 2. A second pass places the candidates, and looks up the shingle sets of those whose key several different
    paragraphs hold. Equal paragraphs are one from here on.
-3. Different paragraphs of one key are verified exactly on Jaccard similarity: keys of few paragraphs by
-   their pairs, keys of many by a set join in blocks, whose pairs never become rows. Links give components.
+3. Different paragraphs of one key are verified exactly on Jaccard similarity, breadth first: each is compared with
+   those of its key that no link has reached yet, so pairs never become rows. Keys of very many go through a set join
+   in blocks. Keys with the same paragraphs are compared once. Links give components.
 4. A component that reaches several documents stays in one; its spans in the others are merged within each
    document. Only at the two ends of a merged run the texts are read again: the run grows word by word as
    long as the words there are those at the place that stays. ``PASSAGE - MIN_WORDS`` words to each side
@@ -32,16 +33,18 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .jaccard_join import MASK_BITS, PERCENT, SHINGLE, join_clusters
-from .store import written
+from .jaccard_join import PERCENT, SHINGLE, join_clusters
+from .store import emptied, written
 
 MIN_WORDS = 16
 #: Common passages of so many words are always found.
 PASSAGE = 32
 RECALL = 0.98
 MAX_BANDS = 4
-#: Paragraphs of a key up to which their pairs are listed.
-FEW = 16
+#: Paragraphs of a key up to which one task compares them.
+MOST = 4096
+#: Bits of the masks of paragraphs that the second pass keeps.
+WANTED_BITS = 1 << 26
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
@@ -72,7 +75,7 @@ class Paragraphs:
     """Paragraphs of a slice: owner row, first and end word, digest, shingle ranges; sentences first, then ``n_anchors`` anchors."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, min_words: int, size: int, passage: int = PASSAGE):
-        self.lowered = W.LOWER[data]
+        self.lowered, self.min_words = W.LOWER[data], min_words
         starts, ends, rows = W.spans(self.lowered, offsets, W.SPACES)
         n = len(starts)
         self.starts, self.ends, self.rows = starts, ends, rows
@@ -120,7 +123,7 @@ class Paragraphs:
         return np.flatnonzero((sliding(np.concatenate([edge, lowest, edge]), width, np.maximum) == self.shingles) & (self.shingles > 0))
 
     def keys(self, n_bands: int, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and the paragraph of each: bands of sentences, one key of an anchor."""
+        """Keys and the paragraph of each: bands of sentences, one key of an anchor and of a sentence as long as one, which may be an anchor elsewhere."""
         n = len(self.first) - self.n_anchors
         at = np.column_stack([self.low[:n], self.high[:n]]).ravel()
         out = []
@@ -131,8 +134,9 @@ class Paragraphs:
                 lowest = np.minimum.reduceat(np.append(values, np.uint64(2**64 - 1)), at)[::2] if len(at) else np.zeros(0, np.uint64)
                 key = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + lowest)
             out.append(key)
-        out.append(W.mix(self.digest[n:].view(np.uint64) ^ _SEEDS[63]))
-        return np.concatenate(out).view(np.int64), np.concatenate([np.tile(np.arange(n), n_bands), np.arange(n, len(self.first))])
+        whole = np.concatenate([np.flatnonzero(self.stop[:n] - self.first[:n] == self.min_words), np.arange(n, len(self.first))])
+        out.append(W.mix(self.digest[whole].view(np.uint64) ^ _SEEDS[63]))
+        return np.concatenate(out).view(np.int64), np.concatenate([np.tile(np.arange(n), n_bands), whole])
 
     def hashes(self, k: int) -> np.ndarray:
         """Distinct shingle hashes of a paragraph."""
@@ -171,11 +175,11 @@ def _candidates(docs: DataFrame, n_bands: int, n_rows: int, min_words: int, size
 
 def _mask(digests: DataFrame) -> bytes:
     """Bits at the digests' places of a mask; what else falls on a set bit is left out later or does no harm."""
-    position = F.pmod("digest", F.lit(MASK_BITS))
-    cells = digests.select(position.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).collect()
-    mask = np.zeros(MASK_BITS // 64, np.int64)
-    for r in cells:  # at most MASK_BITS / 64 rows
-        mask[r.cell] = r.bits
+    position = F.pmod("digest", F.lit(WANTED_BITS))
+    cells = digests.select(position.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("cell")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toArrow()  # at most WANTED_BITS / 64 rows
+    mask = np.zeros(WANTED_BITS // 64, np.int64)
+    mask[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
     return mask.tobytes()
 
 
@@ -196,7 +200,7 @@ def _occurrences(docs: DataFrame, candidates: DataFrame, shared: DataFrame, min_
             sets: list[np.ndarray | None] = []
             for row, _, data, offsets in W.slices(batch):
                 p = Paragraphs(data, offsets, min_words, size)
-                at = p.digest % MASK_BITS
+                at = p.digest % WANTED_BITS
                 point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 at_all = np.flatnonzero((any_bits[at // 64] >> (at % 64)) & 1)
                 needed = ((set_bits[at[at_all] // 64] >> (at[at_all] % 64)) & 1) & (at_all < len(p.first) - p.n_anchors)
@@ -219,16 +223,83 @@ def _occurrences(docs: DataFrame, candidates: DataFrame, shared: DataFrame, min_
     return written(found, "dedup-occurrences")
 
 
-def _links(shared: DataFrame, sets: DataFrame, percent: int, few: int = FEW) -> DataFrame:
-    """(a, b) of different paragraphs that share a key (key, digest, m: how many do) and reach the similarity, at least a spanning set of them."""
-    small = shared.filter(F.col("m") <= few)
-    pairs = small.select("key", F.col("digest").alias("a")).join(small.select("key", F.col("digest").alias("b")), "key").filter("a < b").select("a", "b").distinct()
-    left, right = (sets.select(F.col("id").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
-    both = F.size(F.array_intersect("ha", "hb"))
-    close = pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
-    members = shared.filter(F.col("m") > few).join(sets, F.col("digest") == F.col("id")).select(
+def _reached(tokens: np.ndarray, starts: np.ndarray, mark: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """(member, head) of the sets, tokens[starts[k]:starts[k + 1]] each, that links join to an earlier head, breadth first."""
+    sizes, out = np.diff(starts), []
+    waiting, flat, at = np.arange(len(sizes)), tokens, starts[:-1]
+    queue: list[int] = []
+    while len(waiting):
+        if queue:
+            now = queue.pop()
+        else:
+            head = now = int(waiting[0])
+            waiting, flat, at = waiting[1:], flat[sizes[now]:], at[1:] - sizes[now]
+            if not len(waiting):
+                break
+        own = tokens[starts[now] : starts[now + 1]]
+        mark[own] = True
+        both = np.add.reduceat(mark[flat], at, dtype=np.int64)
+        mark[own] = False
+        near = 100 * both >= percent * (sizes[now] + sizes[waiting] - both)
+        if near.any():
+            found = waiting[near].tolist()
+            queue += found
+            out += [(k, head) for k in found]
+            flat, waiting = flat[np.repeat(~near, sizes[waiting])], waiting[~near]
+            at = np.cumsum(sizes[waiting]) - sizes[waiting]
+    return out
+
+
+def _spanning(percent: int):
+    """Edges (a, b) that span the links inside each key, from (key, digest, hashes) in the order of keys; equal rows are one."""
+    def edges(keys: np.ndarray, digests: np.ndarray, hashes: pa.Array) -> pa.RecordBatch:
+        tokens = np.unique(hashes.flatten().to_numpy(), return_inverse=True)[1]
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(hashes).to_numpy())])
+        mark = np.zeros(int(tokens.max()) + 1 if len(tokens) else 0, bool)
+        cut = np.append(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])), len(keys)).tolist()
+        out = []
+        for low, high in zip(cut[:-1], cut[1:], strict=True):
+            out += [(low + k, low + head) for k, head in _reached(tokens[starts[low] : starts[high]], starts[low : high + 1] - starts[low], mark, percent)]
+        at = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(digests[at[:, 0]], pa.int64()), pa.array(digests[at[:, 1]], pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy()
+            last = int(np.searchsorted(keys, keys[-1]))
+            # The last key may go on in the next batch.
+            if last or (rest and rest[0].column(0)[-1].as_py() != keys[0]):
+                whole = pa.Table.from_batches([*rest, batch.slice(0, last)]).combine_chunks()
+                yield edges(whole["key"].to_numpy(), whole["digest"].to_numpy(), whole["hashes"].combine_chunks())
+                rest = []
+            rest.append(batch.slice(last))
+        if rest:
+            whole = pa.Table.from_batches(rest).combine_chunks()
+            yield edges(whole["key"].to_numpy(), whole["digest"].to_numpy(), whole["hashes"].combine_chunks())
+
+    return run
+
+
+def _links(shared: DataFrame, sets: DataFrame, percent: int, most: int = MOST) -> DataFrame:
+    """(a, b) of different paragraphs that share a key (key, digest, m: how many do) and reach the similarity, at least a spanning set of them; written."""
+    members = shared.join(sets, F.col("digest") == F.col("id"))
+    close = written(
+        members.filter(F.col("m") <= most).select("key", "digest", "hashes").repartition("key").sortWithinPartitions("key").mapInArrow(_spanning(percent), "a long, b long"), "dedup-links")
+    if shared.filter(F.col("m") > most).isEmpty():
+        return close
+    many = members.filter(F.col("m") > most).select(
         F.col("key").alias("cluster"), "id", F.size("hashes").cast("long").alias("n"), F.lit(1).cast("long").alias("copies"), F.array_sort("hashes").alias("hashes"))
-    return close.unionByName(join_clusters(members, percent).select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b"))
+    return close.unionByName(join_clusters(many, percent).select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b"))
+
+
+def _shared(candidates: DataFrame) -> DataFrame:
+    """(key, digest, m) of keys that m > 1 different paragraphs hold; of keys with the same paragraphs only one; written."""
+    held = candidates.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor("digest").alias("x"), F.bit_xor(F.xxhash64("digest")).alias("y")).filter("m > 1")
+    return written(candidates.join(held.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m"), "key"), "dedup-shared")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -282,10 +353,12 @@ def _surroundings(docs: DataFrame, places: DataFrame, most: int) -> DataFrame:
 
 
 def _runs(spans: DataFrame) -> DataFrame:
-    """``spans`` (row_id, start, end, ...) with ``run``, the number of the stretch that they and their neighbours make."""
+    """``spans`` (row_id, start, end, ...) with ``run``, the number of the stretch that they and their neighbours make, and ``other``: 0 if equal to the span before, else 1."""
     order = Window.partitionBy("row_id").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return spans.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach + 1), 1).otherwise(0)).withColumn("run", F.sum("new").over(order)).drop("new")
+    same = (F.lag("start").over(order) == F.col("start")) & (F.lag("end").over(order) == F.col("end"))
+    return spans.withColumns({"new": F.when(reach.isNull() | (F.col("start") > reach + 1), 1).otherwise(0), "other": F.when(same, 0).otherwise(1)}).withColumn(
+        "run", F.sum("new").over(order)).drop("new")
 
 
 def _grown(docs: DataFrame, runs: DataFrame, stays: DataFrame, most: int) -> DataFrame:
@@ -328,19 +401,21 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     text = F.col("text").cast("string")
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_id")).withColumn("row_id", F.coalesce("doc_id", "text_id"))
     candidates = _candidates(named, n_bands, n_rows, min_words, size)
-    sizes = candidates.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = written(candidates.join(sizes, "key"), "dedup-shared")
+    shared = _shared(candidates)
     found = _occurrences(named, candidates, shared, min_words, size)
-    sets = written(found.filter("hashes is not null").groupBy(F.col("digest").alias("id")).agg(F.first("hashes").alias("hashes")), "dedup-sets")
+    emptied(candidates)
+    sets = found.filter("hashes is not null").groupBy(F.col("digest").alias("id")).agg(F.first("hashes").alias("hashes"))
     groups = components(_links(shared, sets, percent)).select(F.col("id").alias("digest"), F.col("label").alias("component"))
+    emptied(shared)
     placed = found.drop("hashes").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     kept = placed.groupBy("component").agg(F.min("row_id").alias("stay"), F.max("row_id").alias("highest"), F.min("doc_id").alias("other_doc_id")).filter("stay <> highest")
     marked = written(placed.join(kept, "component").select("row_id", "text_id", "doc_id", "start", "end", "component", "stay", "other_doc_id"), "dedup-marked")
+    emptied(found)
     spans = _runs(marked.filter("row_id <> stay"))
     at = lambda point: F.struct(point, "component", "text_id")
     runs = written(spans.groupBy("row_id", "run").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min(at("start")).alias("first"), F.max(at("end")).alias("last"),
-        F.count_distinct("start", "end").alias("n_paragraphs"), F.collect_set("component").alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")), "dedup-runs")
+        F.sum("other").alias("n_paragraphs"), F.collect_set("component").alias("component_ids"), F.min("other_doc_id").alias("other_doc_id")), "dedup-runs")
     grown = _grown(named, runs, marked.filter("row_id = stay"), PASSAGE - min_words)
     return _runs(grown).groupBy("row_id", "run").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_paragraphs").alias("n_paragraphs"),

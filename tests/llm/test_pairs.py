@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lociframe.llm import components, jaccard_join, paragraph_dedup
 from lociframe.llm.jaccard_join import joined
@@ -128,3 +129,61 @@ def test_whole_passages_are_found_from_any_word(spark, marked):
     for r in got:
         start, end = planted[r.doc_id]
         assert 0 <= start - r.start <= 100 * marked and 0 <= r.end - end <= 100 * marked
+
+
+def test_equal_paragraphs_share_a_key_whatever_their_kind():
+    rng = random.Random(5)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    alone, kinds = 0, set()
+    for _ in range(60):
+        sentence = fresh(16) + "."
+        sides = []
+        for text in (f"{fresh(40)}. {sentence} {fresh(40)}.", f"{fresh(40)} {sentence} {fresh(40)}."):
+            data = np.frombuffer(text.encode(), np.uint8)
+            p = paragraph_dedup.Paragraphs(data, np.array([0, len(data)]), 16, 5)
+            keys, of = p.keys(3, 1)
+            held = {}
+            for key, k in zip(keys.tolist(), of.tolist(), strict=True):
+                held.setdefault(int(p.digest[k]), set()).add(key)
+            sides.append(held)
+        for digest in sides[0].keys() & sides[1].keys():
+            kinds.add((len(sides[0][digest]) > 1, len(sides[1][digest]) > 1))
+            alone += not sides[0][digest] & sides[1][digest]
+    assert (True, False) in kinds and alone == 0
+
+
+@pytest.mark.parametrize("most", [3, 4096])
+def test_links_span_what_all_pairs_link(spark, most):
+    rng = random.Random(8)
+    sets, shared = {}, []
+    for key in range(40):
+        base = [rng.randrange(10**6) for _ in range(20)]
+        ids = []
+        for _ in range(rng.randrange(2, 12)):
+            base = [*base[rng.randrange(5):], *[rng.randrange(10**6) for _ in range(rng.randrange(3))]]
+            sets[len(sets)] = sorted(set(base))
+            ids.append(len(sets) - 1)
+        shared += [(key, i, len(ids)) for i in ids]
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    table = spark.createDataFrame(list(sets.items()), "id long, hashes array<long>")
+    sets = {i: set(s) for i, s in sets.items()}
+    links = {(a, b) for k, a, _ in shared for j, b, _ in shared if j == k and a < b and near(a, b)}
+    found = {(min(e), max(e)) for e in map(tuple, paragraph_dedup._links(spark.createDataFrame(shared, "key long, digest long, m long"), table, 75, most).collect())}
+
+    def labels(edges):
+        of = {i: i for i in sets}
+        for _ in sets:
+            for a, b in edges:
+                of[a] = of[b] = min(of[a], of[b])
+        return of
+
+    assert len(links) > 40 and labels(found) == labels(links)
+
+
+def test_tables_on_the_way_are_given_up(spark):
+    from lociframe.llm.store import emptied, written
+
+    table = written(spark.range(1000).repartition(3).withColumn("list", F.array("id")), "given-up")
+    assert table.count() == 1000
+    emptied(table)
+    assert spark.read.schema(table.schema).parquet(table.inputFiles()[0].rsplit("/", 1)[0]).count() == 0
