@@ -131,16 +131,16 @@ def interval_at_share(intervals: DataFrame, genome: DataFrame) -> DataFrame:
 def unique_introns(rows: DataFrame) -> DataFrame:
     """One row per intron locus with the number of its transcripts and genes; ``intron_members`` has their rows.
 
-    Ids of all kinds are made distinct in one hash aggregate; what follows from the locus itself is worked out afterwards,
-    so that the rows on the way stay short.
+    The first row of each transcript at a locus is marked where the transcript's rows already are; genes are then made
+    distinct with the marks added up, so that an intron is one row on the way.
     """
     keys = ["species", "seqid", "start0", "end0", "strand"]
-    rest = ["is_short_intron", "at_content", "is_at_rich", "intron_number"]
+    rest = ["is_short_intron", "at_content", "is_at_rich", "intron_number", "source_feature"]
     least = [F.min(c).alias(c) for c in rest]
-    kinds = F.array(*[F.struct(F.lit(k).alias("_kind"), F.col(c).alias("_id")) for k, c in enumerate(("transcript_id", "gene_id", "source_feature"))])
-    ids = rows.select(*keys, *rest, F.inline(kinds)).groupBy(*keys, "_kind", "_id").agg(*least)
-    of = lambda k: F.when(F.col("_kind") == k, F.col("_id"))
-    loci = ids.groupBy(*keys).agg(*least, F.min(of(2)).alias("source_feature"), F.count(of(0)).alias("transcript_count"), F.count(of(1)).alias("gene_count"))
+    of_transcript = Window.partitionBy(*keys, "transcript_id").orderBy("gene_id")
+    counted = F.when(F.col("transcript_id").isNotNull() & (F.row_number().over(of_transcript) == 1), 1).otherwise(0)
+    of_gene = rows.withColumn("_transcripts", counted).groupBy(*keys, "gene_id").agg(*least, F.sum("_transcripts").alias("_transcripts"))
+    loci = of_gene.groupBy(*keys).agg(*least, F.sum("_transcripts").alias("transcript_count"), F.count("gene_id").alias("gene_count"))
     return loci.select(
         *keys, (F.col("start0") + 1).alias("start1"), F.col("end0").alias("end1"), (F.col("end0") - F.col("start0")).alias("length"), "source_feature",
         "is_short_intron", "at_content", "is_at_rich", "intron_number", "transcript_count", "gene_count")
