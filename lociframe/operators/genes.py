@@ -147,8 +147,10 @@ def unique_introns(rows: DataFrame) -> DataFrame:
 
 
 def intron_members(rows: DataFrame) -> DataFrame:
-    """Distinct transcripts and genes of each intron locus, one row each."""
-    return rows.select("species", "seqid", "start0", "end0", "strand", "transcript_id", F.coalesce("gene_id", F.lit("NA")).alias("gene_id")).distinct()
+    """Distinct transcripts and genes of each intron locus, one row each; rows of a transcript are made distinct where they already are, by their order."""
+    members = rows.select("species", "seqid", "start0", "end0", "strand", "transcript_id", F.coalesce("gene_id", F.lit("NA")).alias("gene_id"))
+    same = Window.partitionBy(*members.columns).orderBy("start0")
+    return members.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
 
 
 def intron_summary(rows: DataFrame) -> DataFrame:

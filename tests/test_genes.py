@@ -278,3 +278,21 @@ def test_unique_introns_of_several_features(spark):
         (None, 6, 9, 4, "exon", 3, None, 1, 1), ("+", 6, 9, 4, "CDS", 1, 0.5, 2, 1)]
     # Each row is copied once per id, not once more for the other columns.
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unique_introns_count_each_transcript_once_and_keep_it_one_row_a_gene(spark):
+    schema = ("species string, seqid string, start0 long, end0 long, strand string, gene_id string, transcript_id string, intron_number long, "
+              "source_feature string, is_short_intron boolean, at_content double, is_at_rich boolean")
+    place = ("sp", "c1", 10, 50, "+")
+    rest = (True, None, None)
+    found = spark.createDataFrame(
+        [(*place, "g1", "t1", 2, "exon", *rest), (*place, "g1", "t1", 1, "CDS", *rest), (*place, "g2", "t1", 3, "exon", *rest), (*place, None, "t2", 4, "exon", *rest),
+         (*place, "g1", "t3", 4, "exon", *rest), ("sp", "c1", 10, 50, None, None, None, 5, "exon", *rest)], schema)
+    unique = genes.unique_introns(found)
+    assert sorted((str(r.strand), r.transcript_count, r.gene_count, r.intron_number, r.source_feature) for r in unique.collect()) == [
+        ("+", 3, 2, 1, "CDS"), ("None", 0, 0, 5, "exon")]
+    members = sorted((r.transcript_id or "", r.gene_id) for r in genes.intron_members(found).collect())
+    assert members == [("", "NA"), ("t1", "g1"), ("t1", "g2"), ("t2", "NA"), ("t3", "g1")]
+    # An intron is one row before genes are made distinct, and members need no table of keys.
+    assert "Generate" not in unique._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in genes.intron_members(found)._jdf.queryExecution().executedPlan().toString()
