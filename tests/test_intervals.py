@@ -83,6 +83,22 @@ def test_long_intervals_touch_few_cells(spark):
     assert found.count() == 2000 + 2000
 
 
+def test_synteny_details_shuffle_distinct_genes_once(spark):
+    """The levels of cells are read from the shuffle of distinct genes that the pairs come from."""
+    genes = make(spark, [("a", 5, 15, "g"), ("a", 5, 15, "g"), (None, 5, 15, "g"), ("a", 8, 8, "g"), ("a", 90, 95, "h")], "seqid string, start0 bigint, end0 bigint, gene_id string")
+    links = spark.createDataFrame([("g", 2), ("h", 0)], "gene_id string, links bigint")
+    table = make(spark, [("a", 0, 10, "target", 1), ("a", 14, 20, "background", 2), ("a", 80, 99, "target", 3)], "seqid string, start0 bigint, end0 bigint, region_set string, region_id int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = regions.region_synteny_details(table, genes.distinct(), links)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = rows(found, "region_id", "gene_id", "synteny_links")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == [(1, "g", 2), (2, "g", 2)]
+    assert "ReusedExchange" in plan
+
+
 @pytest.mark.parametrize("bin_size", [32, 1 << 16])
 def test_overlap_totals_equal_pair_sums(spark, bin_size):
     left = [(q, s, e + 1) for q, s, e in random_spans(5, 100)]
