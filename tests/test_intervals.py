@@ -83,6 +83,16 @@ def test_long_intervals_touch_few_cells(spark):
     assert found.count() == 2000 + 2000
 
 
+def test_copies_for_cells_build_no_arrays_of_structures(spark):
+    """An interval's cells are rows of a generator; long ones on either side still meet short ones once."""
+    left = [("a", 0, 5000), ("a", 700, 710), ("b", 0, 10), (None, 0, 10)]
+    right = [("a", 400, 1200), ("a", 705, 706), ("a", 4999, 70_000), ("b", 10, 20), (None, 0, 10)]
+    found = intervals.overlap_join(make(spark, left), make(spark, right, "seqid string, other_start0 bigint, other_end0 bigint"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "flatten" not in plan and "struct" not in plan
+    assert rows(found, "start0", "other_start0", "overlap_bp") == [(0, 400, 800), (0, 4999, 1), (0, 705, 1), (700, 400, 10), (700, 705, 1)]
+
+
 def test_synteny_details_shuffle_distinct_genes_once(spark):
     """The levels of cells are read from the shuffle of distinct genes that the pairs come from."""
     genes = make(spark, [("a", 5, 15, "g"), ("a", 5, 15, "g"), (None, 5, 15, "g"), ("a", 8, 8, "g"), ("a", 90, 95, "h")], "seqid string, start0 bigint, end0 bigint, gene_id string")
