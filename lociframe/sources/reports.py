@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,8 +111,10 @@ def read_depth(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def read_repeatmasker(spark: SparkSession, paths: Paths) -> DataFrame:
     """Repeat annotation rows; header lines and lines with bad numbers are skipped, C strands become minus."""
-    lines = read_lines(spark, paths).withColumn("line", F.ltrim("line")).filter((F.col("line") != "") & ~F.col("line").rlike("^(SW|score|perc|#)"))
-    rows = lines.withColumn("c", F.split(F.rtrim("line"), r"\s+")).filter(F.size("c") >= 11)
+    # Exploded, so that a line is made and split once: of plain columns, each filter below would do it again.
+    lines = read_lines(spark, paths).select("_row", F.explode(F.array(F.ltrim("line"))).alias("line"))
+    header = reduce(or_, [F.col("line").startswith(mark) for mark in ("SW", "score", "perc", "#")])
+    rows = lines.filter((F.col("line") != "") & ~header).select("*", F.explode(F.array(F.split(F.rtrim("line"), r"\s+"))).alias("c")).filter(F.size("c") >= 11)
     c = F.col("c")
     kind = F.split(cell(c, 10), "/", 2)
     whole = lambda i: F.when(cell(c, i).rlike(r"^[+-]?\d+$"), cell(c, i).try_cast("bigint"))

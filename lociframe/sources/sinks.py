@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,9 +131,11 @@ def repeat_gff(repeats: DataFrame) -> DataFrame:
     notes = F.concat(F.lit("Div="), at(1), F.lit(";Del="), at(2), F.lit(";Ins="), at(3), F.lit(";SWscore="), at(0))
     plain = F.concat_ws("\t", at(4), F.lit("RepeatMasker-4.0.1"), F.lit("similarity"), at(5), at(6), at(0), F.col("strand"), F.lit("."),
                         F.concat(F.lit("Target="), target, F.lit(";"), notes))
-    colours = F.array_compact(F.array(*[F.when(plain.contains(mark), F.lit(colour)) for mark, colour in REPEAT_COLOURS.items()]))
-    used = F.when(F.size(colours) == 0, F.array(F.lit(OTHER_REPEAT_COLOUR))).otherwise(colours)
-    return repeats.select(plain.alias("_p"), F.explode(used).alias("_c")).select(F.concat("_p", F.lit(";color="), "_c").alias("value"))
+    marked = [(F.col("_p").contains(mark), F.lit(colour)) for mark, colour in REPEAT_COLOURS.items()]
+    colours = F.when(reduce(or_, [m for m, _ in marked]), F.array_compact(F.array(*[F.when(m, colour) for m, colour in marked]))).otherwise(F.array(F.lit(OTHER_REPEAT_COLOUR)))
+    # The line is made once and looked through for every mark.
+    lines = repeats.select(F.explode(F.array(plain)).alias("_p"))
+    return lines.select("_p", F.explode(colours).alias("_c")).select(F.concat("_p", F.lit(";color="), "_c").alias("value"))
 
 
 def trim_read_names(regions: DataFrame, name: str = "region_id") -> DataFrame:

@@ -368,3 +368,16 @@ def test_one_large_split_is_numbered_by_many_tasks(spark):
     numbered = lines.with_line_numbers(frame([f"l{i}" for i in range(500)]))
     assert rows(numbered.select("line", "line_number")) == sorted((f"l{i}", i * 64 + 1) for i in range(500))
     assert "_share" in numbered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeat_lines_are_split_once(spark):
+    """However many cells are read and filtered, a line is split once; results stay, header and bad lines left out."""
+    texts = ["SW perc", "   score x", "#c", "", " 9 1.5 0 2 c1 3 8 (1) C L LINE/L1 1 2 (3)  ", "9 1.5 0 2 c1 3 8 (1) + d Simple_repeat-DNA/x 1 2 3", "9 x 0 2 c1 3 8 (1) + d o 1 2 3", "9 1 0 2 c1 3.5 8 (1) + d o 1 2 3", "9 1 0 2 c2 3 8 (1) + d o"]
+    frame = spark.createDataFrame([("f", t, ("f", 0, i)) for i, t in enumerate(texts)], "path string, line string, _row struct<path:string,block:bigint,line:bigint>")
+    out = sinks.repeat_gff(reports.read_repeatmasker(spark, frame))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(rtrim(") == 1
+    start = "c1\tRepeatMasker-4.0.1\tsimilarity\t3\t8\t9\t"
+    notes = ";Div=1.5;Del=0;Ins=2;SWscore=9;color="
+    assert rows(out, "value") == sorted([
+        (start + "-\t.\tTarget=L LINE/L1 (3) 2" + notes + "#3399ff",), *[(start + "+\t.\tTarget=d Simple_repeat-DNA/x 1 2" + notes + c,) for c in ("#ff6666", "#8686ac")],
+        ("c2\tRepeatMasker-4.0.1\tsimilarity\t3\t8\t9\t+\t.\tTarget=d o;Div=1;Del=0;Ins=2;SWscore=9;color=#f2f2f2",)])
