@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import cds_checks, count_bases, reverse_complement, translate_codons
+from ..functions.text import spread_missing
 from .intervals import POSITION_BIN
 from .sequences import CHUNK
-from ..session import durable
+from ..session import durable, stored
 from .summaries import grouped_median, last_by, length_histogram
 
 PRIMARY = r"(^|\.)t1($|\.)"
@@ -326,10 +327,11 @@ def primary_transcripts(features: DataFrame, transcript_regex: str | None = None
                               F.nullif(F.try_element_at("attrs", F.lit("Parent")), F.lit("")).alias("gene"), "_row"),
                   ["species", "transcript_id"], "_row", ["seqid", "start", "end", "strand", "gene"])
     t1 = F.col("transcript_id").rlike(PRIMARY)
-    best = own.filter("gene is not null").groupBy("species", "gene").agg(F.min_by("transcript_id", F.struct(~t1, F.col("transcript_id"))).alias("transcript_id"))
-    of_genes = own.join(best.select("species", "transcript_id"), ["species", "transcript_id"], "left_semi")
-    alone = own.filter(F.col("gene").isNull() & (t1 | ~F.col("transcript_id").rlike(NUMBERED)))
-    return of_genes.unionByName(alone)
+    # One pass: transcripts are ranked within their gene, those without one lie under keys of their own.
+    within = Window.partitionBy("species", "_gene").orderBy(~t1, "transcript_id")
+    ranked = own.withColumn("_gene", spread_missing(F.col("gene"), "transcript_id")).withColumn("_rank", F.row_number().over(within))
+    alone = t1 | ~F.col("transcript_id").rlike(NUMBERED)
+    return ranked.filter(F.when(F.col("gene").isNull(), alone).otherwise(F.col("_rank") == 1)).drop("_gene", "_rank")
 
 
 def coding_sequences(features: DataFrame, transcripts: DataFrame, genome: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -377,13 +379,15 @@ def gene_models(
 ) -> dict[str, DataFrame]:
     """Primary transcripts with coding sequences: raw and final checks, sequences, annotation subset and a summary per species.
 
-    All four read the spliced sequences; with ``keep`` these and the annotation are written once to the shared folder.
+    The chosen transcripts, one row each, are written once, as several steps read them. All four tables read the spliced sequences; with ``keep`` these and the columns of the annotation that are read are written once to the shared folder.
     """
     if keep:
-        features = durable(features)
+        parent = F.map_filter("attrs", lambda k, v: k == "Parent").alias("attrs")
+        features = stored(features.select("species", "seqid", "type", "start", "end", "strand", "id", "parents", parent, "line", "_row"), "features")
     chosen = primary_transcripts(features, transcript_regex)
     if keep_seqids is not None:
         chosen = chosen.join(keep_seqids.select("seqid").distinct(), "seqid", "left_semi")
+    chosen = stored(chosen, "transcripts")
     raw = coding_sequences(features, chosen, genome)
     if keep:
         raw = durable(raw)

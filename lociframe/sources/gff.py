@@ -14,12 +14,16 @@ def parse_attributes(text: Column) -> Column:
     """Attribute map of ``key=value`` or ``key "value"`` parts; the last of a repeated key counts."""
     parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: p.contains("=") | p.contains(" "))
     entries = F.transform(parts, lambda p: F.when(
-        p.contains("="), F.struct(F.regexp_extract(p, r"^([^=]*)=", 1).alias("k"), F.regexp_extract(p, r"(?s)^[^=]*=(.*)$", 1).alias("v"))
+        p.contains("="), F.struct(F.substring_index(p, "=", 1).alias("k"), F.substring(p, F.instr(p, "=") + 1, F.length(p)).alias("v"))
     ).otherwise(F.struct(F.regexp_extract(p, r"^(\S*) ", 1).alias("k"), F.regexp_replace(F.regexp_extract(p, r"(?s)^\S* (.*)$", 1), r'^[\s"]+|[\s"]+$', "").alias("v"))))
-    # Later entries replace earlier ones without depending on the session's map policy.
-    keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
-    values = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"])
-    return F.map_from_arrays(keys, values)
+
+    def latest(found: Column) -> Column:
+        # Later entries replace earlier ones without depending on the session's map policy.
+        keys = F.array_distinct(F.transform(found, lambda e: e["k"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(found, lambda e: e["k"] == k), -1)["v"]))
+
+    # Under a name of their own the entries are found once, not once for each key.
+    return F.get(F.transform(F.array(entries), latest), F.lit(0))
 
 
 def read_gff(spark: SparkSession, paths: Paths, species: str = "genome") -> DataFrame:
@@ -32,8 +36,8 @@ def read_gff(spark: SparkSession, paths: Paths, species: str = "genome") -> Data
     rows = lines.select(
         F.lit(species).alias("species"), cell(F.col("c"), 0).alias("seqid"), cell(F.col("c"), 1).alias("source"), cell(F.col("c"), 2).alias("type"),
         to_long(cell(F.col("c"), 3)).alias("start"), to_long(cell(F.col("c"), 4)).alias("end"), cell(F.col("c"), 5).alias("score"),
-        cell(F.col("c"), 6).alias("strand"), cell(F.col("c"), 7).alias("phase"), attrs.alias("attrs"), cell(F.col("c"), 8).alias("attributes"),
-        "line", "line_number", "_row")
+        cell(F.col("c"), 6).alias("strand"), cell(F.col("c"), 7).alias("phase"), F.explode(F.array(attrs)).alias("attrs"), cell(F.col("c"), 8).alias("attributes"),
+        "line", "line_number", "_row")  # exploded, so that attributes are parsed once and not again for each filter on ids and parents
     parents = F.filter(F.split(F.coalesce(F.try_element_at("attrs", F.lit("Parent")), F.lit("")), ","), lambda p: p != "")
     return rows.select("*", F.nullif(F.try_element_at("attrs", F.lit("ID")), F.lit("")).alias("id"), parents.alias("parents"))
 

@@ -53,7 +53,9 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
     offsets = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     spread = offsets.select("path", "_block", "_first", "_before", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SHARES - 1).cast("bigint"))).alias("_share"))
     dealt = lines.withColumn("_block", F.col("_row.block")).withColumn("_share", F.pmod(F.xxhash64("_row.line"), F.lit(SHARES).cast("bigint")))
-    numbered = dealt.join(spread, ["path", "_block", "_share"])
+    # One row per key and a left join: where nobody reads the numbers, Spark leaves the join out.
+    single = spread.groupBy("path", "_block", "_share").agg(F.min("_first").alias("_first"), F.min("_before").alias("_before"))
+    numbered = dealt.join(single, ["path", "_block", "_share"], "left")
     return numbered.withColumn("line_number", F.col("_before") + F.col("_row.line") - F.col("_first") + 1).drop("_block", "_share", "_first", "_before")
 
 
@@ -68,8 +70,8 @@ def text_cell(cells: Column, index: int) -> Column:
 
 
 def split_tabs(lines: DataFrame, least: int = 1) -> DataFrame:
-    """Lines split at tabs into ``c``; shorter ones are left out."""
-    return lines.withColumn("c", F.split("line", "\t")).filter(F.size("c") >= least)
+    """Lines split at tabs into ``c``; shorter ones are left out. Exploded, so that a line is split once and not again for each filter."""
+    return lines.select("*", F.explode(F.array(F.split("line", "\t"))).alias("c")).filter(F.size("c") >= least)
 
 
 def header_of(lines: DataFrame, chooser: Column | None = None) -> list[str]:

@@ -296,3 +296,18 @@ def test_unique_introns_count_each_transcript_once_and_keep_it_one_row_a_gene(sp
     # An intron is one row before genes are made distinct, and members need no table of keys.
     assert "Generate" not in unique._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in genes.intron_members(found)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_annotation_is_read_once_and_unnumbered(spark):
+    """Lines are split and parsed once, line numbers are only made where they are read, and primary transcripts come from one scan."""
+    texts = ["#x", "c1\ts\tmRNA\t1\t9\t.\t+\t.\tID=a.t2;Parent=g", "c1\ts\tmRNA\t2\t9\t.\t+\t.\tID=a.t1;Parent=g;Parent=h", "c1\ts\tmRNA\t1\t9\t.\t+\t.\tID=b.t2", "c1\ts\tmRNA\t1\t9\t.\t+\t.\tk=1;ID=c=d;note x",
+             'c1\ts\tmRNA\t1\t9\t.\t-\t.\tID "e.t1" ; Parent=h', "c1\ts\tmRNA\t1\t9\t.\t+\t.\tID=a.t2;Parent=g;tail"]
+    frame = spark.createDataFrame([("f", t, ("f", 0, i)) for i, t in enumerate(texts)], "path string, line string, _row struct<path:string,block:bigint,line:bigint>")
+    features = gff.read_gff(spark, frame)
+    assert [(r.id, r.line_number) for r in features.orderBy("line_number").collect()] == [("a.t2", 2), ("a.t1", 3), ("b.t2", 4), ("c=d", 5), ("e.t1", 6), ("a.t2", 7)]
+    plan = features.filter("type = 'mRNA' and id is not null")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(line") == 1
+    chosen = genes.primary_transcripts(features)
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
+    assert rows(chosen, "transcript_id", "gene", "start") == [("a.t1", "h", 2), ("a.t2", "g", 1), ("c=d", None, 1)]
