@@ -14,7 +14,7 @@ from ..functions.sequence import cds_checks, count_bases, reverse_complement, tr
 from ..functions.text import spread_missing
 from .intervals import POSITION_BIN
 from .sequences import CHUNK
-from ..session import durable, stored
+from ..session import stored
 from .summaries import grouped_median, last_by, length_histogram
 
 PRIMARY = r"(^|\.)t1($|\.)"
@@ -390,7 +390,7 @@ def gene_models(
     chosen = stored(chosen, "transcripts")
     raw = coding_sequences(features, chosen, genome)
     if keep:
-        raw = durable(raw)
+        raw = stored(raw, "coding")
     final = raw.filter("phase_ok = 1 and internal_stop = 0") if filter_bad else raw
     lines = gff_subset(features, final, keep_seqids)
     good = (F.col("phase_ok") == 1) & (F.col("internal_stop") == 0) if filter_bad else F.lit(True)

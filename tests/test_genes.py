@@ -311,3 +311,13 @@ def test_annotation_is_read_once_and_unnumbered(spark):
     plan = chosen._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("LogicalRDD") == 1
     assert rows(chosen, "transcript_id", "gene", "start") == [("a.t1", "h", 2), ("a.t2", "g", 1), ("c=d", None, 1)]
+
+
+def test_stored_tables_keep_no_shuffle_files(spark):
+    """A stored table has its rows, its own size for planning, and leaves the session's setting as it was."""
+    from lociframe.session import CLEANUP, stored
+
+    before = spark.conf.get(CLEANUP)
+    table = stored(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "test")
+    assert rows(table) == [(k, 143 if k < 6 else 142) for k in range(7)] and spark.conf.get(CLEANUP) == before
+    assert table.inputFiles() and int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 100_000
